@@ -72,7 +72,8 @@ def kde(df: DataFrame, col: str, gridsize: int = 200, bins: int | None = None,
     r = (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
     cols = [F.col("i").cast(T.IntegerType()).alias("i"), r(gx).alias("x"), r(d).alias("density")]
     if bins:
-        cols.append(r(d * n.cast(T.DoubleType()) * (mx - mn) / F.lit(bins)).alias("count_density"))
+        cd = d * n.cast(T.DoubleType()) * (mx - mn) / F.lit(bins)
+        cols.append((F.round(cd, 6) if decimals is not None else cd).alias("count_density"))
     return dens.where(h > 0).select(cols).orderBy("i")
 
 
