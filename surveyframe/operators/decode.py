@@ -12,6 +12,8 @@ row instead of sixteen.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +28,7 @@ def _code_expr(q: Question) -> Column:
     return zero_pad(raw) if q.padded else raw
 
 
-def decode(raw: DataFrame, dims: dict[str, DataFrame], only: list[str] | None = None,
+def decode(raw: DataFrame, dims: Mapping[str, DataFrame], only: list[str] | None = None,
            dim_rows: dict[str, int] | None = None, extra: list[str] | None = None) -> DataFrame:
     """Raw rows -> processed rows (the 37 output columns, or the subset ``only``).
 

@@ -106,12 +106,32 @@ def _select_ranks(x: DataFrame, n: int, mn: float, mx: float, ranks: list[int],
             .select("rank", F.col("x").alias("value")))
 
 
-def _stats(xs: DataFrame, cols: list[str]) -> dict[str, dict]:
-    """count, approx distinct, min, max of many columns in one pass (one row)."""
-    row = xs.agg(*[F.struct(F.count(c).alias("n"), F.approx_count_distinct(c, 0.02).alias("d"),
-                            F.min(c).alias("mn"), F.max(c).alias("mx")).alias(f"__s{i}")
-                   for i, c in enumerate(cols)]).first()
-    return {c: row[f"__s{i}"].asDict() for i, c in enumerate(cols)}
+def _stats(xs: DataFrame, cols: list[str], integral: set[str] | frozenset = frozenset()) -> dict[str, dict]:
+    """count, min, max and a distinct-count bound of many columns in one pass.
+
+    For integral columns the bound is exact and free: max - min + 1.  Other
+    columns get a HyperLogLog estimate (default precision keeps the
+    aggregation buffer small).
+    """
+    fields = []
+    for i, c in enumerate(cols):
+        parts = [F.count(c).alias("n"), F.min(c).alias("mn"), F.max(c).alias("mx")]
+        if c not in integral:
+            parts.append(F.approx_count_distinct(c).alias("d"))
+        fields.append(F.struct(*parts).alias(f"__s{i}"))
+    row = xs.agg(*fields).first()
+    out = {}
+    for i, c in enumerate(cols):
+        st = row[f"__s{i}"].asDict()
+        if c in integral:
+            st["d"] = 0 if st["n"] == 0 else int(st["mx"] - st["mn"]) + 1
+        out[c] = st
+    return out
+
+
+def _integral(df: DataFrame, cols: list[str]) -> set[str]:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return {c for c in cols if isinstance(types.get(c), T.IntegralType)}
 
 
 def _quantiles_known(x: DataFrame, st: dict, probs: list[float], names: list[str],
@@ -137,7 +157,7 @@ def quantiles(df: DataFrame, col: str, probs: list[float], names: list[str] | No
     """Exact linear-interpolation quantiles of one column -> one row, one column per prob."""
     names = names or [f"q{i}" for i in range(len(probs))]
     x = _x(df, col)
-    st = _stats(x, ["x"])["x"]
+    st = _stats(x, ["x"], {"x"} if _integral(df, [col]) else set())["x"]
     return _quantiles_known(x, st, probs, names, map_limit, final_rows, buckets)
 
 
@@ -150,43 +170,44 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, decimals: int
                      **kw) -> DataFrame:
     """Numeric summary of many columns: one row per column.
 
-    Moments for every column come from one aggregation; quantiles are exact
-    (see module doc).  Without ``cols``, every integral/floating column.
+    Pass 1 (count, distinct estimate, min, max of every column) picks the
+    quantile method per column.  Pass 2 is one aggregation with the moments of
+    every column and the exact ``percentile`` of the low-cardinality ones;
+    high-cardinality columns get their quartiles by distributed selection and
+    are joined back by column name (a few rows).  Without ``cols``, every
+    integral/floating column.
     """
     if cols is None:
         cols = [f.name for f in df.schema.fields
                 if isinstance(f.dataType, (T.IntegralType, T.FloatType, T.DoubleType))]
-    spark = df.sparkSession
     xs = df.select([F.col(c).cast(T.DoubleType()).alias(c) for c in cols])
-    mom = xs.agg(*[F.struct(F.lit(c).alias("column"),
-                            F.count(c).cast(T.LongType()).alias("count"),
-                            F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                            F.min(c).alias("min"), F.max(c).alias("max")).alias(f"__m{i}")
-                   for i, c in enumerate(cols)])
-    mom = mom.select(F.inline(F.array(*[F.col(f"__m{i}") for i in range(len(cols))])))
     map_limit = kw.get("map_limit", MAP_LIMIT)
-    stats = _stats(xs, cols)
+    stats = _stats(xs, cols, _integral(df, cols))
     probs = [0.25, 0.5, 0.75]
-    # low-cardinality columns: one aggregation with an exact percentile each
-    small = [c for c in cols if stats[c]["d"] <= map_limit]
+    small = {c for c in cols if stats[c]["d"] <= map_limit}
+    qtype = T.ArrayType(T.DoubleType())
+    one = xs.agg(*[F.struct(
+        F.lit(c).alias("column"), F.count(c).cast(T.LongType()).alias("count"),
+        F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"),
+        (F.percentile(c, F.array(*[F.lit(v) for v in probs])) if c in small else F.lit(None).cast(qtype)).alias("q"),
+    ).alias(f"__m{i}") for i, c in enumerate(cols)])
+    out = one.select(F.inline(F.array(*[F.col(f"__m{i}") for i in range(len(cols))])))
+    out = out.select("column", "count", "mean", "std", "min", "max",
+                     F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"))
     big = [c for c in cols if c not in small]
-    parts = []
-    if small:
-        p = xs.agg(*[F.struct(F.lit(c).alias("column"),
-                              F.percentile(c, F.array(*[F.lit(v) for v in probs])).alias("q"))
-                     .alias(f"__p{i}") for i, c in enumerate(small)])
-        parts.append(p.select(F.inline(F.array(*[F.col(f"__p{i}") for i in range(len(small))])))
-                     .select("column", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
-                             F.col("q")[2].alias("q75")))
-    for c in big:
-        x = xs.select(F.col(c).alias("x")).where(F.col("x").isNotNull())
-        q = _quantiles_known(x, stats[c], probs, ["q25", "q50", "q75"], map_limit,
-                             kw.get("final_rows", FINAL_ROWS), kw.get("buckets", BUCKETS))
-        parts.append(q.select(F.lit(c).alias("column"), "q25", "q50", "q75"))
-    qs = parts[0]
-    for q in parts[1:]:
-        qs = qs.unionByName(q)
-    out = mom.join(F.broadcast(qs), "column")
+    if big:
+        parts = []
+        for c in big:
+            x = xs.select(F.col(c).alias("x")).where(F.col("x").isNotNull())
+            q = _quantiles_known(x, stats[c], probs, ["b25", "b50", "b75"], map_limit,
+                                 kw.get("final_rows", FINAL_ROWS), kw.get("buckets", BUCKETS))
+            parts.append(q.select(F.lit(c).alias("column"), "b25", "b50", "b75"))
+        qs = parts[0]
+        for q in parts[1:]:
+            qs = qs.unionByName(q)
+        out = (out.join(F.broadcast(qs), "column", "left")
+               .select("column", "count", "mean", "std", "min", "max",
+                       *[F.coalesce(F.col(f"q{k}"), F.col(f"b{k}")).alias(f"q{k}") for k in (25, 50, 75)]))
     r = (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
     return out.select("column", "count", r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"),
                       F.col("min"), r(F.col("q25")).alias("q25"), r(F.col("q50")).alias("q50"),

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..functions.columns import lenient_date, lenient_number
 from ..operators import distribution, filters, freq, rates, stats
 from ..operators.decode import decode
-from ..schema import DASHBOARD_COLUMNS, MONTH_COLUMN, PROCESSED_COLUMNS
+from ..schema import CONSOLIDATED_COLUMNS, DASHBOARD_COLUMNS, MONTH_COLUMN
 from ..sources.dims import all_dims, bounded_broadcast, dim_sizes
 from ..sources.raw import raw_from_dir, split_months
 from . import analyses as A
@@ -114,6 +114,10 @@ def describe_extendedprice(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------- table
 
 INCOME = ["RendimentoHabitual_Valor"]
+# numeric (integral/double) and text columns of the consolidated table, in table order
+NUMERIC = [c for c in CONSOLIDATED_COLUMNS
+           if c.endswith("_cod") or c in ("Ano", "Peso_Amostral", "Idade")]
+TEXT = [c for c in CONSOLIDATED_COLUMNS if c.endswith("_desc") or c == "FaixaRendimento_cod_str"]
 
 QUERIES: dict[str, Query] = {
     # pipeline
@@ -167,8 +171,8 @@ QUERIES: dict[str, Query] = {
     "quantiles_income": _on_survey(A.qa7_income_quantiles, INCOME),
     "box_income": _on_survey(A.qa7_income_box, INCOME),
     # table profiles
-    "describe_numeric_all": lambda spark, sf: stats.describe_numeric(survey(spark, sf)),
-    "describe_categorical": lambda spark, sf: A.profile.describe_categorical(survey(spark, sf)),
+    "describe_numeric_all": lambda spark, sf: stats.describe_numeric(survey(spark, sf, only=NUMERIC)),
+    "describe_categorical": lambda spark, sf: A.profile.describe_categorical(survey(spark, sf, only=TEXT)),
     "completeness": lambda spark, sf: A.profile.completeness(survey(spark, sf)),
     "sample_first_last": lambda spark, sf: A.sample_first_last(survey(spark, sf)),
     # dashboard

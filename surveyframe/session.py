@@ -15,6 +15,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     # Dims are tiny; anything larger than this must not be broadcast by size guess.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # A wide decode stage (16 probes + derived columns) generates a loop method
+    # above HotSpot's 8000-byte JIT limit; let the JIT compile it anyway.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

@@ -7,6 +7,7 @@ unique so that every decode join keeps the row count.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,14 +54,39 @@ def dim_frame(spark: SparkSession, name: str, rows: list[tuple] | None = None) -
     return inline_table(spark, rows, dim_schema(spec))
 
 
-def all_dims(spark: SparkSession) -> dict[str, DataFrame]:
-    return {name: dim_frame(spark, name) for name in DIMS}
+class DimTables(Mapping):
+    """The code tables of one session, built on first use and then reused."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = dim_frame(self._spark, name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(DIMS)
+
+    def __len__(self) -> int:
+        return len(DIMS)
+
+
+def all_dims(spark: SparkSession) -> DimTables:
+    """Code tables keyed by name; lazily built, cached on the session object."""
+    cache = getattr(spark, "_surveyframe_dims", None)
+    if cache is None:
+        cache = DimTables(spark)
+        spark._surveyframe_dims = cache
+    return cache
 
 
 def write_dims(spark: SparkSession, base_path: str) -> dict[str, str]:
     """Write every code table with overwrite, so a re-run never doubles it."""
     out = {}
-    for name, df in all_dims(spark).items():
+    for name in DIMS:
+        df = dim_frame(spark, name)
         path = f"{base_path.rstrip('/')}/dim_{name}"
         df.coalesce(1).write.mode("overwrite").parquet(path)
         out[name] = path

@@ -64,9 +64,12 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.select([F.col(n).cast(t).alias(n) for n, t in RAW_COLUMNS])
 
 
+LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"]
+
+
 def raw_from_lineitem(spark: SparkSession, lineitem: DataFrame) -> DataFrame:
     """The synthetic raw survey (all months in one frame) derived from lineitem."""
-    return _typed(spark.sql(FIXTURE_SQL, lineitem=lineitem))
+    return _typed(spark.sql(FIXTURE_SQL, lineitem=lineitem.select(LINEITEM_COLUMNS)))
 
 
 def raw_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:

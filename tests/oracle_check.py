@@ -44,6 +44,36 @@ def canon(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+def compare(spark, con, name, qs, orc, sf):
+    """-> (status, message) for one query."""
+    df = qs[name](spark, sf)
+    srows = [tuple(r) for r in df.collect()]
+    scols = df.columns
+    if name not in orc:
+        return "NO-ORACLE", f"rows={len(srows)}"
+    cur = con.execute(orc[name])
+    drows = cur.fetchall()
+    dcols = [d[0] for d in cur.description]
+    problems = []
+    if sorted(scols) != sorted(dcols):
+        problems.append(f"cols spark={sorted(scols)} duck={sorted(dcols)}")
+    if len(srows) != len(drows):
+        problems.append(f"rows spark={len(srows)} duck={len(drows)}")
+    if not problems:
+        a, b = canon(scols, srows), canon(dcols, drows)
+        diffs = [(x, y) for x, y in zip(a, b) if x != y]
+        if diffs:
+            problems.append(f"{len(diffs)} differing rows, e.g. spark={diffs[0][0]} duck={diffs[0][1]}")
+    return ("OK" if not problems else "MISMATCH"), "; ".join(problems)
+
+
+def duck(sf):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    return con
+
+
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
