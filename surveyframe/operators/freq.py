@@ -1,18 +1,20 @@
 """Frequency tables: counts, shares, ordered categories, weighted totals, top-k.
 
 Every table is one scan: ``groupBy(...).count()`` aggregates partially inside
-each task (a key holding a third of the rows costs nothing extra), and the
-share of total is a window over the **aggregated** rows, whose number is the
-number of distinct categories, not the number of input rows.
+each task (a key holding a third of the rows costs nothing extra).  The total
+behind a share is a scalar subquery over the **same aggregation**: Spark reuses
+the aggregation's shuffle for it (``ReusedExchange``), so the input is read
+once, and the division runs in every partition - no single-partition window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import is_answer, measure_name, pct
+from ..sources.dims import inline_table
 
 
 def _ordered(df: DataFrame, key: str, count_col: str = "n") -> DataFrame:
@@ -25,11 +27,15 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return _ordered(df.groupBy(col).agg(F.count(F.lit(1)).alias("n")), col)
 
 
+def share_of_total(counts: DataFrame, n: str = "n") -> Column:
+    """``n`` as a percent of its column total, the total being a scalar subquery."""
+    return pct(F.col(n), counts.agg(F.sum(n)).scalar())
+
+
 def value_counts_pct(df: DataFrame, col: str) -> DataFrame:
     """Count and percent of all rows (NULL group included) -> (col, n, pct)."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return _ordered(counts.select(col, "n", pct(F.col("n"), total).alias("pct")), col)
+    return _ordered(counts.select(col, "n", share_of_total(counts).alias("pct")), col)
 
 
 def top_k(df: DataFrame, col: str, k: int = 5, with_pct: bool = True) -> DataFrame:
@@ -50,8 +56,10 @@ def multi_value_counts(df: DataFrame, cols: list[str], names: list[str] | None =
         F.struct(F.lit(nm).alias(measure), F.col(c).cast(T.StringType()).alias(value))
         for nm, c in zip(names, cols)])).alias("__s")).select("__s.*")
     counts = stacked.groupBy(measure, value).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(measure))
-    return (counts.select(measure, value, "n", pct(F.col("n"), total).alias("pct"))
+    # one total per measure: a few rows, joined back by broadcast (bounded by len(cols))
+    totals = counts.groupBy(measure).agg(F.sum("n").alias("__tot"))
+    return (counts.join(F.broadcast(totals), measure)
+            .select(measure, value, "n", pct(F.col("n"), F.col("__tot")).alias("pct"))
             .orderBy(F.asc(measure), F.desc("n"), F.asc_nulls_last(value)))
 
 
@@ -64,9 +72,8 @@ def ordered_counts(df: DataFrame, col: str, order: list[str], keep_absent: bool
     emits every listed category, absent ones with 0.  ``fallback_observed``
     keeps the observed categories (most frequent first) when none is listed.
     """
-    spark = df.sparkSession
-    order_df = F.broadcast(spark.createDataFrame(
-        [(v, i) for i, v in enumerate(order)],
+    order_df = F.broadcast(inline_table(
+        df.sparkSession, [(v, i) for i, v in enumerate(order)],
         T.StructType([T.StructField(col, T.StringType()), T.StructField("ord", T.IntegerType())])))
     counts = value_counts_pct(df, col)
     if keep_absent:
@@ -76,6 +83,8 @@ def ordered_counts(df: DataFrame, col: str, order: list[str], keep_absent: bool
         return out.orderBy("ord")
     joined = counts.join(order_df, col, "left")
     if fallback_observed:
+        # only when no listed category occurs: rank the observed ones (the
+        # window sees one row per distinct category)
         any_listed = F.max(F.col("ord").isNotNull().cast("int")).over(Window.partitionBy())
         rank = F.row_number().over(Window.orderBy(F.desc("n"), F.asc_nulls_last(col))) - 1
         joined = (joined.withColumn("__any", any_listed)

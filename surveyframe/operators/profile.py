@@ -10,9 +10,12 @@ from pyspark.sql import types as T
 def describe_categorical(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """count, unique, top, freq per text column -> one row per column.
 
-    One scan: the columns are unpivoted and counted per (column, value) with
-    partial aggregation; the top value is the most frequent, ties broken by
-    the value.  NULLs count toward neither count, unique nor top.
+    One scan: the columns are unpivoted and counted per (column, value), then
+    aggregated again per column.  The top value is ``min(struct(-n, value))``
+    - the most frequent, ties broken by the smaller value - an ordinary
+    aggregate, so both levels aggregate partially inside each task and no task
+    ever holds all values of a column.  NULLs count toward neither count,
+    unique nor top.
     """
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -20,15 +23,12 @@ def describe_categorical(df: DataFrame, cols: list[str] | None = None) -> DataFr
         F.struct(F.lit(c).alias("column"), F.col(c).cast(T.StringType()).alias("value")) for c in cols
     ])).alias("__s")).select("__s.*").where(F.col("value").isNotNull())
     vc = stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column")
-    top = F.row_number().over(w.orderBy(F.desc("n"), F.asc("value")))
-    ranked = vc.select("column", "value", "n", top.alias("__rk"),
-                       F.sum("n").over(w).alias("count"), F.count(F.lit(1)).over(w).alias("unique"))
-    return (ranked.where(F.col("__rk") == 1)
-            .select("column", F.col("count").cast(T.LongType()).alias("count"),
-                    F.col("unique").cast(T.LongType()).alias("unique"),
-                    F.col("value").alias("top"), F.col("n").alias("freq"))
-            .orderBy("column"))
+    per_col = vc.groupBy("column").agg(
+        F.sum("n").cast(T.LongType()).alias("count"),
+        F.count(F.lit(1)).cast(T.LongType()).alias("unique"),
+        F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("value"))).alias("__top"))
+    return per_col.select("column", "count", "unique", F.col("__top.value").alias("top"),
+                          (-F.col("__top.neg_n")).alias("freq")).orderBy("column")
 
 
 def completeness(df: DataFrame) -> DataFrame:

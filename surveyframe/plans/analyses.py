@@ -140,8 +140,7 @@ def qc3_ocupacao_weighted(df: DataFrame) -> DataFrame:
     base = filters.informed(df, col)
     g = base.groupBy(col).agg(F.count(F.lit(1)).alias("n"),
                               F.sum(F.col("Peso_Amostral").cast(T.DoubleType())).alias("__w"))
-    total = F.sum("n").over(Window.partitionBy())
-    return (g.select(col, "n", pct(F.col("n"), total).alias("pct"), F.round("__w", 2).alias("populacao_estimada"))
+    return (g.select(col, "n", freq.share_of_total(g).alias("pct"), F.round("__w", 2).alias("populacao_estimada"))
             .orderBy(F.desc("populacao_estimada"), F.asc(col)))
 
 
