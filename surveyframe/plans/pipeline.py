@@ -16,6 +16,7 @@ from ..schema import CONSOLIDATED_COLUMNS, MONTH_COLUMN, PROCESSED_COLUMNS
 from ..operators.decode import decode
 from ..sources.dims import all_dims, dim_sizes
 from ..sources.raw import raw_from_dir, stack
+from ..sources.tables import read_consolidated, write_consolidated  # noqa: F401  (re-exported)
 
 
 def processed(spark: SparkSession, raw: DataFrame, only: list[str] | None = None) -> DataFrame:
@@ -46,14 +47,3 @@ def consolidated(spark: SparkSession, raw_months: list[DataFrame],
 def survey(spark: SparkSession, sf_dir: str, only: list[str] | None = None) -> DataFrame:
     """Consolidated survey over the synthetic raw rows derived from ``lineitem``."""
     return consolidated(spark, [raw_from_dir(spark, sf_dir)], only=only)
-
-
-def write_consolidated(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
-    """CREATE OR REPLACE as a month-partitioned Parquet table (no shuffle)."""
-    (df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-       .partitionBy(MONTH_COLUMN).parquet(path))
-
-
-def read_consolidated(spark: SparkSession, path: str) -> DataFrame:
-    """Full scan of the stored table, columns in canonical order."""
-    return spark.read.parquet(path).select(CONSOLIDATED_COLUMNS)

@@ -117,3 +117,20 @@ def test_csv_ingest_roundtrip_and_strict_casts(spark):
         fh.write(",".join("x" if c == "A003" else "1" for c in cols) + "\n")
     with pytest.raises(Exception):
         read_raw_csv(spark, d + "/bad.csv").collect()
+
+
+def test_dashboard_scan_prunes_and_cache(spark):
+    from surveyframe.sources.tables import cached, dashboard_scan
+
+    out = tempfile.mkdtemp(prefix="sf-dash-", dir="/tmp")
+    write_consolidated(survey(spark, SF_SMALL), out + "/t")
+    q = dashboard_scan(spark, out + "/t", uf="Bahia", sexo="Homem", mes="Setembro/2020")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(DataReferencia_Mes" in plan and "EqualTo(uf_desc,Bahia)" in plan
+    assert "RendimentoHabitual_Valor" not in plan  # pruned from ReadSchema
+    with cached(q) as c:
+        n = c.count()
+        assert c.is_cached and c.count() == n
+    assert not q.is_cached
+    full = survey(spark, SF_SMALL)
+    assert n == full.where("uf_desc = 'Bahia' AND sexo_desc = 'Homem' AND DataReferencia_Mes = DATE'2020-09-01'").count()
