@@ -57,6 +57,11 @@ def test_decode_keeps_rows_and_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 16
     assert "SortMergeJoin" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    # after execution the role-playing yes/no table (9 joins) is broadcast once, reused 8 times
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    final = final.split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 8
 
 
 def test_decode_only_plans_needed_joins(spark):
