@@ -226,6 +226,9 @@ SELECT sintoma, resposta, n, {pctx('n', 'SUM(n) OVER (PARTITION BY sintoma)')} A
     "trend_work_aid_filtered": rates_by_month("uf_desc = 'Minas Gerais' AND sexo_desc = 'Mulher'",
                                               [("Trabalhou_desc", "trabalhou"),
                                                ("AuxilioEmergencial_desc", "auxilio")], "%m/%y"),
+    "month_fever_answer_shares": f"""{PRE}
+SELECT DataReferencia_Mes, {', '.join(f'{pctx(f"count_if(Febre_desc = {q(v)})", "COUNT(Febre_desc)")} AS "{v}"' for v in ANSWERS)}
+FROM survey WHERE DataReferencia_Mes IS NOT NULL GROUP BY DataReferencia_Mes HAVING COUNT(Febre_desc) > 0""",
     "profile_care_seekers": f"""{PRE},
 base AS (SELECT * FROM survey WHERE {SYMPTOMATIC} AND ProcurouAtendimento_desc = 'Sim'),
 ages AS (SELECT {AGE_BAND} AS categoria, COUNT(*) AS n FROM base GROUP BY 1),
@@ -299,6 +302,10 @@ SELECT COUNT(*) AS respondentes, {pctx("count_if(Febre_desc = 'Sim')", 'COUNT(*)
 SELECT COUNT(*) AS respondentes, {pctx("count_if(Febre_desc = 'Sim')", 'COUNT(*)')} AS pct_febre,
        {pctx("count_if(AuxilioEmergencial_desc = 'Sim')", 'COUNT(*)')} AS pct_auxilio FROM survey
 WHERE uf_desc = 'Bahia' AND sexo_desc = 'Homem' AND DataReferencia_Mes = DATE '2020-09-01'""",
+    "kpi_row_text": f"""{PRE}
+SELECT format('{{:,}}', COUNT(*)) AS respondentes,
+       printf('%.1f%%', {pctx("count_if(Febre_desc = 'Sim')", 'COUNT(*)')}) AS pct_febre,
+       printf('%.1f%%', {pctx("count_if(AuxilioEmergencial_desc = 'Sim')", 'COUNT(*)')}) AS pct_auxilio FROM survey""",
     "filter_options": f"""{PRE},
 o AS (SELECT DISTINCT 'mes' AS filtro, strftime(DataReferencia_Mes, '%Y-%m-%d') AS valor FROM survey
       WHERE DataReferencia_Mes IS NOT NULL

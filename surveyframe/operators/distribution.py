@@ -37,7 +37,8 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     frame = df.sparkSession.range(bins).select(F.col("id").cast(T.IntegerType()).alias("bin"))
     lo = mn + F.col("bin") * (mx - mn) / F.lit(bins)
     hi = mn + (F.col("bin") + F.lit(1)) * (mx - mn) / F.lit(bins)
-    return (frame.join(counts, "bin", "left")
+    # both sides hold at most ``bins`` rows by construction
+    return (frame.join(F.broadcast(counts), "bin", "left")
             .select("bin", lo.alias("lo"), hi.alias("hi"), F.coalesce("n", F.lit(0)).cast(T.LongType()).alias("n"))
             .where(mn.isNotNull())
             .orderBy("bin"))

@@ -32,9 +32,14 @@ def share_of_total(counts: DataFrame, n: str = "n") -> Column:
     return pct(F.col(n), counts.agg(F.sum(n)).scalar())
 
 
-def value_counts_pct(df: DataFrame, col: str) -> DataFrame:
-    """Count and percent of all rows (NULL group included) -> (col, n, pct)."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+def value_counts_pct(df: DataFrame, col: str, weight: str | None = None) -> DataFrame:
+    """Count and percent of all rows (NULL group included) -> (col, n, pct).
+
+    With ``weight`` the measure is the sum of that column (a population
+    estimate) instead of the row count, and the percent is of the weight total.
+    """
+    m = F.sum(F.col(weight).cast(T.DoubleType())) if weight else F.count(F.lit(1))
+    counts = df.groupBy(col).agg(m.alias("n"))
     return _ordered(counts.select(col, "n", share_of_total(counts).alias("pct")), col)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import cut, date_key, label_map, month_label, pct
+from ..functions.columns import cut, date_key, label_map, month_label, pct, pct_text
 from ..operators import distribution, filters, freq, profile, rates, stats
 from ..schema import (AGE_BAND_EDGES, AGE_BAND_LABELS, CONSOLIDATED_COLUMNS, DIM_ROWS,
                       EDUCATION_ORDER, HOSPITAL_YES_NO, INCOME_BAND_INFORMED_ORDER,
@@ -169,6 +169,11 @@ def qd3_trend_work_aid(df: DataFrame) -> DataFrame:
             .withColumn("mes", month_label(M, "MM/yy")))
 
 
+def qd_month_answer_shares(df: DataFrame, col: str = "Febre_desc") -> DataFrame:
+    """Per month, the percent of every answer of one question (wide, absent -> 0)."""
+    return rates.group_shares(df, M, col, ANSWERS)
+
+
 # ------------------------------------------------------------- E: profiles
 
 def qe1_profile_care_seekers(df: DataFrame) -> DataFrame:
@@ -218,6 +223,14 @@ def qk_kpi(df: DataFrame, uf=None, sexo=None, mes=None) -> DataFrame:
     return rates.kpi_row(filters.survey_filter(df, uf=uf, sexo=sexo, mes=mes))
 
 
+def qk_kpi_text(df: DataFrame, uf=None, sexo=None, mes=None) -> DataFrame:
+    """The KPI row as display text: '60,000', '4.9%', '45.5%'."""
+    k = qk_kpi(df, uf=uf, sexo=sexo, mes=mes)
+    return k.select(F.format_number("respondentes", 0).alias("respondentes"),
+                    pct_text(F.col("pct_febre"), 1).alias("pct_febre"),
+                    pct_text(F.col("pct_auxilio"), 1).alias("pct_auxilio"))
+
+
 def qo_filter_options(df: DataFrame) -> DataFrame:
     """Option lists of the month, UF and sex filters -> (filtro, valor, rotulo)."""
     month_key = date_key(F.col(M))

@@ -153,6 +153,7 @@ QUERIES: dict[str, Query] = {
     "trend_care": _on_survey(A.qd2_trend_care, [M] + SYM + ["ProcurouAtendimento_desc"]),
     "trend_work_aid": _on_survey(A.qd3_trend_work_aid, [M, "Trabalhou_desc", "AuxilioEmergencial_desc"]),
     "trend_work_aid_filtered": trend_work_aid_filtered,
+    "month_fever_answer_shares": _on_survey(A.qd_month_answer_shares, [M, "Febre_desc"]),
     # profiles of care seekers
     "profile_care_seekers": _on_survey(A.qe1_profile_care_seekers,
                                        SYM + ["ProcurouAtendimento_desc", "Idade", "sexo_desc", "escolaridade_desc"]),
@@ -178,6 +179,7 @@ QUERIES: dict[str, Query] = {
     # dashboard
     "kpi_row": _on_survey(A.qk_kpi, ["Febre_desc", "AuxilioEmergencial_desc"]),
     "kpi_row_filtered": kpi_row_filtered,
+    "kpi_row_text": _on_survey(A.qk_kpi_text, ["Febre_desc", "AuxilioEmergencial_desc"]),
     "filter_options": _on_survey(A.qo_filter_options, [M, "uf_desc", "sexo_desc"]),
     "month_labels": _on_survey(A.month_labels, [M]),
     # generic operators on the driver's own tables

@@ -191,3 +191,16 @@ def test_completeness_and_head_tail(spark):
     assert [(r.part, r.pos, r.i) for r in ht] == [("head", 1, 1), ("head", 2, 2), ("tail", 1, 3), ("tail", 2, 2)]
     assert [r.v for r in profile.distinct_sorted(
         spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "v string"), "v").collect()] == ["a", "b"]
+
+
+def test_weighted_shares(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("a", 4.0)], "k string, w double")
+    got = [(r.k, r.n, r.pct) for r in freq.value_counts_pct(df, "k", weight="w").collect()]
+    assert got == [("a", 5.0, 62.5), ("b", 3.0, 37.5)]
+
+
+def test_group_shares_wide(spark):
+    df = spark.createDataFrame([(D5, "Sim"), (D5, "Não"), (D7, "Não"), (None, "Sim"), (D9, None)],
+                               "m date, a string")
+    got = [(r.m, r.Sim, r["Não"], r.Outro) for r in rates.group_shares(df, "m", "a", ["Sim", "Não", "Outro"]).collect()]
+    assert got == [(D5, 50.0, 50.0, 0.0), (D7, 0.0, 100.0, 0.0)]
