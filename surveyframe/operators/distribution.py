@@ -1,9 +1,9 @@
 """Histograms, kernel density curves and counts per labelled band.
 
-Bounds (min/max/std/n) are scalar subqueries: one extra pruned column scan
-with partial aggregation, executed once and inlined as constants, so the binning
-or kernel pass stays inside one codegen stage with a tiny final shuffle
-(``bins`` or ``gridsize`` groups).
+Bounds (min/max/std/n) come from one struct-valued scalar subquery: one extra
+pruned column scan with partial aggregation, executed once and inlined as
+constants, so the binning or kernel pass stays inside one codegen stage with a
+tiny final shuffle (``bins`` or ``gridsize`` groups).
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     range is widened by 0.5 on each side (as numpy does).  NULLs are ignored.
     """
     x = _x(df, col)
-    b = x.agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
-    mn0, mx0 = b.select("mn").scalar(), b.select("mx").scalar()
+    b = x.agg(F.struct(F.min("x").alias("mn"), F.max("x").alias("mx"))).scalar()
+    mn0, mx0 = b.getField("mn"), b.getField("mx")
     same = mn0 == mx0
     mn = F.when(same, mn0 - F.lit(0.5)).otherwise(mn0)
     mx = F.when(same, mx0 + F.lit(0.5)).otherwise(mx0)
@@ -56,9 +56,9 @@ def kde(df: DataFrame, col: str, gridsize: int = 200, bins: int | None = None,
     also scaled to histogram counts (density x n x bin width).
     """
     x = _x(df, col)
-    st = x.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
-               F.min("x").alias("mn"), F.max("x").alias("mx"))
-    n, sd, mn, mx = (st.select(c).scalar() for c in ("n", "sd", "mn", "mx"))
+    st = x.agg(F.struct(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
+                        F.min("x").alias("mn"), F.max("x").alias("mx"))).scalar()
+    n, sd, mn, mx = (st.getField(c) for c in ("n", "sd", "mn", "mx"))
     h = sd * F.pow(n.cast(T.DoubleType()), F.lit(-0.2))
     step = (mx - mn) / F.lit(gridsize - 1)
     vc = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))

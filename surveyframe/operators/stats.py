@@ -221,9 +221,10 @@ def quantile_report(df: DataFrame, col: str, probs: list[float], names: list[str
     cnt = df.agg(F.count_if(F.col(col).cast(T.DoubleType()) > F.lit(threshold)).alias("n_above"),
                  F.count(F.col(col)).alias("n"))
     r = (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
+    c = cnt.select(F.struct("n_above", "n")).scalar()
     return (q.select([r(F.col(nm)).alias(nm) for nm in names])
-            .withColumn("n_above", cnt.select("n_above").scalar())
-            .withColumn("n", cnt.select("n").scalar()))
+            .withColumn("n_above", c.getField("n_above"))
+            .withColumn("n", c.getField("n")))
 
 
 def boxplot_stats(df: DataFrame, col: str, whis: float = 1.5, decimals: int | None = 6,
@@ -231,7 +232,8 @@ def boxplot_stats(df: DataFrame, col: str, whis: float = 1.5, decimals: int | No
     """Quartiles, whiskers (furthest values within whis x IQR) and outlier counts."""
     x = _x(df, col)
     q = quantiles(x, "x", [0.25, 0.5, 0.75], ["q1", "med", "q3"], **kw)
-    q1, med, q3 = (q.select(c).scalar() for c in ("q1", "med", "q3"))
+    qs = q.select(F.struct("q1", "med", "q3")).scalar()
+    q1, med, q3 = (qs.getField(c) for c in ("q1", "med", "q3"))
     iqr = q3 - q1
     lo_f, hi_f = q1 - F.lit(whis) * iqr, q3 + F.lit(whis) * iqr
     st = x.agg(
