@@ -82,7 +82,10 @@ def ordered_counts(df: DataFrame, col: str, order: list[str], keep_absent: bool
         T.StructType([T.StructField(col, T.StringType()), T.StructField("ord", T.IntegerType())])))
     counts = value_counts_pct(df, col)
     if keep_absent:
-        out = (order_df.join(counts, col, "left")
+        # counts restricted to the listed categories hold at most len(order) rows
+        # (one per category), so that side is the broadcast one
+        present = counts.join(order_df, col, "inner").select(col, "n", "pct")
+        out = (order_df.join(F.broadcast(present), col, "left")
                .select(col, "ord", F.coalesce("n", F.lit(0)).cast(T.LongType()).alias("n"),
                        F.coalesce("pct", F.lit(0.0)).alias("pct")))
         return out.orderBy("ord")

@@ -193,8 +193,10 @@ def qe1_profile_care_seekers(df: DataFrame) -> DataFrame:
         for a, b, c in order_rows]))))
     # age bands: every band, zero when absent; education: present categories in
     # domain order; sex: observed categories, most frequent first
+    # the band counts hold at most one row per band label: broadcast that side
+    age_counts = counts.where(F.col("dimensao") == "faixa_etaria")
     ages = (order.where(F.col("dimensao") == "faixa_etaria")
-            .join(counts.where(F.col("dimensao") == "faixa_etaria"), ["dimensao", "categoria"], "left")
+            .join(F.broadcast(age_counts), ["dimensao", "categoria"], "left")
             .select("dimensao", "categoria", "ord", F.coalesce("n", F.lit(0)).cast(T.LongType()).alias("n")))
     edu = (counts.where(F.col("dimensao") == "escolaridade")
            .join(order.where(F.col("dimensao") == "escolaridade"), ["dimensao", "categoria"], "inner")
