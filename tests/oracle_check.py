@@ -24,15 +24,18 @@ from surveyframe.session import get_spark  # noqa: E402
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
-        return float(f"{float(v):.9g}")
+        return float(v) if EXACT else float(f"{float(v):.9g}")
     if hasattr(v, "isoformat"):
         return v.isoformat()[:10] if not hasattr(v, "hour") else v.isoformat()
     return v
