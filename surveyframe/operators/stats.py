@@ -153,10 +153,17 @@ def _quantiles_known(x: DataFrame, st: dict, probs: list[float], names: list[str
 
 def quantiles(df: DataFrame, col: str, probs: list[float], names: list[str] | None = None,
               map_limit: int = MAP_LIMIT, final_rows: int = FINAL_ROWS,
-              buckets: int = BUCKETS) -> DataFrame:
-    """Exact linear-interpolation quantiles of one column -> one row, one column per prob."""
+              buckets: int = BUCKETS, approx_accuracy: int | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles of one column -> one row, one column per prob.
+
+    ``approx_accuracy`` switches to one-pass ``percentile_approx`` (rank error
+    at most n / accuracy) for callers who prefer speed over exactness.
+    """
     names = names or [f"q{i}" for i in range(len(probs))]
     x = _x(df, col)
+    if approx_accuracy:
+        arr = x.agg(F.percentile_approx("x", [float(p) for p in probs], approx_accuracy).alias("__q"))
+        return arr.select([F.col("__q")[i].alias(nm) for i, nm in enumerate(names)])
     st = _stats(x, ["x"], {"x"} if _integral(df, [col]) else set())["x"]
     return _quantiles_known(x, st, probs, names, map_limit, final_rows, buckets)
 

@@ -204,3 +204,10 @@ def test_group_shares_wide(spark):
                                "m date, a string")
     got = [(r.m, r.Sim, r["Não"], r.Outro) for r in rates.group_shares(df, "m", "a", ["Sim", "Não", "Outro"]).collect()]
     assert got == [(D5, 50.0, 50.0, 0.0), (D7, 0.0, 100.0, 0.0)]
+
+
+def test_approx_quantiles_switch(spark):
+    vals = np.arange(10000, dtype=float)
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    got = stats.quantiles(df, "x", [0.5, 0.9], approx_accuracy=1000).first()
+    assert abs(got[0] - 4999.5) <= 10000 / 1000 and abs(got[1] - 8999.1) <= 10000 / 1000

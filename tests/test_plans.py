@@ -23,3 +23,22 @@ def test_pruned_decode_join_counts(spark):
     assert plan_summary(QS["freq_ocupacao_informed"](spark, SF_SMALL))["broadcast_hash_joins"] == 1
     assert plan_summary(QS["trend_care"](spark, SF_SMALL))["broadcast_hash_joins"] == 5
     assert plan_summary(QS["survey_processed"](spark, SF_SMALL))["broadcast_hash_joins"] == 16
+
+
+def test_hot_key_is_combined_map_side(spark):
+    """One key holding a third of the rows: every aggregation is partial before
+    its shuffle, so the hot key costs one row per task, and results are whole."""
+    from pyspark.sql import functions as F
+    from surveyframe.operators import freq, rates
+
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 1000).cast("string")).alias("k"),
+        F.when(F.col("id") % 2 == 0, F.lit("Sim")).otherwise(F.lit("Não")).alias("a"))
+    vc = freq.value_counts_pct(df, "k")
+    rows = {r.k: r.n for r in vc.collect()}
+    assert rows["hot"] == 10000 and sum(rows.values()) == 30000
+    plan = vc._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+    tr = rates.answer_rates(df, "k", ["a"])
+    assert "partial_count" in tr._jdf.queryExecution().executedPlan().toString()
+    assert {r.k: r.a for r in tr.collect()}["hot"] == 50.0
