@@ -55,7 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="surveyframe-ckpt-")
-    os.makedirs(configured, exist_ok=True) if "://" not in configured else None
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; a cluster needs a shared checkpoint folder")
+        configured = tempfile.mkdtemp(prefix="surveyframe-ckpt-")  # local runs (tests) only
+    if "://" not in configured:
+        os.makedirs(configured, exist_ok=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
