@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import any_answer, is_answer, is_not_answer, reverse_label
+from ..functions.columns import any_answer, is_answer, is_not_answer
 from ..schema import MONTH_COLUMN, MONTH_LABELS, NO, NOT_INFORMED, SYMPTOMS, YES
 
 ALL = "Todos"
@@ -67,7 +67,3 @@ def survey_filter(df: DataFrame, uf: str | None = None, sexo: str | None = None,
         add(F.col("sexo_desc") == F.lit(sexo))
     return df if cond is None else df.where(cond)
 
-
-def month_key_from_label(label_col):
-    """Column version of the label -> month key lookup."""
-    return reverse_label(label_col, MONTH_LABELS)

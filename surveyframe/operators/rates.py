@@ -70,13 +70,6 @@ def crosstab_pct(df: DataFrame, row: str, col: str, col_values: list[str],
     return g.join(order_df, row, "inner").select(cols + [F.col("ord")]).orderBy("ord")
 
 
-def crosstab_counts(df: DataFrame, row: str, col: str, col_values: list[str]) -> DataFrame:
-    """Contingency counts (no normalisation) with a fixed column list."""
-    base = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
-    aggs = [F.count_if(F.col(col) == F.lit(v)).alias(v) for v in col_values]
-    return base.groupBy(row).agg(*aggs).orderBy(row)
-
-
 def kpi_row(df: DataFrame, fever: str = "Febre_desc", aid: str = "AuxilioEmergencial_desc") -> DataFrame:
     """Respondents, % fever 'Sim', % aid 'Sim' in one global aggregation.
 

@@ -1,9 +1,9 @@
 """Named analyses over the consolidated survey frame: ``f(df) -> DataFrame``.
 
-Each function is a lazy plan; nothing runs until the caller acts on it.
-``COLUMNS`` lists what each analysis reads, so callers can decode only those
-columns (``plans.pipeline.survey(..., only=...)``) or read them from the
-stored table with column pruning.
+Each function is a lazy plan; nothing runs until the caller acts on it (the
+exact-quantile analyses run bounded statistics passes first).  On the stored
+table, column pruning keeps every read to the columns an analysis uses; on raw
+data, ``plans.pipeline.survey(..., only=...)`` decodes just those columns.
 """
 
 from __future__ import annotations
@@ -255,5 +255,3 @@ def month_labels(df: DataFrame) -> DataFrame:
 def sample_first_last(df: DataFrame, n: int = 5) -> DataFrame:
     return profile.head_tail(df, list(CONSOLIDATED_COLUMNS), n)
 
-
-ANALYSIS_COLUMNS: dict[str, list[str]] = {}

@@ -139,3 +139,13 @@ def test_dashboard_scan_prunes_and_cache(spark):
     assert not q.is_cached
     full = survey(spark, SF_SMALL)
     assert n == full.where("uf_desc = 'Bahia' AND sexo_desc = 'Homem' AND DataReferencia_Mes = DATE'2020-09-01'").count()
+
+
+def test_dims_written_with_overwrite_and_reread(spark):
+    d = tempfile.mkdtemp(prefix="sf-dims-", dir="/tmp")
+    D.write_dims(spark, d)
+    paths = D.write_dims(spark, d)  # a re-run replaces, never doubles
+    for name, path in paths.items():
+        back = D.read_dim(spark, path, name)
+        assert back.count() == len(D.DIM_ROWS[name])
+    assert D.bounded_broadcast(D.read_dim(spark, paths["uf"], "uf"), max_rows=5) is not None
