@@ -13,8 +13,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
-    # Dims are tiny; anything larger than this must not be broadcast by size guess.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # No broadcast by size estimate: every broadcast in this library is an
+    # explicit hint on a side whose row count is proven (literal code tables,
+    # order lists, per-bin or per-category results, checked stored tables).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     # A wide decode stage (16 probes + derived columns) generates a loop method
     # above HotSpot's 8000-byte JIT limit; let the JIT compile it anyway.
     "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
