@@ -28,8 +28,15 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def share_of_total(counts: DataFrame, n: str = "n") -> Column:
-    """``n`` as a percent of its column total, the total being a scalar subquery."""
-    return pct(F.col(n), counts.agg(F.sum(n)).scalar())
+    """``n`` as a percent of its column total, the total being a scalar subquery.
+
+    The subquery also touches every other column of ``counts``, so column
+    pruning cannot make its aggregation differ from the main one: Spark then
+    reuses the main aggregation's shuffle and the input is scanned once.
+    """
+    keep = [F.count(F.col(c)).alias(f"__k{i}") for i, c in enumerate(counts.columns) if c != n]
+    total = counts.agg(F.struct(F.sum(n).alias("t"), *keep)).scalar()
+    return pct(F.col(n), total.getField("t"))
 
 
 def value_counts_pct(df: DataFrame, col: str, weight: str | None = None) -> DataFrame:
@@ -50,8 +57,8 @@ def top_k(df: DataFrame, col: str, k: int = 5, with_pct: bool = True) -> DataFra
 
 
 def multi_value_counts(df: DataFrame, cols: list[str], names: list[str] | None = None,
-                       measure: str = "measure", value: str = "value") -> DataFrame:
-    """Frequency table of several columns in one scan -> (measure, value, n, pct).
+                       measure: str = "measure", value: str = "value", with_pct: bool = True) -> DataFrame:
+    """Frequency table of several columns in one scan -> (measure, value, n[, pct]).
 
     The columns are unpivoted first, so one aggregation covers all of them;
     the percent is within each measure (all rows, NULL included).
@@ -61,6 +68,8 @@ def multi_value_counts(df: DataFrame, cols: list[str], names: list[str] | None =
         F.struct(F.lit(nm).alias(measure), F.col(c).cast(T.StringType()).alias(value))
         for nm, c in zip(names, cols)])).alias("__s")).select("__s.*")
     counts = stacked.groupBy(measure, value).agg(F.count(F.lit(1)).alias("n"))
+    if not with_pct:
+        return counts.orderBy(F.asc(measure), F.desc("n"), F.asc_nulls_last(value))
     # one total per measure: a few rows, joined back by broadcast (bounded by len(cols))
     totals = counts.groupBy(measure).agg(F.sum("n").alias("__tot"))
     return (counts.join(F.broadcast(totals), measure)

@@ -222,13 +222,22 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, decimals: int
 
 
 def quantile_report(df: DataFrame, col: str, probs: list[float], names: list[str],
-                    threshold: float, decimals: int | None = 6, **kw) -> DataFrame:
-    """Quantiles plus a count above a threshold, one row (non-null values only)."""
-    q = quantiles(df, col, probs, names, **kw)
-    cnt = df.agg(F.count_if(F.col(col).cast(T.DoubleType()) > F.lit(threshold)).alias("n_above"),
-                 F.count(F.col(col)).alias("n"))
+                    threshold: float, decimals: int | None = 6, map_limit: int = MAP_LIMIT,
+                    final_rows: int = FINAL_ROWS, buckets: int = BUCKETS) -> DataFrame:
+    """Quantiles plus a count above a threshold, one row (non-null values only).
+
+    On the exact-percentile path the count rides in the same aggregation as
+    the quantiles (one pass after the statistics pass).
+    """
+    x = _x(df, col)
+    st = _stats(x, ["x"], {"x"} if _integral(df, [col]) else set())["x"]
     r = (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
-    c = cnt.select(F.struct("n_above", "n")).scalar()
+    counts = [F.count_if(F.col("x") > F.lit(threshold)).alias("n_above"), F.count(F.lit(1)).alias("n")]
+    if 0 < st["n"] and st["d"] <= map_limit:
+        one = x.agg(F.percentile("x", F.array(*[F.lit(float(p)) for p in probs])).alias("__q"), *counts)
+        return one.select([r(F.col("__q")[i]).alias(nm) for i, nm in enumerate(names)] + ["n_above", "n"])
+    q = _quantiles_known(x, st, probs, names, map_limit, final_rows, buckets)
+    c = x.agg(F.struct(*counts)).scalar()
     return (q.select([r(F.col(nm)).alias(nm) for nm in names])
             .withColumn("n_above", c.getField("n_above"))
             .withColumn("n", c.getField("n")))

@@ -22,6 +22,7 @@ from ..schema import (AGE_BAND_EDGES, AGE_BAND_LABELS, CONSOLIDATED_COLUMNS, DIM
 SYMPTOM_COLS = list(SYMPTOMS.values())
 SYMPTOM_NAMES = ["febre", "tosse", "dificuldade_respirar", "perda_olfato_paladar"]
 ANSWERS = [label for _, label in DIM_ROWS["sim_nao_sabe_ignorado"]] + [NOT_INFORMED]
+SEX_LABELS = [label for _, label in DIM_ROWS["sexo"]] + [NOT_INFORMED]
 M = MONTH_COLUMN
 
 
@@ -31,7 +32,7 @@ def q2_first_look(df: DataFrame, k: int = 15) -> DataFrame:
     """Top-15 frequency of seven key columns (NULL group included), one scan."""
     cols = ["uf_desc", "sexo_desc", "escolaridade_desc", "FaixaRendimento_desc", M,
             "Febre_desc", "ProcurouAtendimento_desc"]
-    t = freq.multi_value_counts(df, cols)
+    t = freq.multi_value_counts(df, cols, with_pct=False)
     rk = F.row_number().over(Window.partitionBy("measure").orderBy(F.desc("n"), F.asc_nulls_last("value")))
     return t.withColumn("rk", rk).where(F.col("rk") <= k).select("measure", "value", "n", "rk")
 
@@ -177,34 +178,35 @@ def qd_month_answer_shares(df: DataFrame, col: str = "Febre_desc") -> DataFrame:
 # ------------------------------------------------------------- E: profiles
 
 def qe1_profile_care_seekers(df: DataFrame) -> DataFrame:
-    """Age band (all bands, zeros kept), sex and education of symptomatic care seekers."""
+    """Age band (all bands, zeros kept), sex and education of symptomatic care seekers.
+
+    One scan and one global aggregation: a conditional count per category of
+    each dimension (the categories are the code-table labels plus the default,
+    so the domain is known).  Age bands keep empty bands; education keeps the
+    present categories in domain order; sex keeps the present categories,
+    most frequent first.
+    """
     base = filters.sought_care(filters.symptomatic(df))
     band = cut(F.col("Idade"), AGE_BAND_EDGES, AGE_BAND_LABELS)
-    long = base.select(F.explode(F.array(
-        F.struct(F.lit("faixa_etaria").alias("dimensao"), band.alias("categoria")),
-        F.struct(F.lit("sexo").alias("dimensao"), F.col("sexo_desc").alias("categoria")),
-        F.struct(F.lit("escolaridade").alias("dimensao"), F.col("escolaridade_desc").alias("categoria")),
-    )).alias("__s")).select("__s.*").where(F.col("categoria").isNotNull())
-    counts = long.groupBy("dimensao", "categoria").agg(F.count(F.lit(1)).alias("n"))
-    order_rows = ([("faixa_etaria", v, i) for i, v in enumerate(AGE_BAND_LABELS)]
-                  + [("escolaridade", v, i) for i, v in enumerate(EDUCATION_ORDER)])
-    order = F.broadcast(df.sparkSession.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("dimensao"), F.lit(b).alias("categoria"), F.lit(c).alias("ord"))
-        for a, b, c in order_rows]))))
-    # age bands: every band, zero when absent; education: present categories in
-    # domain order; sex: observed categories, most frequent first
-    # the band counts hold at most one row per band label: broadcast that side
-    age_counts = counts.where(F.col("dimensao") == "faixa_etaria")
-    ages = (order.where(F.col("dimensao") == "faixa_etaria")
-            .join(F.broadcast(age_counts), ["dimensao", "categoria"], "left")
-            .select("dimensao", "categoria", "ord", F.coalesce("n", F.lit(0)).cast(T.LongType()).alias("n")))
-    edu = (counts.where(F.col("dimensao") == "escolaridade")
-           .join(order.where(F.col("dimensao") == "escolaridade"), ["dimensao", "categoria"], "inner")
-           .select("dimensao", "categoria", "ord", "n"))
-    sexw = Window.partitionBy("dimensao").orderBy(F.desc("n"), F.asc("categoria"))
-    sex = (counts.where(F.col("dimensao") == "sexo")
-           .select("dimensao", "categoria", (F.row_number().over(sexw) - 1).cast(T.IntegerType()).alias("ord"), "n"))
-    return ages.unionByName(sex).unionByName(edu).orderBy("dimensao", "ord")
+    dims = [("faixa_etaria", band, AGE_BAND_LABELS),
+            ("sexo", F.col("sexo_desc"), SEX_LABELS),
+            ("escolaridade", F.col("escolaridade_desc"), EDUCATION_ORDER)]
+    aggs, structs = [], []
+    for d, expr, labels in dims:
+        for i, v in enumerate(labels):
+            aggs.append(F.count_if(expr == F.lit(v)).alias(f"__{d}_{i}"))
+            structs.append(F.struct(F.lit(d).alias("dimensao"), F.lit(v).alias("categoria"),
+                                    F.lit(i).alias("ord"), F.col(f"__{d}_{i}").alias("n")))
+    rows = base.agg(*aggs).select(F.inline(F.array(*structs)))
+    sexw = Window.partitionBy("dimensao").orderBy(F.desc("n"), F.asc("categoria"))  # <= 3 rows
+    ages = rows.where(F.col("dimensao") == "faixa_etaria")
+    edu = rows.where((F.col("dimensao") == "escolaridade") & (F.col("n") > 0))
+    sex = (rows.where((F.col("dimensao") == "sexo") & (F.col("n") > 0))
+           .withColumn("ord", (F.row_number().over(sexw) - 1).cast(T.IntegerType())))
+    return (ages.unionByName(sex).unionByName(edu)
+            .select("dimensao", "categoria", F.col("ord").cast(T.IntegerType()).alias("ord"),
+                    F.col("n").cast(T.LongType()).alias("n"))
+            .orderBy("dimensao", "ord"))
 
 
 def qe2_symptoms_of_care_seekers(df: DataFrame) -> DataFrame:
