@@ -65,3 +65,15 @@ def test_month_label_and_measure_name(spark):
     r = df.select(C.month_label("d").alias("a"), C.month_label("d", "MM/yy").alias("b"),
                   C.measure_name("c").alias("m"), C.pct_text(F.lit(12.345)).alias("t")).first()
     assert (r.a, r.b, r.m, r.t) == ("2020-07", "07/20", "Febre", "12.35%")
+
+
+def test_strict_date_raises_and_date_key(spark):
+    import pytest
+
+    ok = spark.createDataFrame([("2020-07-01",)], "d string")
+    r = ok.select(C.strict_date("d").alias("d")).first()
+    assert r.d == datetime.date(2020, 7, 1)
+    assert ok.select(C.date_key(C.strict_date("d"))).first()[0] == "2020-07-01"
+    bad = spark.createDataFrame([("2020-13-45",)], "d string")
+    with pytest.raises(Exception):
+        bad.select(C.strict_date("d")).collect()
