@@ -247,7 +247,7 @@ def boxplot_stats(df: DataFrame, col: str, whis: float = 1.5, decimals: int | No
                   **kw) -> DataFrame:
     """Quartiles, whiskers (furthest values within whis x IQR) and outlier counts."""
     x = _x(df, col)
-    q = quantiles(x, "x", [0.25, 0.5, 0.75], ["q1", "med", "q3"], **kw)
+    q = quantiles(df, col, [0.25, 0.5, 0.75], ["q1", "med", "q3"], **kw)  # keeps the integral bound
     qs = q.select(F.struct("q1", "med", "q3")).scalar()
     q1, med, q3 = (qs.getField(c) for c in ("q1", "med", "q3"))
     iqr = q3 - q1
