@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 
 from surveyframe.operators import distribution, freq, stats
 
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=8, deadline=None, derandomize=True, database=None,
+                    suppress_health_check=list(HealthCheck))
 floats = st.floats(min_value=-1e6, max_value=1e6, allow_nan=False, allow_infinity=False)
 
 
