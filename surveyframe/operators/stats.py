@@ -52,6 +52,27 @@ def _positions(n: int, probs: list[float]) -> list[tuple[int, int, float]]:
     return out
 
 
+def _value_counts_cum(x: DataFrame) -> DataFrame:
+    """Distinct values with their counts and running count, ascending.
+
+    Used only when the number of distinct values is proven small
+    (<= ``map_limit``): the running sum is a window over those rows.
+    """
+    vc = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return vc.withColumn("cum", F.sum("c").over(w))
+
+
+def _rank_value(k: int) -> Column:
+    """Aggregate over ``_value_counts_cum`` rows: the value at 0-based rank ``k``."""
+    return F.min(F.when(F.col("cum") > F.lit(k), F.col("x")))
+
+
+def _quantile_aggs(n: int, probs: list[float], names: list[str]) -> list[Column]:
+    return [_lerp(_rank_value(k), _rank_value(k2), fr).alias(nm)
+            for (k, k2, fr), nm in zip(_positions(n, probs), names)]
+
+
 def _select_ranks(x: DataFrame, n: int, mn: float, mx: float, ranks: list[int],
                   buckets: int, final_rows: int) -> DataFrame:
     """Exact values at 0-based ``ranks`` of the sorted column -> (rank, value)."""
@@ -141,8 +162,7 @@ def _quantiles_known(x: DataFrame, st: dict, probs: list[float], names: list[str
     if n == 0:
         return x.sparkSession.range(1).select([F.lit(None).cast(T.DoubleType()).alias(nm) for nm in names])
     if d <= map_limit:
-        arr = x.agg(F.percentile("x", F.array(*[F.lit(float(p)) for p in probs])).alias("__q"))
-        return arr.select([F.col("__q")[i].alias(nm) for i, nm in enumerate(names)])
+        return _value_counts_cum(x).agg(*_quantile_aggs(n, probs, names))
     pos = _positions(n, probs)
     ranks = sorted({k for p in pos for k in p[:2]})
     sel = _select_ranks(x, n, st["mn"], st["mx"], ranks, buckets, final_rows)
@@ -244,21 +264,41 @@ def quantile_report(df: DataFrame, col: str, probs: list[float], names: list[str
 
 
 def boxplot_stats(df: DataFrame, col: str, whis: float = 1.5, decimals: int | None = 6,
-                  **kw) -> DataFrame:
-    """Quartiles, whiskers (furthest values within whis x IQR) and outlier counts."""
+                  map_limit: int = MAP_LIMIT, final_rows: int = FINAL_ROWS, buckets: int = BUCKETS) -> DataFrame:
+    """Quartiles, whiskers (furthest values within whis x IQR) and outlier counts.
+
+    With few distinct values (proven by the statistics pass) everything comes
+    from one aggregation of the column into value counts: the quartiles are a
+    scalar subquery over those counts and the whiskers/outliers a second
+    aggregation over the same counts (its shuffle is reused), so the column is
+    read once after the statistics pass.  Otherwise the quartiles come from
+    distributed selection and the whiskers from one more pass.
+    """
     x = _x(df, col)
-    q = quantiles(df, col, [0.25, 0.5, 0.75], ["q1", "med", "q3"], **kw)  # keeps the integral bound
-    qs = q.select(F.struct("q1", "med", "q3")).scalar()
-    q1, med, q3 = (qs.getField(c) for c in ("q1", "med", "q3"))
+    st = _stats(x, ["x"], {"x"} if _integral(df, [col]) else set())["x"]
+    r = (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
+    names = ["q1", "med", "q3"]
+    small = 0 < st["n"] and st["d"] <= map_limit
+    if small:
+        base = _value_counts_cum(x)
+        q = base.agg(*_quantile_aggs(st["n"], [0.25, 0.5, 0.75], names))
+        weight = F.col("c")
+    else:
+        base = x
+        q = _quantiles_known(x, st, [0.25, 0.5, 0.75], names, map_limit, final_rows, buckets)
+        weight = F.lit(1)
+    qs = q.select(F.struct(*names)).scalar()
+    q1, med, q3 = (qs.getField(c) for c in names)
     iqr = q3 - q1
     lo_f, hi_f = q1 - F.lit(whis) * iqr, q3 + F.lit(whis) * iqr
-    st = x.agg(
-        F.count(F.lit(1)).alias("n"),
+    out = base.agg(
+        F.sum(weight).cast(T.LongType()).alias("n"),
         F.min(F.when(F.col("x") >= lo_f, F.col("x"))).alias("whisker_lo"),
         F.max(F.when(F.col("x") <= hi_f, F.col("x"))).alias("whisker_hi"),
-        F.count_if(F.col("x") < lo_f).alias("n_out_lo"),
-        F.count_if(F.col("x") > hi_f).alias("n_out_hi"),
+        F.sum(F.when(F.col("x") < lo_f, weight).otherwise(0)).cast(T.LongType()).alias("n_out_lo"),
+        F.sum(F.when(F.col("x") > hi_f, weight).otherwise(0)).cast(T.LongType()).alias("n_out_hi"),
     )
-    r = (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
-    return st.select("n", r(q1).alias("q1"), r(med).alias("median"), r(q3).alias("q3"),
-                     "whisker_lo", "whisker_hi", "n_out_lo", "n_out_hi")
+    return out.select(F.coalesce("n", F.lit(0)).cast(T.LongType()).alias("n"), r(q1).alias("q1"),
+                      r(med).alias("median"), r(q3).alias("q3"), "whisker_lo", "whisker_hi",
+                      F.coalesce("n_out_lo", F.lit(0)).cast(T.LongType()).alias("n_out_lo"),
+                      F.coalesce("n_out_hi", F.lit(0)).cast(T.LongType()).alias("n_out_hi"))

@@ -97,8 +97,8 @@ def main():
               "  pass.  A second read of one column is cheaper at scale than shuffling the column's values.",
               "* `describe_*`, `quantiles_income` (2): a statistics pass (count, min, max, distinct bound) picks",
               "  the exact-quantile method, then one pass computes moments and quantiles together.",
-              "* `box_*` (3): statistics, quartiles, then whiskers and outlier counts, which depend on the",
-              "  quartiles.",
+              "* `box_*` (2): statistics, then one aggregation of the column into value counts; quartiles",
+              "  (a scalar subquery) and whiskers/outliers both come from those counts (shuffle reused).",
               "* `sample_first_last` (2): head and tail are two top-k passes (each task keeps 5 rows).", "",
               "Shuffles after partial aggregation are tiny (KiB); the largest are the exact-percentile",
               "buffers of high-cardinality columns in `describe_numeric_all`/`box_extendedprice`.", ""]
