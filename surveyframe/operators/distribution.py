@@ -17,7 +17,9 @@ from .freq import ordered_counts
 
 
 def _x(df: DataFrame, col: str) -> DataFrame:
-    return df.select(F.col(col).cast(T.DoubleType()).alias("x")).where(F.col("x").isNotNull())
+    """The column as non-missing doubles (NULL and NaN are missing, as in pandas)."""
+    return df.select(F.col(col).cast(T.DoubleType()).alias("x")).where(
+        F.col("x").isNotNull() & ~F.isnan("x"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:

@@ -35,7 +35,9 @@ MAX_ROUNDS = 64
 
 
 def _x(df: DataFrame, col: str) -> DataFrame:
-    return df.select(F.col(col).cast(T.DoubleType()).alias("x")).where(F.col("x").isNotNull())
+    """The column as non-missing doubles (NULL and NaN are missing, as in pandas)."""
+    return df.select(F.col(col).cast(T.DoubleType()).alias("x")).where(
+        F.col("x").isNotNull() & ~F.isnan("x"))
 
 
 def _lerp(lo: Column, hi: Column, frac: float) -> Column:
@@ -207,7 +209,9 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, decimals: int
     if cols is None:
         cols = [f.name for f in df.schema.fields
                 if isinstance(f.dataType, (T.IntegralType, T.FloatType, T.DoubleType))]
-    xs = df.select([F.col(c).cast(T.DoubleType()).alias(c) for c in cols])
+    # NaN is missing, as in pandas
+    xs = df.select([F.nanvl(F.col(c).cast(T.DoubleType()), F.lit(None).cast(T.DoubleType())).alias(c)
+                    for c in cols])
     map_limit = kw.get("map_limit", MAP_LIMIT)
     stats = _stats(xs, cols, _integral(df, cols))
     probs = [0.25, 0.5, 0.75]

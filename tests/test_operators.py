@@ -211,3 +211,18 @@ def test_approx_quantiles_switch(spark):
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     got = stats.quantiles(df, "x", [0.5, 0.9], approx_accuracy=1000).first()
     assert abs(got[0] - 4999.5) <= 10000 / 1000 and abs(got[1] - 8999.1) <= 10000 / 1000
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    q = stats.quantiles(df, "x", [0.5]).first()[0]
+    assert q == 2.0
+    h = distribution.histogram(df, "x", 2).collect()
+    assert [r.n for r in h] == [1, 1] and h[-1].hi == 3.0
+    assert stats.boxplot_stats(df, "x").first().n == 2
+
+
+def test_describe_skips_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double")
+    r = stats.describe(df, "x").first()
+    assert (r["count"], r.mean, r.q50) == (2, 2.0, 2.0)
