@@ -149,3 +149,16 @@ def test_dims_written_with_overwrite_and_reread(spark):
         back = D.read_dim(spark, path, name)
         assert back.count() == len(D.DIM_ROWS[name])
     assert D.bounded_broadcast(D.read_dim(spark, paths["uf"], "uf"), max_rows=5) is not None
+
+
+def test_sink_clusters_rows_for_row_group_skipping(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    out = tempfile.mkdtemp(prefix="sf-clu-", dir="/tmp")
+    write_consolidated(survey(spark, SF_SMALL), out + "/t")
+    for fn in glob.glob(out + "/t/*/*.parquet"):
+        t = pq.read_table(fn, columns=["uf_desc", "sexo_desc"]).to_pylist()
+        keys = [(r["uf_desc"], r["sexo_desc"]) for r in t]
+        assert keys == sorted(keys)
