@@ -7,7 +7,7 @@ All of them are conditional aggregation: one ``groupBy`` with one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,20 +15,33 @@ from ..functions.columns import is_answer, pct
 from ..schema import YES
 
 
+def _num(cond: Column, weight: str | None) -> Column:
+    """Rows (or total weight) meeting ``cond``."""
+    if weight is None:
+        return F.count_if(cond)
+    return F.coalesce(F.sum(F.when(cond, F.col(weight).cast(T.DoubleType()))), F.lit(0.0))
+
+
+def _den(col: Column, weight: str | None) -> Column:
+    """Rows (or total weight) where ``col`` is not NULL."""
+    return _num(col.isNotNull(), weight) if weight else F.count(col)
+
+
 def answer_rates(df: DataFrame, group: str, cols: list[str], names: list[str] | None = None,
-                 answer: str = YES) -> DataFrame:
+                 answer: str = YES, weight: str | None = None) -> DataFrame:
     """Percent of non-null answers equal to ``answer``, per group, one column each.
 
     Rows with a NULL group are dropped (grouped value counts drop them); a
     group appears when at least one measure has a non-null answer in it, and
     a measure with no such answer in a group is 0.0 (full-outer alignment of
-    the per-measure series, missing -> 0).
+    the per-measure series, missing -> 0).  With ``weight`` the rates are
+    population-weighted (sums of the weight instead of row counts).
     """
     names = names or cols
     aggs, dens = [], []
     for c, nm in zip(cols, names):
         num, den = f"__num_{nm}", f"__den_{nm}"
-        aggs += [F.count_if(is_answer(c, answer)).alias(num), F.count(F.col(c)).alias(den)]
+        aggs += [_num(is_answer(c, answer), weight).alias(num), _den(F.col(c), weight).alias(den)]
         dens.append(den)
     g = df.where(F.col(group).isNotNull()).groupBy(group).agg(*aggs)
     g = g.where(sum((F.col(d) for d in dens[1:]), F.col(dens[0])) > 0)
@@ -50,17 +63,18 @@ def group_shares(df: DataFrame, group: str, col: str, values: list[str]) -> Data
 
 
 def crosstab_pct(df: DataFrame, row: str, col: str, col_values: list[str],
-                 row_order: list[str] | None = None) -> DataFrame:
+                 row_order: list[str] | None = None, weight: str | None = None) -> DataFrame:
     """Row-normalised contingency table in percent -> (row, <one column per value>).
 
     Rows where either variable is NULL are dropped first (as crosstab does);
     the row total counts every remaining row, so the listed columns sum to 100
     when ``col_values`` covers the column's domain.  With ``row_order`` the
     rows are restricted to, and sorted by, that order (an ``ord`` column).
+    ``weight`` gives population-weighted row percentages.
     """
     base = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
-    aggs = [F.count_if(F.col(col) == F.lit(v)).alias(f"__n{i}") for i, v in enumerate(col_values)]
-    g = base.groupBy(row).agg(F.count(F.lit(1)).alias("__tot"), *aggs)
+    aggs = [_num(F.col(col) == F.lit(v), weight).alias(f"__n{i}") for i, v in enumerate(col_values)]
+    g = base.groupBy(row).agg(_num(F.lit(True), weight).alias("__tot"), *aggs)
     cols = [F.col(row)] + [pct(F.col(f"__n{i}"), F.col("__tot")).alias(v) for i, v in enumerate(col_values)]
     if row_order is None:
         return g.select(cols).orderBy(row)
@@ -70,13 +84,17 @@ def crosstab_pct(df: DataFrame, row: str, col: str, col_values: list[str],
     return g.join(order_df, row, "inner").select(cols + [F.col("ord")]).orderBy("ord")
 
 
-def kpi_row(df: DataFrame, fever: str = "Febre_desc", aid: str = "AuxilioEmergencial_desc") -> DataFrame:
+def kpi_row(df: DataFrame, fever: str = "Febre_desc", aid: str = "AuxilioEmergencial_desc",
+            weight: str | None = None) -> DataFrame:
     """Respondents, % fever 'Sim', % aid 'Sim' in one global aggregation.
 
     An empty input gives 0 respondents and NULL rates (no division error).
+    With ``weight`` the rates are population-weighted (respondents stays a
+    row count).
     """
+    total = _num(F.lit(True), weight)
     return df.agg(
         F.count(F.lit(1)).alias("respondentes"),
-        pct(F.count_if(is_answer(fever, YES)), F.count(F.lit(1))).alias("pct_febre"),
-        pct(F.count_if(is_answer(aid, YES)), F.count(F.lit(1))).alias("pct_auxilio"),
+        pct(_num(is_answer(fever, YES), weight), total).alias("pct_febre"),
+        pct(_num(is_answer(aid, YES), weight), total).alias("pct_auxilio"),
     ).select(F.col("respondentes").cast(T.LongType()), "pct_febre", "pct_auxilio")

@@ -226,3 +226,17 @@ def test_describe_skips_nan(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double")
     r = stats.describe(df, "x").first()
     assert (r["count"], r.mean, r.q50) == (2, 2.0, 2.0)
+
+
+def test_weighted_rates_crosstab_kpi(spark):
+    df = spark.createDataFrame([(D5, "Sim", "x", 3.0), (D5, "Não", "x", 1.0), (D5, None, "y", 5.0),
+                                (D7, "Sim", "y", 2.0)], "m date, a string, r string, w double")
+    got = {r.m: r.a for r in rates.answer_rates(df, "m", ["a"], weight="w").collect()}
+    assert got == {D5: 75.0, D7: 100.0}
+    ct = {r.r: (r.Sim, r["Não"]) for r in rates.crosstab_pct(df, "r", "a", ["Sim", "Não"], weight="w").collect()}
+    assert ct == {"x": (75.0, 25.0), "y": (100.0, 0.0)}
+    k = rates.kpi_row(df.withColumnRenamed("a", "Febre_desc").withColumn("AuxilioEmergencial_desc", F.lit("Sim")),
+                      weight="w").first()
+    assert (k.respondentes, k.pct_febre, k.pct_auxilio) == (4, 5.0 * 100 / 11, 100.0)
+    # unweighted stays row-based
+    assert rates.answer_rates(df, "m", ["a"]).collect()[0].a == 50.0
