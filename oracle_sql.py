@@ -124,8 +124,8 @@ qq AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS med, quanti
 SELECT COUNT(*) AS n, ROUND(ANY_VALUE(q1), 6) AS q1, ROUND(ANY_VALUE(med), 6) AS median, ROUND(ANY_VALUE(q3), 6) AS q3,
   MIN(CASE WHEN x >= q1 - 1.5 * (q3 - q1) THEN x END) AS whisker_lo,
   MAX(CASE WHEN x <= q3 + 1.5 * (q3 - q1) THEN x END) AS whisker_hi,
-  count_if(x < q1 - 1.5 * (q3 - q1)) AS n_out_lo,
-  count_if(x > q3 + 1.5 * (q3 - q1)) AS n_out_hi
+  CAST(count_if(x < q1 - 1.5 * (q3 - q1)) AS BIGINT) AS n_out_lo,
+  CAST(count_if(x > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS n_out_hi
 FROM x CROSS JOIN qq"""
 
 
@@ -244,10 +244,10 @@ SELECT 'escolaridade', e.categoria, o.ord, e.n FROM edu e JOIN {values_table('ca
   ON e.categoria = o.categoria""",
     "symptoms_of_care_seekers": f"""{PRE},
 b AS (SELECT * FROM survey WHERE ProcurouAtendimento_desc = 'Sim')
-SELECT 'Febre' AS sintoma, count_if(Febre_desc = 'Sim') AS contagem_sim FROM b UNION ALL
-SELECT 'Tosse', count_if(Tosse_desc = 'Sim') FROM b UNION ALL
-SELECT 'DificuldadeRespirar', count_if(DificuldadeRespirar_desc = 'Sim') FROM b UNION ALL
-SELECT 'PerdaOlfatoPaladar', count_if(PerdaOlfatoPaladar_desc = 'Sim') FROM b""",
+SELECT 'Febre' AS sintoma, CAST(count_if(Febre_desc = 'Sim') AS BIGINT) AS contagem_sim FROM b UNION ALL
+SELECT 'Tosse', CAST(count_if(Tosse_desc = 'Sim') AS BIGINT) FROM b UNION ALL
+SELECT 'DificuldadeRespirar', CAST(count_if(DificuldadeRespirar_desc = 'Sim') AS BIGINT) FROM b UNION ALL
+SELECT 'PerdaOlfatoPaladar', CAST(count_if(PerdaOlfatoPaladar_desc = 'Sim') AS BIGINT) FROM b""",
     "crosstab_income_hosp": f"""{PRE},
 t AS ({crosstab('FaixaRendimento_desc', 'InternadoHospital_desc', HOSPITAL_YES_NO,
                 SYMPTOMATIC + " AND ProcurouAtendimento_desc = 'Sim' AND InternadoHospital_desc IN ("
@@ -276,7 +276,7 @@ FROM k CROSS JOIN p WHERE p.h > 0""",
     "hist_income_100": hist(PRE, num("TRY_CAST(RendimentoHabitual_Valor AS DOUBLE)", "survey"), 100),
     "quantiles_income": f"""{PRE}, {num('TRY_CAST(RendimentoHabitual_Valor AS DOUBLE)', 'survey')}
 SELECT ROUND(quantile_cont(x, 0.95), 6) AS p95, ROUND(quantile_cont(x, 0.99), 6) AS p99,
-       count_if(x > 20000.0) AS n_above, COUNT(x) AS n FROM x""",
+       CAST(count_if(x > 20000.0) AS BIGINT) AS n_above, COUNT(x) AS n FROM x""",
     "box_income": box(PRE, num("TRY_CAST(RendimentoHabitual_Valor AS DOUBLE)", "survey")),
     "describe_numeric_all": f"{PRE}\n" + "\nUNION ALL\n".join(describe_one(c, "survey", c) for c in NUMERIC_COLS),
     "describe_categorical": f"""{PRE},
@@ -344,3 +344,27 @@ FROM events WHERE ts IS NOT NULL GROUP BY 1 HAVING COUNT(event_type) > 0""",
     "describe_lineitem": "\nUNION ALL\n".join(describe_one(c, "lineitem", c)
                                               for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
 }
+
+
+def portable(sql: str, dates: list[str] = (), decimals: list[str] = ()) -> str:
+    """Same final projection as the registered Spark results: ISO date text, decimals as double."""
+    rep = [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates] + [f"CAST({c} AS DOUBLE) AS {c}" for c in decimals]
+    return f"SELECT * REPLACE ({', '.join(rep)}) FROM (\n{sql}\n) portable_t" if rep else sql
+
+
+_M = "DataReferencia_Mes"
+for _name, _dates, _decimals in [
+    ("survey_processed", [], ["RendimentoHabitual_Valor"]),
+    ("survey_consolidated_counts", [_M], []),
+    ("scan_pruned_filtered", [_M], []),
+    ("trend_symptoms", [_M], []),
+    ("trend_care", [_M], []),
+    ("trend_work_aid", [_M], []),
+    ("trend_work_aid_filtered", [_M], []),
+    ("month_fever_answer_shares", [_M], []),
+    ("sample_first_last", [_M], ["RendimentoHabitual_Valor"]),
+    ("month_labels", [_M], []),
+    ("lenient_casts", ["dt"], []),
+    ("trend_event_error_daily", ["dia"], []),
+]:
+    ORACLE[_name] = portable(ORACLE[_name], _dates, _decimals)

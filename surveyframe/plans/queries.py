@@ -35,6 +35,25 @@ def _on_survey(fn, cols: list[str]) -> Query:
     return lambda spark, sf_dir: fn(survey(spark, sf_dir, only=cols))
 
 
+def portable(df: DataFrame) -> DataFrame:
+    """Final projection of a registered result into engine-neutral types.
+
+    Dates become ISO text ('2020-05-01', as the dashboard's loader does) and
+    decimals become doubles, so a result compares identically whether it is
+    read through Arrow, pandas or rows.  The library itself keeps DATE and
+    DECIMAL(38,9); only registered outputs are projected.
+    """
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, T.DecimalType):
+            c = c.cast(T.DoubleType())
+        cols.append(c.alias(f.name))
+    return df.select(cols)
+
+
 # ----------------------------------------------------------- pipeline queries
 
 def survey_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +138,7 @@ NUMERIC = [c for c in CONSOLIDATED_COLUMNS
            if c.endswith("_cod") or c in ("Ano", "Peso_Amostral", "Idade")]
 TEXT = [c for c in CONSOLIDATED_COLUMNS if c.endswith("_desc") or c == "FaixaRendimento_cod_str"]
 
-QUERIES: dict[str, Query] = {
+_QUERIES: dict[str, Query] = {
     # pipeline
     "survey_processed": survey_processed,
     "survey_consolidated_counts": survey_consolidated_counts,
@@ -191,3 +210,7 @@ QUERIES: dict[str, Query] = {
     "box_extendedprice": box_extendedprice,
     "describe_lineitem": describe_extendedprice,
 }
+
+QUERIES: dict[str, Query] = {
+    name: (lambda fn: lambda spark, sf_dir: portable(fn(spark, sf_dir)))(fn) for name, fn in _QUERIES.items()
+}

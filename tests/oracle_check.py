@@ -67,6 +67,12 @@ def compare(spark, con, name, qs, orc, sf):
         diffs = [(x, y) for x, y in zip(a, b) if x != y]
         if diffs:
             problems.append(f"{len(diffs)} differing rows, e.g. spark={diffs[0][0]} duck={diffs[0][1]}")
+    if os.environ.get("ORACLE_ARROW") == "1":
+        st = {f.name: str(f.type) for f in df.toArrow().schema}
+        dt = {f.name: str(f.type) for f in con.execute(orc[name]).to_arrow_table().schema}
+        if st != dt:
+            diff = {k: (st.get(k), dt.get(k)) for k in set(st) | set(dt) if st.get(k) != dt.get(k)}
+            problems.append(f"arrow types differ {diff}")
     return ("OK" if not problems else "MISMATCH"), "; ".join(problems)
 
 
@@ -89,38 +95,11 @@ def main():
     for name in names or list(qs):
         t0 = time.time()
         try:
-            df = qs[name](spark, sf)
-            srows = [tuple(r) for r in df.collect()]
-            scols = df.columns
+            status, msg = compare(spark, con, name, qs, orc, sf)
         except Exception as e:  # noqa: BLE001
-            print(f"SPARK-FAIL {name}: {str(e)[:600]}")
-            bad += 1
-            continue
-        t1 = time.time()
-        if name not in orc:
-            print(f"NO-ORACLE {name} rows={len(srows)}")
-            continue
-        try:
-            cur = con.execute(orc[name])
-            drows = cur.fetchall()
-            dcols = [d[0] for d in cur.description]
-        except Exception as e:  # noqa: BLE001
-            print(f"DUCK-FAIL {name}: {str(e)[:600]}")
-            bad += 1
-            continue
-        problems = []
-        if sorted(scols) != sorted(dcols):
-            problems.append(f"cols spark={sorted(scols)} duck={sorted(dcols)}")
-        if len(srows) != len(drows):
-            problems.append(f"rows spark={len(srows)} duck={len(drows)}")
-        if not problems:
-            a, b = canon(scols, srows), canon(dcols, drows)
-            diffs = [(x, y) for x, y in zip(a, b) if x != y]
-            if diffs:
-                problems.append(f"{len(diffs)} differing rows, e.g. spark={diffs[0][0]} duck={diffs[0][1]}")
-        status = "OK" if not problems else "MISMATCH"
-        bad += bool(problems)
-        print(f"{status} {name} rows={len(srows)} spark={t1 - t0:.2f}s " + "; ".join(problems)[:1500])
+            status, msg = "FAIL", str(e)[:600]
+        bad += status not in ("OK", "NO-ORACLE")
+        print(f"{status} {name} {time.time() - t0:.2f}s {msg[:1500]}")
     print(f"done, {bad} problems")
 
 
