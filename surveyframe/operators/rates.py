@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import is_answer, pct
 from ..schema import YES
+from ..sources.dims import inline_table
 
 
 def _num(cond: Column, weight: str | None) -> Column:
@@ -78,9 +79,9 @@ def crosstab_pct(df: DataFrame, row: str, col: str, col_values: list[str],
     cols = [F.col(row)] + [pct(F.col(f"__n{i}"), F.col("__tot")).alias(v) for i, v in enumerate(col_values)]
     if row_order is None:
         return g.select(cols).orderBy(row)
-    spark = df.sparkSession
-    order_df = F.broadcast(spark.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(v).alias(row), F.lit(i).alias("ord")) for i, v in enumerate(row_order)]))))
+    order_df = F.broadcast(inline_table(
+        df.sparkSession, [(v, i) for i, v in enumerate(row_order)],
+        T.StructType([T.StructField(row, T.StringType()), T.StructField("ord", T.IntegerType())])))
     return g.join(order_df, row, "inner").select(cols + [F.col("ord")]).orderBy("ord")
 
 

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.dims import inline_table
+
 MAP_LIMIT = 200_000
 FINAL_ROWS = 2_000_000
 BUCKETS = 4096
@@ -121,9 +123,9 @@ def _select_ranks(x: DataFrame, n: int, mn: float, mx: float, ranks: list[int],
     w = Window.partitionBy("rid").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vc = vc.withColumn("cum", F.sum("c").over(w))
     targets = [(settled.index((state[r][0], state[r][1], state[r][2])), r, r - state[r][2]) for r in ranks]
-    tdf = F.broadcast(spark.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("rid"), F.lit(b).cast("long").alias("rank"), F.lit(c).cast("long").alias("local"))
-        for a, b, c in targets]))))
+    tdf = F.broadcast(inline_table(spark, targets, T.StructType([
+        T.StructField("rid", T.IntegerType()), T.StructField("rank", T.LongType()),
+        T.StructField("local", T.LongType())])))
     return (vc.join(tdf, "rid")
             .where((F.col("cum") - F.col("c") <= F.col("local")) & (F.col("local") < F.col("cum")))
             .select("rank", F.col("x").alias("value")))
