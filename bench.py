@@ -52,10 +52,14 @@ def main() -> None:
     run(QUERIES["kpi_row"](spark, sf_dir), "kpi_row")  # warm-up, untimed
 
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name, fn in QUERIES.items():
         t0 = time.perf_counter()
-        run(fn(spark, sf_dir), name)
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            run(fn(spark, sf_dir), name)
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001  (report, keep benchmarking the rest)
+            errors[name] = str(e)[:300]
     total = round(sum(times.values()), 3)
 
     table = os.path.join(tempfile.mkdtemp(prefix="bench-table-", dir=os.environ.get("BENCH_WORK_DIR", "/tmp")), "t")
@@ -68,8 +72,11 @@ def main() -> None:
     t2 = time.perf_counter()
     pipeline = {"build_table_sec": round(t1 - t0, 3), "analyses_on_table_sec": round(t2 - t1, 3),
                 "n_analyses": len(ANALYSES)}
-    print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": int(cpus), "pipeline": pipeline}))
+    out = {"metric": "total_query_seconds", "value": total, "unit": "sec",
+           "queries": times, "sf": sf, "cpus": int(cpus), "pipeline": pipeline}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
