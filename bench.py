@@ -62,16 +62,20 @@ def main() -> None:
             errors[name] = str(e)[:300]
     total = round(sum(times.values()), 3)
 
-    table = os.path.join(tempfile.mkdtemp(prefix="bench-table-", dir=os.environ.get("BENCH_WORK_DIR", "/tmp")), "t")
-    t0 = time.perf_counter()
-    write_consolidated(survey(spark, sf_dir), table)
-    t1 = time.perf_counter()
-    stored = read_consolidated(spark, table)
-    for fn in ANALYSES.values():
-        fn(stored).collect()
-    t2 = time.perf_counter()
-    pipeline = {"build_table_sec": round(t1 - t0, 3), "analyses_on_table_sec": round(t2 - t1, 3),
-                "n_analyses": len(ANALYSES)}
+    try:
+        work = tempfile.mkdtemp(prefix="bench-table-", dir=os.environ.get("BENCH_WORK_DIR", "/tmp"))
+        table = os.path.join(work, "t")
+        t0 = time.perf_counter()
+        write_consolidated(survey(spark, sf_dir), table)
+        t1 = time.perf_counter()
+        stored = read_consolidated(spark, table)
+        for fn in ANALYSES.values():
+            fn(stored).collect()
+        t2 = time.perf_counter()
+        pipeline = {"build_table_sec": round(t1 - t0, 3), "analyses_on_table_sec": round(t2 - t1, 3),
+                    "n_analyses": len(ANALYSES)}
+    except Exception as e:  # noqa: BLE001
+        pipeline = {"error": str(e)[:300]}
     out = {"metric": "total_query_seconds", "value": total, "unit": "sec",
            "queries": times, "sf": sf, "cpus": int(cpus), "pipeline": pipeline}
     if errors:
