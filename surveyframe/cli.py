@@ -16,7 +16,7 @@ import argparse
 import sys
 
 from .plans import analyses as A
-from .plans.pipeline import consolidated
+from .plans.consolidate import consolidated
 from .session import get_spark
 from .sources.raw import read_raw_csv
 from .sources.tables import dashboard_scan, read_consolidated, write_consolidated

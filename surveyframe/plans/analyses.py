@@ -3,7 +3,7 @@
 Each function is a lazy plan; nothing runs until the caller acts on it (the
 exact-quantile analyses run bounded statistics passes first).  On the stored
 table, column pruning keeps every read to the columns an analysis uses; on raw
-data, ``plans.pipeline.survey(..., only=...)`` decodes just those columns.
+data, ``plans.consolidate.survey(..., only=...)`` decodes just those columns.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Batch pipeline: raw months -> decoded -> consolidated analytic table.
+"""Batch build: raw months -> decoded -> consolidated analytic table.
 
 Months are stacked **before** decoding, so N months cost one decode (16
 broadcast joins) instead of N.  The consolidated table is written as Parquet

@@ -20,7 +20,7 @@ from ..schema import CONSOLIDATED_COLUMNS, DASHBOARD_COLUMNS, MONTH_COLUMN
 from ..sources.dims import all_dims, bounded_broadcast, dim_sizes
 from ..sources.raw import raw_from_dir, split_months
 from . import analyses as A
-from .pipeline import consolidated, survey
+from .consolidate import consolidated, survey
 
 Query = Callable[[SparkSession, str], DataFrame]
 M = MONTH_COLUMN
@@ -54,7 +54,7 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(cols)
 
 
-# ----------------------------------------------------------- pipeline queries
+# ------------------------------------------------------ decode / consolidate
 
 def survey_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q0: all months decoded into the 37 processed columns."""
@@ -139,7 +139,7 @@ NUMERIC = [c for c in CONSOLIDATED_COLUMNS
 TEXT = [c for c in CONSOLIDATED_COLUMNS if c.endswith("_desc") or c == "FaixaRendimento_cod_str"]
 
 _QUERIES: dict[str, Query] = {
-    # pipeline
+    # decode, consolidate, pruned scan
     "survey_processed": survey_processed,
     "survey_consolidated_counts": survey_consolidated_counts,
     "scan_pruned_filtered": scan_pruned_filtered,

@@ -1,7 +1,7 @@
 """Incremental landing of new monthly extracts with Structured Streaming.
 
 The survey arrives as one CSV extract per month.  Instead of re-running the
-whole batch pipeline when a month lands, a file-source stream picks up only the
+whole batch build when a month lands, a file-source stream picks up only the
 new files, decodes them (the same broadcast-join decode as the batch path) and
 appends them to the month-partitioned analytic table.  There is no state, no
 watermark and no late data: each extract is a complete month, so every

@@ -23,6 +23,6 @@ def spark():
 
 @pytest.fixture(scope="session")
 def survey_small(spark):
-    from surveyframe.plans.pipeline import survey
+    from surveyframe.plans.consolidate import survey
 
     return survey(spark, SF_SMALL).persist()

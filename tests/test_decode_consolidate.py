@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveyframe.operators.decode import decode
-from surveyframe.plans.pipeline import consolidated, processed, read_consolidated, survey, write_consolidated
+from surveyframe.plans.consolidate import consolidated, processed, read_consolidated, survey, write_consolidated
 from surveyframe.schema import CONSOLIDATED_COLUMNS, NOT_INFORMED, PROCESSED_COLUMNS, RAW_COLUMNS, RAW_SCHEMA
 from surveyframe.sources import dims as D
 from surveyframe.sources.raw import land_raw, raw_from_dir, read_landed_raw, read_raw_csv, split_months

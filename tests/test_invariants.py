@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from surveyframe.plans.pipeline import survey
+from surveyframe.plans.consolidate import survey
 
 Q = E.queries()
 

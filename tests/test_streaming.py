@@ -2,7 +2,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from surveyframe.plans.pipeline import consolidated
+from surveyframe.plans.consolidate import consolidated
 from surveyframe.sources.raw import raw_from_dir, split_months
 from surveyframe.streaming.monthly import land_months
 
