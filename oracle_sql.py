@@ -140,7 +140,8 @@ def describe_one(col: str, src: str, label: str | None = None, expr: str | None
   CAST(MAX({e}) AS DOUBLE) AS "max" FROM {src}"""
 
 
-NUMERIC_COLS = [c for c in PROCESSED_COLUMNS if c.endswith("_cod") or c in ("Ano", "Peso_Amostral", "Idade")]
+NUMERIC_COLS = [c for c in PROCESSED_COLUMNS
+                if c.endswith("_cod") or c in ("Ano", "Peso_Amostral", "Idade", "RendimentoHabitual_Valor")]
 STRING_COLS = [c for c in CONSOLIDATED_COLUMNS if c.endswith("_desc")] + ["FaixaRendimento_cod_str"]
 DTYPES = {c: "bigint" for c in CONSOLIDATED_COLUMNS}
 DTYPES.update({c: "string" for c in STRING_COLS})

@@ -133,9 +133,10 @@ def describe_extendedprice(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------- table
 
 INCOME = ["RendimentoHabitual_Valor"]
-# numeric (integral/double) and text columns of the consolidated table, in table order
+# numeric and text columns of the consolidated table, in table order; the decimal
+# income is summarised with the numeric columns, explicitly (as double)
 NUMERIC = [c for c in CONSOLIDATED_COLUMNS
-           if c.endswith("_cod") or c in ("Ano", "Peso_Amostral", "Idade")]
+           if c.endswith("_cod") or c in ("Ano", "Peso_Amostral", "Idade", "RendimentoHabitual_Valor")]
 TEXT = [c for c in CONSOLIDATED_COLUMNS if c.endswith("_desc") or c == "FaixaRendimento_cod_str"]
 
 _QUERIES: dict[str, Query] = {
@@ -191,7 +192,7 @@ _QUERIES: dict[str, Query] = {
     "quantiles_income": _on_survey(A.qa7_income_quantiles, INCOME),
     "box_income": _on_survey(A.qa7_income_box, INCOME),
     # table profiles
-    "describe_numeric_all": lambda spark, sf: stats.describe_numeric(survey(spark, sf, only=NUMERIC)),
+    "describe_numeric_all": lambda spark, sf: stats.describe_numeric(survey(spark, sf, only=NUMERIC), NUMERIC),
     "describe_categorical": lambda spark, sf: A.profile.describe_categorical(survey(spark, sf, only=TEXT)),
     "completeness": lambda spark, sf: A.profile.completeness(survey(spark, sf)),
     "sample_first_last": lambda spark, sf: A.sample_first_last(survey(spark, sf)),
