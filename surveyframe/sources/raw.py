@@ -84,7 +84,7 @@ def split_months(raw: DataFrame, months=(5, 7, 9)) -> list[DataFrame]:
 
 # ---------------------------------------------------------------- CSV ingest
 
-def _strict_text(c: Column, t: T.DataType, name: str) -> Column:
+def strict_text(c: Column, t: T.DataType, name: str) -> Column:
     """Text -> declared type; blank -> NULL; bad text raises (ANSI casts)."""
     s = F.nullif(F.trim(c), F.lit(""))
     if isinstance(t, T.LongType):
@@ -106,7 +106,7 @@ def read_raw_csv(spark: SparkSession, paths: list[str] | str, sep: str = ",",
     missing = [n for n, _ in RAW_COLUMNS if n not in df.columns]
     if missing:
         raise ValueError(f"raw extract lacks columns {missing}")
-    return df.select([_strict_text(F.col(n), t, n).alias(n) for n, t in RAW_COLUMNS])
+    return df.select([strict_text(F.col(n), t, n).alias(n) for n, t in RAW_COLUMNS])
 
 
 def land_raw(raw: DataFrame, path: str) -> None:

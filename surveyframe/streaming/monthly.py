@@ -23,7 +23,7 @@ from ..functions.columns import month_start
 from ..operators.decode import decode
 from ..schema import MONTH_COLUMN, PROCESSED_COLUMNS, RAW_COLUMNS
 from ..sources.dims import all_dims, dim_sizes
-from ..sources.raw import _strict_text
+from ..sources.raw import strict_text
 
 
 def monthly_stream(spark: SparkSession, csv_dir: str, header_columns: list[str] | None = None,
@@ -37,7 +37,7 @@ def monthly_stream(spark: SparkSession, csv_dir: str, header_columns: list[str]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in cols])
     raw = (spark.readStream.schema(schema).option("header", True).option("sep", sep)
            .option("maxFilesPerTrigger", max_files_per_trigger).csv(csv_dir))
-    typed = raw.select([_strict_text(F.col(n), t, n).alias(n) for n, t in RAW_COLUMNS])
+    typed = raw.select([strict_text(F.col(n), t, n).alias(n) for n, t in RAW_COLUMNS])
     typed = typed.withColumn(MONTH_COLUMN, month_start(F.col("Ano"), F.col("V1013")))
     return decode(typed, all_dims(spark), dim_rows=dim_sizes(), extra=[MONTH_COLUMN]).select(
         PROCESSED_COLUMNS + [MONTH_COLUMN])
