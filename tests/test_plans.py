@@ -42,3 +42,17 @@ def test_hot_key_is_combined_map_side(spark):
     tr = rates.answer_rates(df, "k", ["a"])
     assert "partial_count" in tr._jdf.queryExecution().executedPlan().toString()
     assert {r.k: r.a for r in tr.collect()}["hot"] == 50.0
+
+
+TOP_K = {"freq_uf_top15", "away_all_top5", "freq_nation_top15", "sample_first_last"}
+
+
+@pytest.mark.parametrize("name", sorted(QS))
+def test_no_row_caps_outside_top_k(spark, name):
+    """Whole tables: no sampling anywhere; limits only where a top-k is the feature."""
+    from surveyframe.plans.inspect import physical_plan
+
+    p = physical_plan(QS[name](spark, SF_SMALL))
+    assert "Sample" not in p
+    capped = any(k in p for k in ("CollectLimit", "GlobalLimit", "TakeOrderedAndProject", "LocalLimit"))
+    assert capped == (name in TOP_K), name
