@@ -56,3 +56,11 @@ def test_no_row_caps_outside_top_k(spark, name):
     assert "Sample" not in p
     capped = any(k in p for k in ("CollectLimit", "GlobalLimit", "TakeOrderedAndProject", "LocalLimit"))
     assert capped == (name in TOP_K), name
+
+
+@pytest.mark.parametrize("name", sorted(QS))
+def test_every_query_scans_the_given_tables(spark, name):
+    from surveyframe.plans.inspect import physical_plan
+
+    p = physical_plan(QS[name](spark, SF_SMALL))
+    assert "FileScan parquet" in p and SF_SMALL in p, name
