@@ -90,8 +90,6 @@ def main():
         lines.append(f"| {name} | {s['rows_in']:,} | {scans:.2f} | {s['shuffle_bytes'] / 1024:,.1f} | "
                      f"{len(s['stages'])} | {s['tasks']} | {', '.join(bad[name]) or '-'} |")
     lines += ["", "## Why some queries read their input more than once", "",
-              "* `survey_consolidated_counts` (3): it emulates three monthly raw tables by filtering the one",
-              "  fixture table three times; with real extracts each month is its own source and is read once.",
               "* histograms and `kde_age` (2): equal-width bins and the kernel bandwidth/grid need global",
               "  min/max/std first (one struct-valued scalar subquery over one pruned column), then one binning",
               "  pass.  A second read of one column is cheaper at scale than shuffling the column's values.",
