@@ -1,0 +1,9 @@
+import os
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+SMALL = "/root/testdata/sf0.001"
+MID = "/root/testdata/sf0.01"
