@@ -5,10 +5,11 @@ import math
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from surveyframe.plans.queries import QUERIES
 from conftest import SF_SMALL
 from surveyframe.plans.consolidate import survey
 
-Q = E.queries()
+Q = QUERIES
 
 
 def test_histogram_counts_sum_to_non_null_rows(spark):
