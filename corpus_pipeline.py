@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from surveyframe.llm import decontam, langid, packing, pii, setjoin
 from surveyframe.llm.common import stored
 
-#: A document goes when its language is ``und`` or its best response is below this.
-MIN_LANG_SCORE = 0.5
+#: A document goes when its language is ``und`` or its best response is below this: with evenly many texts of
+#: four languages, a text that shares nothing with any landmark scores 0.25.
+MIN_LANG_SCORE = 0.26
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -130,9 +130,9 @@ class Words:
     the number of words at the end.
     """
 
-    def __init__(self, texts: list[str], lower: bool = False):
+    def __init__(self, texts: list[str], lower: bool = False, only_spaces: bool = False):
         parts = [t.encode() for t in texts]
-        raw = b"\n".join(parts)
+        raw = (b" " if only_spaces else b"\n").join(parts)
         buf = np.frombuffer(raw, np.uint8)
         if lower:
             buf = np.where((buf >= 65) & (buf <= 90), buf + 32, buf).astype(np.uint8)
@@ -140,7 +140,9 @@ class Words:
         self.data = raw
         self.buf = buf
         if len(buf):
-            space = (buf == 32) | ((buf >= 9) & (buf <= 13))
+            space = buf == 32
+            if not only_spaces:
+                space |= (buf >= 9) & (buf <= 13)
             edge = np.diff(np.concatenate(([True], space, [True])).astype(np.int8))
             self.start = np.flatnonzero(edge == -1)
             self.end = np.flatnonzero(edge == 1)
@@ -184,7 +186,7 @@ def star_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             lab = nxt
 
 
-def arrow_schema(df_schema: str, spark: SparkSession) -> pa.Schema:
+def arrow_schema(df_schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -192,13 +194,18 @@ def arrow_schema(df_schema: str, spark: SparkSession) -> pa.Schema:
 
 
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` whose function yields dicts of columns; casts them to ``schema``."""
-    target = arrow_schema(schema, df.sparkSession)
+    """``mapInArrow`` whose function yields dicts of columns, cast to ``schema``; columns left out are null."""
+    target = arrow_schema(schema)
+
+    def column(cols, f, n):
+        v = cols.get(f.name)
+        if v is None:
+            return pa.nulls(n, f.type)
+        return v.cast(f.type) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, type=f.type)
 
     def run(it):
         for cols in fn(it):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[f.name], type=f.type) if not isinstance(cols[f.name], (pa.Array, pa.ChunkedArray))
-                 else cols[f.name].cast(f.type) for f in target], schema=target)
+            n = len(next(iter(cols.values())))
+            yield pa.RecordBatch.from_arrays([column(cols, f, n) for f in target], schema=target)
 
     return df.mapInArrow(run, schema)

@@ -158,6 +158,14 @@ class Items:
         """
         item, k = self.chars[i], int(self.k[i])
         w = 2 * (k + 1) + 1
+        s, e = max(first, low), min(last, low + w - 1 + len(item))
+        if len(item) <= e - s:  # an occurrence without edits needs no table
+            raw, want = c[s:e].tobytes(), item.tobytes()
+            at = raw.find(want)
+            while at >= 0 and at % 4:
+                at = raw.find(want, at + 1)
+            if at >= 0:
+                return 0, s + at // 4, s + at // 4 + len(item)
         big = 1 << 20
         lanes = np.arange(w)
         col = low + lanes  # text length consumed before row 0

@@ -19,96 +19,117 @@ shorter; repeated rows are packed like any other.
 
 from __future__ import annotations
 
+import base64
 import re
 import zlib
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_arrow, n_parts, stored, text_chunks
+from .common import Words, map_arrow, mixed, stored, text_chunks
 
 CAPACITY, END_ID = 2048, 0
-TOKENIZER = "byte_bpe_50k.json"
-#: Words whose ids a task keeps; beyond that it starts anew.
-CACHE_WORDS = 200_000
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Pieces of one (length, bucket) on average, which sets the number of buckets.
 BUCKET_ROWS = 1 << 18
-#: Characters around which splitting at a space could change the tokens: white space other than a space.
-_UNSAFE = re.compile(r"  | $|^ | \s|\s ")
+#: Bytes of text whose words are made distinct together.
+CHUNK = 1 << 21
+#: A space next to other white space (or at an end), where splitting could change the tokens.
+_UNSAFE = re.compile(r" [\s\x1c-\x1f]|[\s\x1c-\x1f] |^ | $")
+#: First bytes of the UTF-8 forms of white space beyond ASCII: fixed values.
+_WIDE = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80"]
+
+
+def splits_at_spaces(texts: list[str]) -> list[bool]:
+    """Whether every space of a text stands alone between other characters."""
+    raw = "x".join(texts).encode()
+    if any(x in raw for x in _WIDE):
+        return [not _UNSAFE.search(t) for t in texts]
+    buf = np.frombuffer(raw, np.uint8)
+    space = buf == 32
+    white = space | ((buf >= 9) & (buf <= 13)) | ((buf >= 28) & (buf <= 31))
+    bad = np.flatnonzero((space[:-1] & white[1:]) | (white[:-1] & space[1:]))
+    ends = np.cumsum([len(t.encode()) + 1 for t in texts])
+    hit = np.zeros(len(texts) + 1, bool)
+    hit[np.searchsorted(ends, bad, "right")] = True
+    return [not h and t[:1] != " " and t[-1:] != " " for h, t in zip(hit.tolist(), texts)]
 
 
 class Encoder:
-    """Token ids of whole texts, word by word with a bounded cache.
+    """Token ids of whole texts, word by word.
 
-    The tokenizer never joins a word with the space and word after it, so where a
-    text holds single spaces only, its ids are those of its first word and of
-    every later word with the space before it. Other texts are encoded whole.
+    The tokenizer never joins a word with the space and word after it, so where the
+    spaces of a text stand alone, its ids are those of its first word and of every
+    later word with the space before it. The distinct words of a chunk of texts are
+    encoded in one go, by the same vocabulary as ranks; the lengths of the tokens
+    tell where each word ends. Other texts are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks_path: str, pattern: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True
-        self._reset()
-
-    def _reset(self):
-        self._at: dict[str, int] = {}
-        self._len = np.zeros(1 << 12, np.int64)
-        self._begin = np.zeros(1 << 12, np.int64)
-        self._flat = np.zeros(1 << 14, np.uint32)
-        self._n = 0
-
-    def _learn(self, words: list[str]):
-        if len(self._at) + len(words) > CACHE_WORDS:
-            self._reset()
-        for enc, w in zip(self._tok.encode_batch(words, add_special_tokens=False), words):
-            ids = enc.ids
-            k = len(self._at)
-            if k >= len(self._len):
-                self._len, self._begin = (np.concatenate((x, np.zeros_like(x))) for x in (self._len, self._begin))
-            while self._n + len(ids) > len(self._flat):
-                self._flat = np.concatenate((self._flat, np.zeros_like(self._flat)))
-            self._flat[self._n:self._n + len(ids)] = ids
-            self._begin[k], self._len[k] = self._n, len(ids)
-            self._n += len(ids)
-            self._at[w] = k
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self._words = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self._bytes = np.zeros(max(ranks.values()) + 1, np.int64)
+        for token, i in ranks.items():
+            self._bytes[i] = len(token)
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self._tok.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def __call__(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if _UNSAFE.search(text):
-            return self.whole(text)
-        first, *rest = text.split(" ")
-        words = [first, *[" " + w for w in rest]]
-        new = [w for w in set(words) if w not in self._at]
-        if len(new) > CACHE_WORDS:
-            return self.whole(text)
-        if new:
-            full = len(self._at) + len(new) > CACHE_WORDS
-            self._learn([*set(words)] if full else new)
-        k = np.fromiter(map(self._at.__getitem__, words), np.int64, len(words))
-        size = self._len[k]
-        offset = np.cumsum(size) - size
-        return self._flat[np.arange(int(size.sum())) + np.repeat(self._begin[k] - offset, size)]
-
-
-def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    """``(doc_id, piece, start, length, ids_crc32[, ids])`` of every document."""
+        return np.array(self._tok.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        plain = [bool(t) and p for t, p in zip(texts, splits_at_spaces(texts))]
+        found = iter(self._by_words([t for t, p in zip(texts, plain) if p]))
+        return [next(found) if p else self.whole(t) if t else np.zeros(0, "<u4") for t, p in zip(texts, plain)]
+
+    def _by_words(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
+        w = Words(texts, only_spaces=True)
+        h = w.hashes()
+        first = w.first[:-1]  # a text's first word has no space before it
+        later = np.ones(len(h), bool)
+        later[first] = False
+        _, at, inverse = np.unique(h[later], return_index=True, return_inverse=True)
+        start, end = w.start[later][at].tolist(), w.end[later][at].tolist()
+        pieces = [w.data[s - 1:e] for s, e in zip(start, end)]
+        flat = self._words.encode_to_numpy(b"".join(pieces).decode()).astype("<u4") if pieces else np.zeros(0, "<u4")
+        ends = np.searchsorted(np.cumsum(self._bytes[flat]), np.cumsum([len(p) for p in pieces]), "left") + 1
+        lone = [self._words.encode_ordinary(w.data[s:e].decode()) for s, e in zip(w.start[first].tolist(), w.end[first].tolist())]
+        own = np.fromiter(chain.from_iterable(lone), "<u4")
+        size = np.concatenate((np.diff(np.concatenate(([0], ends))), np.array([len(x) for x in lone], np.int64))).astype(np.int64)
+        pool = np.concatenate((flat, own))
+        row = np.empty(len(h), np.int64)
+        row[later], row[first] = inverse, len(pieces) + np.arange(len(first))
+        begin = np.cumsum(size) - size
+        n = size[row]
+        offset = np.cumsum(n) - n
+        out = pool[np.arange(int(n.sum())) + np.repeat(begin[row] - offset, n)]
+        cuts = np.append(offset, len(out))[w.first]
+        return [out[s:e] for s, e in zip(cuts[:-1], cuts[1:])]
+
+
+def tokenized_pieces(docs: DataFrame, tokenizer: tuple[str, str, str], capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+    """``(doc_id, piece, start, length, ids_crc32[, ids])`` of every document.
+
+    ``tokenizer``: path of the tokenizer, path of its ranks, pattern that splits words.
+    """
 
     def run(it):
-        enc = Encoder(tokenizer_path)
+        enc = Encoder(*tokenizer)
         names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids]
-        for b, texts in text_chunks(it):
+        for b, texts in text_chunks(it, "text", CHUNK):
             out = {k: [] for k in names}
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), texts):
-                ids = np.append(enc(text), np.uint32(END_ID)).astype("<u4")
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), enc(texts)):
+                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 head = (len(ids) - 1) % capacity + 1
                 cuts = [0, *range(head, len(ids) + 1, capacity)]
                 for k, (s, e) in enumerate(zip(cuts, cuts[1:])):
@@ -239,13 +260,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return map_arrow(joined, run, ", ".join(f"`{c}` {types[c]}" for c in cols) + ", sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Tokenise, cut and pack whole documents; one row per piece."""
-    if tokenizer_path is None:
-        import public_tokenizers
+def default_tokenizer() -> tuple[str, str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER), public_tokenizers.path(RANKS), public_tokenizers.PATTERN
 
-        tokenizer_path = public_tokenizers.path(TOKENIZER)
-    pieces = stored(tokenized_pieces(docs, tokenizer_path, capacity), "pieces")
+
+def pack_documents(docs: DataFrame, tokenizer: tuple[str, str, str] | None = None, capacity: int = CAPACITY) -> DataFrame:
+    """Tokenise, cut and pack whole documents; one row per piece."""
+    pieces = stored(tokenized_pieces(docs, tokenizer or default_tokenizer(), capacity), "pieces")
     return pack(pieces, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

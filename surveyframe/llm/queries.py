@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, embeddings, langid, packing, pii, setjoin, substring, warc
+from . import chat, decontam, embeddings, katz, langid, packing, pii, setjoin, substring, warc
 from .oracle import ORACLE  # noqa: F401
 
 
@@ -20,6 +20,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.op2_query(_table(spark, sf_dir, "documents"))
 
 
+def op3_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.op3_query(_table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op4_query(_table(spark, sf_dir, "conversations"))
 
@@ -48,5 +52,5 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.op10_query(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_ngram_join, op4_chat_format, op5_best_fit_packing, op6_language_id, op7_warc,
+QUERIES = {f.__name__: f for f in (op1_pii, op2_ngram_join, op3_katz_scoring, op4_chat_format, op5_best_fit_packing, op6_language_id, op7_warc,
                                    op8_decontamination, op9_substring_dedup, op10_embedding_dedup)}
