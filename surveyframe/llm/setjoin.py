@@ -39,7 +39,7 @@ from .substring import _rolling
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.995
 #: Parameters: tokens of a sketch, levels, sets of a brute-force bucket, shingles of an exact block.
-SKETCH, LEVELS, LEAF, BLOCK_SHINGLES = 128, 6, 256, 1 << 19
+SKETCH, LEVELS, LEAF, BLOCK_SHINGLES = 128, 4, 256, 1 << 19
 #: Standard deviations by which a sketch may underestimate a pair's similarity.
 MARGIN = 4.0
 
