@@ -107,15 +107,17 @@ def num(expr: str, src: str, where: str = "TRUE") -> str:
 
 
 def hist(pre: str, xcte: str, bins: int) -> str:
+    """Counts between explicit edges (mn + k * step, the last one the maximum), by range join."""
     return f"""{pre}{',' if pre else 'WITH'} {xcte},
 b AS (SELECT CASE WHEN MIN(x) = MAX(x) THEN MIN(x) - 0.5 ELSE MIN(x) END AS mn,
              CASE WHEN MIN(x) = MAX(x) THEN MAX(x) + 0.5 ELSE MAX(x) END AS mx FROM x),
-c AS (SELECT CAST(LEAST(FLOOR((x - mn) * {bins} / (mx - mn)), {bins - 1}) AS INTEGER) AS bin, COUNT(*) AS n
-      FROM x CROSS JOIN b GROUP BY 1),
-g AS (SELECT CAST(range AS INTEGER) AS bin FROM range({bins}))
-SELECT g.bin, mn + g.bin * (mx - mn) / {bins} AS lo, mn + (g.bin + 1) * (mx - mn) / {bins} AS hi,
-       COALESCE(c.n, 0) AS n
-FROM g CROSS JOIN b LEFT JOIN c ON g.bin = c.bin WHERE mn IS NOT NULL"""
+e AS (SELECT CAST(range AS INTEGER) AS bin, range * ((mx - mn) / {bins}) + mn AS lo,
+             CASE WHEN range = {bins - 1} THEN mx ELSE (range + 1) * ((mx - mn) / {bins}) + mn END AS hi
+      FROM range({bins}) CROSS JOIN b WHERE mn IS NOT NULL),
+v AS (SELECT x, COUNT(*) AS c FROM x GROUP BY x)
+SELECT e.bin, e.lo, e.hi, CAST(COALESCE(SUM(v.c), 0) AS BIGINT) AS n
+FROM e LEFT JOIN v ON v.x >= e.lo AND (v.x < e.hi OR (e.bin = {bins - 1} AND v.x <= e.hi))
+GROUP BY e.bin, e.lo, e.hi"""
 
 
 def box(pre: str, xcte: str) -> str:

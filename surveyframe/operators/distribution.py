@@ -26,7 +26,9 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram over [min, max] -> (bin, lo, hi, n), empty bins kept.
 
     Bins are [lo, hi) except the last, which is closed; when min == max the
-    range is widened by 0.5 on each side (as numpy does).  NULLs are ignored.
+    range is widened by 0.5 on each side (as numpy does).  A value's bin follows
+    from its distance to the minimum and is then moved by one where rounding put
+    it on the wrong side of an edge.  NULLs are ignored.
     """
     x = _x(df, col)
     b = x.agg(F.struct(F.min("x").alias("mn"), F.max("x").alias("mx"))).scalar()
@@ -34,11 +36,18 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     same = mn0 == mx0
     mn = F.when(same, mn0 - F.lit(0.5)).otherwise(mn0)
     mx = F.when(same, mx0 + F.lit(0.5)).otherwise(mx0)
-    idx = F.least(F.floor((F.col("x") - mn) * F.lit(bins) / (mx - mn)), F.lit(bins - 1)).cast(T.IntegerType())
-    counts = x.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    step = (mx - mn) / F.lit(float(bins))
+
+    def edge(k):  # the last edge is the maximum itself
+        return F.when(k == F.lit(bins), mx).otherwise(k * step + mn)
+
+    guess = F.least(F.floor((F.col("x") - mn) / (mx - mn) * F.lit(bins)), F.lit(bins - 1)).cast(T.IntegerType())
+    moved = (F.when(F.col("x") < edge(F.col("g")), F.col("g") - 1)
+             .when((F.col("x") >= edge(F.col("g") + 1)) & (F.col("g") != bins - 1), F.col("g") + 1)
+             .otherwise(F.col("g")))
+    counts = x.select("x", guess.alias("g")).select(moved.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     frame = df.sparkSession.range(bins).select(F.col("id").cast(T.IntegerType()).alias("bin"))
-    lo = mn + F.col("bin") * (mx - mn) / F.lit(bins)
-    hi = mn + (F.col("bin") + F.lit(1)) * (mx - mn) / F.lit(bins)
+    lo, hi = edge(F.col("bin")), edge(F.col("bin") + 1)
     # both sides hold at most ``bins`` rows by construction
     return (frame.join(F.broadcast(counts), "bin", "left")
             .select("bin", lo.alias("lo"), hi.alias("hi"), F.coalesce("n", F.lit(0)).cast(T.LongType()).alias("n"))

@@ -59,8 +59,8 @@ def survey_filter(df: DataFrame, uf: str | None = None, sexo: str | None = None,
         cond = c if cond is None else cond & c
 
     if mes not in (None, ALL):
-        key = mes if mes not in MONTH_LABELS.values() else next(k for k, v in MONTH_LABELS.items() if v == mes)
-        add(F.col(MONTH_COLUMN) == F.lit(key).cast("date"))
+        key = next((k for k, v in MONTH_LABELS.items() if v == mes), mes)
+        add(F.col(MONTH_COLUMN) == F.lit(key).try_cast("date"))  # an unknown label matches no row
     if uf not in (None, ALL):
         add(F.col("uf_desc") == F.lit(uf))
     if sexo not in (None, ALL):

@@ -1,10 +1,8 @@
-"""Session helpers: a tuned local session for tests/bench, shared checkpoint dir."""
+"""Session helper: defaults for tests and bench that never override a launcher."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -28,42 +26,26 @@ def get_spark(master: str | None = None, app: str = "surveyframe",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the defaults this library expects.
 
-    On a cluster, pass ``master=None`` so the launcher's master and configs win.
+    On a cluster, pass ``master=None`` so the launcher's master and configs win:
+    the defaults only fill in what the launcher (spark-submit, spark-defaults) left
+    unset; ``shuffle_partitions`` and ``extra`` are the caller's own wishes and are set.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    for k, v in launcher_unset(DEFAULT_CONF).items():
+        builder = builder.config(k, v)
     if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    The cluster's setting always wins; a scratch folder is created only when the
-    session has none (local tests).
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (Spark Connect: the server owns the checkpoint setting)
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; a cluster needs a shared checkpoint folder")
-        configured = tempfile.mkdtemp(prefix="surveyframe-ckpt-")  # local runs (tests) only
-    if "://" not in configured:
-        os.makedirs(configured, exist_ok=True)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+def launcher_unset(conf: dict[str, str]) -> dict[str, str]:
+    """The entries of ``conf`` that neither a running context nor the launcher has set."""
+    running = SparkContext._active_spark_context
+    launched = running.getConf() if running else SparkConf()
+    return {k: v for k, v in conf.items() if not launched.contains(k)}

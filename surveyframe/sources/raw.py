@@ -98,25 +98,42 @@ def strict_text(c: Column, t: T.DataType, name: str) -> Column:
     return s.cast(t)
 
 
+def csv_files(spark: SparkSession, paths: list[str] | str) -> list[str]:
+    """The files behind paths, folders and globs, listed by Spark (any file system), in order."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).inputFiles()
+    return sorted(f for f in found if not f.rsplit("/", 1)[-1].startswith(("_", ".")))
+
+
 def read_raw_csv(spark: SparkSession, paths: list[str] | str, sep: str = ",",
                  encoding: str = "UTF-8") -> DataFrame:
-    """Read monthly CSV extracts (header row, any extra columns) as typed raw rows."""
-    df = (spark.read.option("header", True).option("sep", sep)
-          .option("encoding", encoding).option("inferSchema", False).csv(paths))
-    missing = [n for n, _ in RAW_COLUMNS if n not in df.columns]
-    if missing:
-        raise ValueError(f"raw extract lacks columns {missing}")
-    return df.select([strict_text(F.col(n), t, n).alias(n) for n, t in RAW_COLUMNS])
+    """Read monthly CSV extracts (header row, any extra columns) as typed raw rows.
+
+    Every file is read by its own header - extracts differ in their columns and
+    order, and Spark would apply the first header to all of them by position.
+    Files with the same header are read together.
+    """
+    reader = (spark.read.option("sep", sep).option("encoding", encoding).option("inferSchema", False))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for f in csv_files(spark, paths):
+        header = tuple(reader.option("header", True).csv(f).columns)
+        missing = [n for n, _ in RAW_COLUMNS if n not in header]
+        if missing:
+            raise ValueError(f"raw extract {f} lacks columns {missing}")
+        by_header.setdefault(header, []).append(f)
+    if not by_header:
+        raise ValueError(f"no CSV file under {paths}")
+    frames = [reader.option("header", True).csv(files) for files in by_header.values()]
+    return stack([df.select([strict_text(F.col(n), t, n).alias(n) for n, t in RAW_COLUMNS]) for df in frames])
 
 
 def land_raw(raw: DataFrame, path: str) -> None:
-    """Land typed raw rows as Parquet, one partition per month.
+    """Land typed raw rows as Parquet, one partition per year and month.
 
     Dynamic partition overwrite replaces only the months present in ``raw``,
     so re-ingesting one extract never touches the others.
     """
     (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("V1013").parquet(path))
+        .partitionBy("Ano", "V1013").parquet(path))
 
 
 def read_landed_raw(spark: SparkSession, path: str) -> DataFrame:

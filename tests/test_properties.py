@@ -32,9 +32,14 @@ def test_histogram_counts_match_numpy(spark, vals, bins):
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     got = [r.n for r in distribution.histogram(df, "x", bins).collect()]
     want, _ = np.histogram(np.array(vals), bins=bins)
-    assert sum(got) == len(vals)
-    # float edge placement can move a boundary value by one bin; totals and shape hold
-    assert len(got) == bins and sum(abs(a - b) for a, b in zip(got, want)) <= 2 * max(1, len(vals) // 100)
+    assert got == want.tolist()
+
+
+def test_histogram_counts_match_numpy_on_integers(spark):
+    for top, bins in ((112, 50), (112, 100), (62, 30), (66, 30), (70, 30)):
+        df = spark.range(top + 1).selectExpr("cast(id as double) x")
+        got = [r.n for r in distribution.histogram(df, "x", bins).collect()]
+        assert got == np.histogram(np.arange(top + 1.0), bins=bins)[0].tolist()
 
 
 @SETTINGS
