@@ -2,38 +2,33 @@
 
 Exact quantiles without holding a column in one task
 ----------------------------------------------------
-Spark's exact ``percentile`` keeps a value -> count map per group; for a global
-quantile that map lands in one task and grows with the number of distinct
-values.  That is fine for ages or coded answers, not for a continuous column
-at scale.  ``quantiles`` therefore picks, per column, from a measured bound:
-
-* distinct values (HyperLogLog estimate) <= ``map_limit``: built-in
-  ``percentile`` (exact, linear interpolation, one pass);
-* otherwise **distributed selection**: each target rank keeps a value range
-  ``[lo, hi]`` and the number of rows below it.  One pass builds an
-  equal-width histogram (count, min, max per bucket) of every open range -
-  a partial aggregation whose shuffle is at most ranges x buckets rows - and
-  the target moves into its bucket.  A range is settled when it holds at most
-  ``final_rows`` rows or a single value; the settled ranges are then ranked
-  exactly (``groupBy(value)`` + a running sum per range).  Rows are never
-  dropped or sampled, a hot value collapses to one row in the final step,
-  and no task sees more than ``final_rows`` distinct values.
+One algorithm for every size and every distribution, all columns together.
+Each wanted rank starts in the open range of its whole column. A round takes two
+scans: a mergeable KLL sketch per range, merged in two stages, gives ``BUCKETS``
+splitters close to even ranks, among them the range's smallest and largest value;
+then one partial aggregation counts the rows equal to each splitter and between
+neighbours. A rank that falls on a splitter is that value; otherwise it goes on
+in the range between two splitters, which holds about 1 / BUCKETS of the rows.
+The splitters only place the boundaries: counts are exact, so is the result. A
+hot value becomes a splitter and is settled at once; as the ends of a range are
+splitters, every round removes at least those values, so no cap on rounds is
+needed. The driver sees sketch quantiles and counts, a few hundred numbers per range.
+
+The rounds run while the result's DataFrame is built (``describe*``, ``quantile*``,
+``boxplot_stats``); n and the quantiles enter the result as literals.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.dims import inline_table
-
-MAP_LIMIT = 200_000
-FINAL_ROWS = 2_000_000
-BUCKETS = 4096
-MAX_ROUNDS = 64
+#: Splitters of a range per round, and groups in which partial sketches are merged first.
+BUCKETS = 32
+MERGE_GROUPS = 64
 
 
 def _x(df: DataFrame, col: str) -> DataFrame:
@@ -42,10 +37,6 @@ def _x(df: DataFrame, col: str) -> DataFrame:
         F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def _lerp(lo: Column, hi: Column, frac: float) -> Column:
-    return lo + (hi - lo) * F.lit(frac) if frac else lo
-
-
 def _positions(n: int, probs: list[float]) -> list[tuple[int, int, float]]:
     """(lower rank, upper rank, fraction) per probability, 0-based, linear method."""
     out = []
@@ -56,127 +47,91 @@ def _positions(n: int, probs: list[float]) -> list[tuple[int, int, float]]:
     return out
 
 
-def _value_counts_cum(x: DataFrame) -> DataFrame:
-    """Distinct values with their counts and running count, ascending.
-
-    Used only when the number of distinct values is proven small
-    (<= ``map_limit``): the running sum is a window over those rows.
-    """
-    vc = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return vc.withColumn("cum", F.sum("c").over(w))
-
-
-def _rank_value(k: int) -> Column:
-    """Aggregate over ``_value_counts_cum`` rows: the value at 0-based rank ``k``."""
-    return F.min(F.when(F.col("cum") > F.lit(k), F.col("x")))
-
-
-def _quantile_aggs(n: int, probs: list[float], names: list[str]) -> list[Column]:
-    return [_lerp(_rank_value(k), _rank_value(k2), fr).alias(nm)
-            for (k, k2, fr), nm in zip(_positions(n, probs), names)]
-
-
-def _select_ranks(x: DataFrame, n: int, mn: float, mx: float, ranks: list[int],
-                  buckets: int, final_rows: int) -> DataFrame:
-    """Exact values at 0-based ``ranks`` of the sorted column -> (rank, value)."""
-    spark = x.sparkSession
-    state = {r: (mn, mx, 0, n) for r in ranks}  # rank -> (lo, hi, rows below lo, rows in range)
-    open_ranks = list(ranks)
-    for _ in range(MAX_ROUNDS):
-        refine = sorted({state[r] for r in open_ranks if state[r][3] > final_rows and state[r][0] < state[r][1]})
-        if not refine:
-            break
-        rid = None
-        bucket = None
-        for i, (lo, hi, _, _) in enumerate(refine):
-            inside = F.col("x").between(F.lit(lo), F.lit(hi))
-            b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(hi - lo) * F.lit(buckets)),
-                        F.lit(buckets - 1))
-            rid = F.when(inside, F.lit(i)) if rid is None else rid.when(inside, F.lit(i))
-            bucket = F.when(inside, b) if bucket is None else bucket.when(inside, b)
-        hist = (x.select(rid.alias("rid"), bucket.alias("b"), "x").where(F.col("rid").isNotNull())
-                .groupBy("rid", "b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"),
-                                         F.max("x").alias("hi"))
-                .collect())  # bounded: len(refine) * buckets rows
-        per_range: dict[int, list] = {}
-        for row in hist:
-            per_range.setdefault(row["rid"], []).append(row)
-        for i, rg in enumerate(refine):
-            rows = sorted(per_range.get(i, []), key=lambda r: r["b"])
-            for r in [r for r in open_ranks if state[r] == rg]:
-                below = rg[2]
-                for row in rows:
-                    if r < below + row["c"]:
-                        state[r] = (row["lo"], row["hi"], below, row["c"])
-                        break
-                    below += row["c"]
-        open_ranks = [r for r in open_ranks if state[r][3] > final_rows and state[r][0] < state[r][1]]
-
-    settled = sorted({(s[0], s[1], s[2]) for s in state.values()})
-    rid = None
-    for i, (lo, hi, _) in enumerate(settled):
-        inside = F.col("x").between(F.lit(lo), F.lit(hi))
-        rid = F.when(inside, F.lit(i)) if rid is None else rid.when(inside, F.lit(i))
-    vc = (x.select(rid.alias("rid"), "x").where(F.col("rid").isNotNull())
-          .groupBy("rid", "x").agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy("rid").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vc = vc.withColumn("cum", F.sum("c").over(w))
-    targets = [(settled.index((state[r][0], state[r][1], state[r][2])), r, r - state[r][2]) for r in ranks]
-    tdf = F.broadcast(inline_table(spark, targets, T.StructType([
-        T.StructField("rid", T.IntegerType()), T.StructField("rank", T.LongType()),
-        T.StructField("local", T.LongType())])))
-    return (vc.join(tdf, "rid")
-            .where((F.col("cum") - F.col("c") <= F.col("local")) & (F.col("local") < F.col("cum")))
-            .select("rank", F.col("x").alias("value")))
-
-
-def _stats(xs: DataFrame, cols: list[str], integral: set[str] | frozenset = frozenset()) -> dict[str, dict]:
-    """count, min, max and a distinct-count bound of many columns in one pass.
-
-    For integral columns the bound is exact and free: max - min + 1.  Other
-    columns get a HyperLogLog estimate (default precision keeps the
-    aggregation buffer small).
-    """
-    fields = []
-    for i, c in enumerate(cols):
-        parts = [F.count(c).alias("n"), F.min(c).alias("mn"), F.max(c).alias("mx")]
-        if c not in integral:
-            parts.append(F.approx_count_distinct(c).alias("d"))
-        fields.append(F.struct(*parts).alias(f"__s{i}"))
-    row = xs.agg(*fields).first()
-    out = {}
-    for i, c in enumerate(cols):
-        st = row[f"__s{i}"].asDict()
-        if c in integral:
-            st["d"] = 0 if st["n"] == 0 else int(st["mx"] - st["mn"]) + 1
-        out[c] = st
-    return out
-
-
-def _integral(df: DataFrame, cols: list[str]) -> set[str]:
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return {c for c in cols if isinstance(types.get(c), T.IntegralType)}
-
-
-def _quantiles_known(x: DataFrame, st: dict, probs: list[float], names: list[str],
-                     map_limit: int, final_rows: int, buckets: int) -> DataFrame:
-    """Quantiles of the single non-null column ``x`` given its pass-1 stats."""
-    n, d = st["n"], st["d"]
-    if n == 0:
-        return x.sparkSession.range(1).select([F.lit(None).cast(T.DoubleType()).alias(nm) for nm in names])
-    if d <= map_limit:
-        return _value_counts_cum(x).agg(*_quantile_aggs(n, probs, names))
-    pos = _positions(n, probs)
-    ranks = sorted({k for p in pos for k in p[:2]})
-    sel = _select_ranks(x, n, st["mn"], st["mx"], ranks, buckets, final_rows)
-    picked = sel.agg(*[F.max(F.when(F.col("rank") == r, F.col("value"))).alias(f"__r{r}") for r in ranks])
-    return picked.select([_lerp(F.col(f"__r{k}"), F.col(f"__r{k2}"), fr).alias(nm)
-                          for (k, k2, fr), nm in zip(pos, names)])
+def _inside(rg: tuple) -> Column:
+    """The range's column where it lies strictly between the bounds, else NULL."""
+    col, lo, hi = rg
+    x = F.col(col)
+    cond = x.isNotNull()
+    if lo is not None:
+        cond = cond & (x > F.lit(lo))
+    if hi is not None:
+        cond = cond & (x < F.lit(hi))
+    return F.when(cond, x)
+
+
+def _splitters(xs: DataFrame, ranges: list[tuple], buckets: int) -> list[list[float]]:
+    """Distinct ascending sketch quantiles of every range (its minimum and maximum included)."""
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    part = xs.groupBy(group.alias("__g")).agg(
+        *[F.kll_sketch_agg_double(_inside(rg)).alias(f"__k{i}") for i, rg in enumerate(ranges)])
+    probs = F.array(*[F.lit(j / buckets) for j in range(buckets + 1)])
+    row = part.agg(*[F.kll_merge_agg_double(f"__k{i}").alias(f"__k{i}") for i in range(len(ranges))]).select(
+        *[F.kll_sketch_get_quantile_double(f"__k{i}", probs).alias(f"__q{i}") for i in range(len(ranges))]).first()
+    return [sorted(set(row[i])) for i in range(len(ranges))]
+
+
+def _bucket(x: Column, s: list[float], lo: int, hi: int) -> Column:
+    """2j where x equals splitter j, 2j + 1 between splitters j and j + 1 (binary search)."""
+    if lo == hi:
+        return F.when(x == F.lit(s[lo]), F.lit(2 * lo)).otherwise(F.lit(2 * lo + 1))
+    mid = (lo + hi + 1) // 2
+    return F.when(x < F.lit(s[mid]), _bucket(x, s, lo, mid - 1)).otherwise(_bucket(x, s, mid, hi))
+
+
+def _values_at(xs: DataFrame, ranks: dict[str, set[int]], buckets: int = BUCKETS) -> dict[tuple[str, int], float]:
+    """The values at 0-based ``ranks`` of the sorted non-missing values of each column."""
+    found: dict[tuple[str, int], float] = {}
+    todo = {(c, None, None): (0, sorted(r)) for c, r in ranks.items() if r}
+    while todo:
+        ranges = list(todo)
+        splits = _splitters(xs, ranges, buckets)
+        cells = F.array_compact(F.array(*[
+            F.when(_inside(rg).isNotNull(), F.struct(F.lit(i).alias("r"), _bucket(F.col(rg[0]), s, 0, len(s) - 1).alias("b")))
+            for i, (rg, s) in enumerate(zip(ranges, splits))]))
+        counts: dict[int, list] = {}
+        for row in (xs.select(F.explode(cells).alias("c")).groupBy("c.r", "c.b").agg(F.count(F.lit(1)).alias("n"))
+                    .collect()):  # at most 2 * BUCKETS + 1 rows per range
+            counts.setdefault(row["r"], []).append((row["b"], row["n"]))
+        nxt: dict[tuple, tuple[int, list[int]]] = {}
+        for i, (rg, s) in enumerate(zip(ranges, splits)):
+            below, wanted = todo[rg]
+            for b, n in sorted(counts.get(i, [])):
+                here = [r for r in wanted if below <= r < below + n]
+                if here and b % 2 == 0:
+                    found.update({(rg[0], r): s[b // 2] for r in here})
+                elif here:
+                    nxt[(rg[0], s[b // 2], s[b // 2 + 1])] = (below, here)
+                below += n
+        todo = nxt
+    return found
+
+
+def _quantile_values(xs: DataFrame, n: dict[str, int], probs: list[float], buckets: int) -> dict[str, list[float | None]]:
+    """Linear-interpolation quantiles of each column (None where it has no value)."""
+    pos = {c: _positions(k, probs) for c, k in n.items() if k}
+    at = _values_at(xs, {c: {k for p in ps for k in p[:2]} for c, ps in pos.items()}, buckets)
+
+    def value(c: str, k: int, k2: int, frac: float) -> float:
+        lo, hi = at[c, k], at[c, k2]
+        return lo if lo == hi or not frac else lo + (hi - lo) * frac
+
+    return {c: [value(c, *p) for p in pos[c]] if c in pos else [None] * len(probs) for c in n}
+
+
+def _counts(xs: DataFrame, cols: list[str]) -> dict[str, int]:
+    row = xs.agg(*[F.count(c).alias(f"__n{i}") for i, c in enumerate(cols)]).first()
+    return {c: row[i] for i, c in enumerate(cols)}
+
+
+def _double(v: float | None) -> Column:
+    return F.lit(v).cast(T.DoubleType())
+
+
+def _rounded(decimals: int | None):
+    return (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
 
 
 def quantiles(df: DataFrame, col: str, probs: list[float], names: list[str] | None = None,
-              map_limit: int = MAP_LIMIT, final_rows: int = FINAL_ROWS,
               buckets: int = BUCKETS, approx_accuracy: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles of one column -> one row, one column per prob.
 
@@ -188,8 +143,8 @@ def quantiles(df: DataFrame, col: str, probs: list[float], names: list[str] | No
     if approx_accuracy:
         arr = x.agg(F.percentile_approx("x", [float(p) for p in probs], approx_accuracy).alias("__q"))
         return arr.select([F.col("__q")[i].alias(nm) for i, nm in enumerate(names)])
-    st = _stats(x, ["x"], {"x"} if _integral(df, [col]) else set())["x"]
-    return _quantiles_known(x, st, probs, names, map_limit, final_rows, buckets)
+    q = _quantile_values(x, _counts(x, ["x"]), probs, buckets)["x"]
+    return df.sparkSession.range(1).select([_double(v).alias(nm) for v, nm in zip(q, names)])
 
 
 def describe(df: DataFrame, col: str, decimals: int | None = 6, **kw) -> DataFrame:
@@ -198,15 +153,11 @@ def describe(df: DataFrame, col: str, decimals: int | None = 6, **kw) -> DataFra
 
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None, decimals: int | None = 6,
-                     **kw) -> DataFrame:
+                     buckets: int = BUCKETS) -> DataFrame:
     """Numeric summary of many columns: one row per column.
 
-    Pass 1 (count, distinct estimate, min, max of every column) picks the
-    quantile method per column.  Pass 2 is one aggregation with the moments of
-    every column and the exact ``percentile`` of the low-cardinality ones;
-    high-cardinality columns get their quartiles by distributed selection and
-    are joined back by column name (a few rows).  Without ``cols``, every
-    integral/floating column.
+    One aggregation has the moments of every column; the exact quartiles of all
+    columns come from the same rounds.  Without ``cols``, every integral/floating column.
     """
     if cols is None:
         cols = [f.name for f in df.schema.fields
@@ -214,97 +165,42 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, decimals: int
     # NaN is missing, as in pandas
     xs = df.select([F.nanvl(F.col(c).cast(T.DoubleType()), F.lit(None).cast(T.DoubleType())).alias(c)
                     for c in cols])
-    map_limit = kw.get("map_limit", MAP_LIMIT)
-    stats = _stats(xs, cols, _integral(df, cols))
-    probs = [0.25, 0.5, 0.75]
-    small = {c for c in cols if stats[c]["d"] <= map_limit}
-    qtype = T.ArrayType(T.DoubleType())
+    q = _quantile_values(xs, _counts(xs, cols), [0.25, 0.5, 0.75], buckets)
+    r = _rounded(decimals)
     one = xs.agg(*[F.struct(
         F.lit(c).alias("column"), F.count(c).cast(T.LongType()).alias("count"),
-        F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"),
-        (F.percentile(c, F.array(*[F.lit(v) for v in probs])) if c in small else F.lit(None).cast(qtype)).alias("q"),
+        r(F.avg(c)).alias("mean"), r(F.stddev_samp(c)).alias("std"), F.min(c).alias("min"),
+        *[r(_double(v)).alias(nm) for v, nm in zip(q[c], ("q25", "q50", "q75"))], F.max(c).alias("max"),
     ).alias(f"__m{i}") for i, c in enumerate(cols)])
-    out = one.select(F.inline(F.array(*[F.col(f"__m{i}") for i in range(len(cols))])))
-    out = out.select("column", "count", "mean", "std", "min", "max",
-                     F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"))
-    big = [c for c in cols if c not in small]
-    if big:
-        parts = []
-        for c in big:
-            x = xs.select(F.col(c).alias("x")).where(F.col("x").isNotNull())
-            q = _quantiles_known(x, stats[c], probs, ["b25", "b50", "b75"], map_limit,
-                                 kw.get("final_rows", FINAL_ROWS), kw.get("buckets", BUCKETS))
-            parts.append(q.select(F.lit(c).alias("column"), "b25", "b50", "b75"))
-        qs = parts[0]
-        for q in parts[1:]:
-            qs = qs.unionByName(q)
-        out = (out.join(F.broadcast(qs), "column", "left")
-               .select("column", "count", "mean", "std", "min", "max",
-                       *[F.coalesce(F.col(f"q{k}"), F.col(f"b{k}")).alias(f"q{k}") for k in (25, 50, 75)]))
-    r = (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
-    return out.select("column", "count", r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"),
-                      F.col("min"), r(F.col("q25")).alias("q25"), r(F.col("q50")).alias("q50"),
-                      r(F.col("q75")).alias("q75"), F.col("max")).orderBy("column")
+    return one.select(F.inline(F.array(*[F.col(f"__m{i}") for i in range(len(cols))]))).orderBy("column")
 
 
 def quantile_report(df: DataFrame, col: str, probs: list[float], names: list[str],
-                    threshold: float, decimals: int | None = 6, map_limit: int = MAP_LIMIT,
-                    final_rows: int = FINAL_ROWS, buckets: int = BUCKETS) -> DataFrame:
-    """Quantiles plus a count above a threshold, one row (non-null values only).
-
-    On the exact-percentile path the count rides in the same aggregation as
-    the quantiles (one pass after the statistics pass).
-    """
+                    threshold: float, decimals: int | None = 6, buckets: int = BUCKETS) -> DataFrame:
+    """Quantiles plus a count above a threshold, one row (non-null values only)."""
     x = _x(df, col)
-    st = _stats(x, ["x"], {"x"} if _integral(df, [col]) else set())["x"]
-    r = (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
-    counts = [F.count_if(F.col("x") > F.lit(threshold)).alias("n_above"), F.count(F.lit(1)).alias("n")]
-    if 0 < st["n"] and st["d"] <= map_limit:
-        one = x.agg(F.percentile("x", F.array(*[F.lit(float(p)) for p in probs])).alias("__q"), *counts)
-        return one.select([r(F.col("__q")[i]).alias(nm) for i, nm in enumerate(names)] + ["n_above", "n"])
-    q = _quantiles_known(x, st, probs, names, map_limit, final_rows, buckets)
-    c = x.agg(F.struct(*counts)).scalar()
-    return (q.select([r(F.col(nm)).alias(nm) for nm in names])
-            .withColumn("n_above", c.getField("n_above"))
-            .withColumn("n", c.getField("n")))
+    q = _quantile_values(x, _counts(x, ["x"]), probs, buckets)["x"]
+    r = _rounded(decimals)
+    return x.agg(*[r(F.max(_double(v))).alias(nm) if v is None else F.first(r(_double(v))).alias(nm) for v, nm in zip(q, names)],
+                 F.count_if(F.col("x") > F.lit(threshold)).alias("n_above"), F.count(F.lit(1)).alias("n"))
 
 
 def boxplot_stats(df: DataFrame, col: str, whis: float = 1.5, decimals: int | None = 6,
-                  map_limit: int = MAP_LIMIT, final_rows: int = FINAL_ROWS, buckets: int = BUCKETS) -> DataFrame:
+                  buckets: int = BUCKETS) -> DataFrame:
     """Quartiles, whiskers (furthest values within whis x IQR) and outlier counts.
 
-    With few distinct values (proven by the statistics pass) everything comes
-    from one aggregation of the column into value counts: the quartiles are a
-    scalar subquery over those counts and the whiskers/outliers a second
-    aggregation over the same counts (its shuffle is reused), so the column is
-    read once after the statistics pass.  Otherwise the quartiles come from
-    distributed selection and the whiskers from one more pass.
+    The fences are literals by then, so whiskers and outliers are one partial aggregation.
     """
     x = _x(df, col)
-    st = _stats(x, ["x"], {"x"} if _integral(df, [col]) else set())["x"]
-    r = (lambda c: F.round(c, decimals)) if decimals is not None else (lambda c: c)
-    names = ["q1", "med", "q3"]
-    small = 0 < st["n"] and st["d"] <= map_limit
-    if small:
-        base = _value_counts_cum(x)
-        q = base.agg(*_quantile_aggs(st["n"], [0.25, 0.5, 0.75], names))
-        weight = F.col("c")
-    else:
-        base = x
-        q = _quantiles_known(x, st, [0.25, 0.5, 0.75], names, map_limit, final_rows, buckets)
-        weight = F.lit(1)
-    qs = q.select(F.struct(*names)).scalar()
-    q1, med, q3 = (qs.getField(c) for c in names)
+    quartiles = _quantile_values(x, _counts(x, ["x"]), [0.25, 0.5, 0.75], buckets)["x"]
+    r = _rounded(decimals)
+    q1, med, q3 = (_double(v) for v in quartiles)
     iqr = q3 - q1
     lo_f, hi_f = q1 - F.lit(whis) * iqr, q3 + F.lit(whis) * iqr
-    out = base.agg(
-        F.sum(weight).cast(T.LongType()).alias("n"),
-        F.min(F.when(F.col("x") >= lo_f, F.col("x"))).alias("whisker_lo"),
-        F.max(F.when(F.col("x") <= hi_f, F.col("x"))).alias("whisker_hi"),
-        F.sum(F.when(F.col("x") < lo_f, weight).otherwise(0)).cast(T.LongType()).alias("n_out_lo"),
-        F.sum(F.when(F.col("x") > hi_f, weight).otherwise(0)).cast(T.LongType()).alias("n_out_hi"),
-    )
-    return out.select(F.coalesce("n", F.lit(0)).cast(T.LongType()).alias("n"), r(q1).alias("q1"),
-                      r(med).alias("median"), r(q3).alias("q3"), "whisker_lo", "whisker_hi",
-                      F.coalesce("n_out_lo", F.lit(0)).cast(T.LongType()).alias("n_out_lo"),
-                      F.coalesce("n_out_hi", F.lit(0)).cast(T.LongType()).alias("n_out_hi"))
+    v = F.col("x")
+    out = x.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),
+        F.max(F.when(v <= hi_f, v)).alias("whisker_hi"),
+        F.count_if(v < lo_f).alias("n_out_lo"), F.count_if(v > hi_f).alias("n_out_hi"))
+    return out.select("n", r(q1).alias("q1"), r(med).alias("median"), r(q3).alias("q3"), "whisker_lo", "whisker_hi",
+                      "n_out_lo", "n_out_hi")

@@ -67,7 +67,7 @@ def survey_consolidated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     The fixture holds every month in one table, so it is read once as a single
     source (splitting it into three filtered reads would triple the scan); the
     N-source union is exercised by the CLI build from three monthly extracts,
-    the streaming test and the unit tests.
+    and the unit tests.
     """
     df = consolidated(spark, [raw_from_dir(spark, sf_dir)], only=[M, "uf_desc", "Idade", "Peso_Amostral"])
     return (df.groupBy(M, "uf_desc")

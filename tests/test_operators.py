@@ -107,7 +107,7 @@ def test_exact_selection_matches_numpy(spark, hot):
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0]
     # force the distributed-selection path with tiny limits (several refinement rounds)
-    got = stats.quantiles(df, "x", probs, map_limit=0, final_rows=50, buckets=8).first()
+    got = stats.quantiles(df, "x", probs, buckets=8).first()
     want = np.quantile(vals, probs)
     for g, w in zip(got, want):
         assert math.isclose(g, w, rel_tol=1e-12, abs_tol=1e-12)
@@ -121,7 +121,7 @@ def test_quantiles_empty_and_describe_numeric_big_path(spark):
     empty = spark.createDataFrame([], "x double")
     assert stats.quantiles(empty, "x", [0.5]).first()[0] is None
     df = spark.range(1000).select((F.col("id") * 1.5).alias("a"), (F.col("id") % 10).alias("b"))
-    rows = {r.column: r for r in stats.describe_numeric(df, map_limit=5, final_rows=100, buckets=16).collect()}
+    rows = {r.column: r for r in stats.describe_numeric(df, buckets=16).collect()}
     assert rows["a"].q50 == float(np.quantile(np.arange(1000) * 1.5, 0.5))
     assert rows["b"].q25 == float(np.quantile(np.arange(1000) % 10, 0.25))
 

@@ -1,11 +1,13 @@
-"""The large-cardinality code paths on real data, forced with small limits."""
+"""Exact quantiles: one path for all sizes, on real data and on awkward distributions."""
+
+import math
 
 import duckdb
+import numpy as np
 import pytest
 
-from surveyframe.operators import stats
-
 from conftest import SF_MID
+from surveyframe.operators import stats
 
 PROBS = [0.01, 0.25, 0.5, 0.75, 0.95, 0.99]
 
@@ -21,19 +23,38 @@ def _duck(col):
 
 
 @pytest.mark.parametrize("col", ["l_extendedprice", "l_quantity", "l_discount"])
-def test_distributed_selection_matches_duckdb(spark, lineitem, col):
-    # map_limit=0 forces selection; final_rows=300 forces several refinement rounds
-    got = stats.quantiles(lineitem, col, PROBS, map_limit=0, final_rows=300, buckets=64).first()
-    want = _duck(col)
-    for g, w in zip(got, want):
+@pytest.mark.parametrize("buckets", [4, 32])
+def test_quantiles_match_duckdb(spark, lineitem, col, buckets):
+    got = stats.quantiles(lineitem, col, PROBS, buckets=buckets).first()
+    for g, w in zip(got, _duck(col)):
         assert round(g, 6) == round(w, 6)
 
 
-def test_describe_and_box_big_paths_match_default(spark, lineitem):
-    small = {r.column: r for r in stats.describe_numeric(lineitem, ["l_extendedprice", "l_tax"]).collect()}
-    big = {r.column: r for r in stats.describe_numeric(lineitem, ["l_extendedprice", "l_tax"], map_limit=0,
-                                                       final_rows=500, buckets=32).collect()}
-    assert small == big
-    a = stats.boxplot_stats(lineitem, "l_extendedprice").first()
-    b = stats.boxplot_stats(lineitem, "l_extendedprice", map_limit=0, final_rows=500, buckets=32).first()
-    assert a == b
+def test_results_do_not_depend_on_the_number_of_buckets(spark, lineitem):
+    cols = ["l_extendedprice", "l_tax"]
+    assert stats.describe_numeric(lineitem, cols).collect() == stats.describe_numeric(lineitem, cols, buckets=5).collect()
+    assert stats.boxplot_stats(lineitem, "l_extendedprice").first() == stats.boxplot_stats(lineitem, "l_extendedprice", buckets=5).first()
+
+
+@pytest.mark.parametrize("name", ["infinite", "hot", "decades", "one", "none"])
+def test_awkward_distributions(spark, name):
+    rnd = np.random.default_rng(1)
+    vals = {"infinite": [-math.inf, math.inf, math.inf, *rnd.normal(size=500).tolist()],
+            "hot": [7.0] * 400 + rnd.normal(size=800).tolist(),
+            "decades": [float(10.0 ** e) for e in range(-300, 300)] * 2,
+            "one": [5.0], "none": [None, math.nan]}[name]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
+    got = stats.quantiles(df, "x", [0.0, 0.1, 0.5, 0.9, 0.999], buckets=8).first()
+    keep = np.array([v for v in vals if v is not None and not math.isnan(v)])
+    if not len(keep):
+        assert all(g is None for g in got)
+        return
+    want = np.quantile(np.sort(keep), [0.0, 0.1, 0.5, 0.9, 0.999])
+    for g, w in zip(got, want):
+        assert math.isnan(w) or math.isclose(g, w, rel_tol=1e-9)
+
+
+def test_no_values_in_one_partition(spark, lineitem):
+    for df in (stats.describe_numeric(lineitem, ["l_extendedprice"]), stats.boxplot_stats(lineitem, "l_extendedprice")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "percentile" not in plan and "Window" not in plan and "ObjectHashAggregate" not in plan
