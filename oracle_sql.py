@@ -355,6 +355,11 @@ def portable(sql: str, dates: list[str] = (), decimals: list[str] = ()) -> str:
     return f"SELECT * REPLACE ({', '.join(rep)}) FROM (\n{sql}\n) portable_t" if rep else sql
 
 
+ORACLE["stacked_accounts"] = """SELECT source, nationkey, COUNT(*) AS n, ROUND(SUM(acctbal), 2) AS acctbal FROM (
+  SELECT 'customer' AS source, c_nationkey AS nationkey, CAST(c_acctbal AS DOUBLE) AS acctbal FROM customer
+  UNION ALL SELECT 'supplier', s_nationkey, CAST(s_acctbal AS DOUBLE) FROM supplier) t
+GROUP BY source, nationkey"""
+
 _M = "DataReferencia_Mes"
 for _name, _dates, _decimals in [
     ("survey_processed", [], ["RendimentoHabitual_Valor"]),

@@ -18,7 +18,7 @@ from ..operators import distribution, filters, freq, rates, stats
 from ..operators.decode import decode
 from ..schema import CONSOLIDATED_COLUMNS, DASHBOARD_COLUMNS, MONTH_COLUMN
 from ..sources.dims import all_dims, bounded_broadcast, dim_sizes
-from ..sources.raw import raw_from_dir
+from ..sources.raw import raw_from_dir, stack
 from . import analyses as A
 from .consolidate import consolidated, survey
 
@@ -76,6 +76,19 @@ def survey_consolidated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .orderBy(M, "uf_desc"))
 
 
+def stacked_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 over two real inputs: customers and suppliers stacked by column name, per nation and source."""
+    def source(name: str, prefix: str) -> DataFrame:
+        t = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        return t.select(F.lit(name).alias("source"), F.col(f"{prefix}_nationkey").alias("nationkey"),
+                        F.col(f"{prefix}_acctbal").cast("double").alias("acctbal"))
+
+    suppliers = source("supplier", "s").select("acctbal", "source", "nationkey")  # another column order
+    return (stack([source("customer", "c"), suppliers]).groupBy("source", "nationkey")
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("acctbal"), 2).alias("acctbal"))
+            .orderBy("source", "nationkey"))
+
+
 def scan_pruned_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S6 + F8: dashboard projection under UF, sex and month filters."""
     df = survey(spark, sf_dir, only=DASHBOARD_COLUMNS)
@@ -208,6 +221,7 @@ _QUERIES: dict[str, Query] = {
     "filter_options": _on_survey(A.qo_filter_options, [M, "uf_desc", "sexo_desc"]),
     "month_labels": _on_survey(A.month_labels, [M]),
     # generic operators on the driver's own tables
+    "stacked_accounts": stacked_accounts,
     "lenient_casts": lenient_casts,
     "freq_nation_top15": freq_nation_top15,
     "crosstab_priority_status": crosstab_priority_status,
