@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import MID
+from llm_paths import MID
 from pyspark.sql import functions as F
 from test_operators_small import DOC, ODD, docs_of
 

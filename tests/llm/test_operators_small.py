@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 from brute import (edits_inside, jaccard_classes, pieces, pii_base, shingles, substring, vectors, warc)
-from conftest import MID
+from llm_paths import MID
 
 from surveyframe.llm import chat, decontam, embeddings, langid, packing, pii, setjoin, substring as sub
 from surveyframe.llm import warc as W
