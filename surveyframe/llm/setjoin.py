@@ -104,14 +104,14 @@ def _chosen(path: np.ndarray, probability: float) -> np.ndarray:
 
 
 def _children(df: DataFrame, threshold: float) -> DataFrame:
-    """(path, uid) of the next level from (path, uid, sk)."""
+    """(path, uid) of the next level from (path, uid, sk8): below the first level 8 bits of a token split well enough."""
     p = 1 / (threshold * SKETCH)
 
     def run(it):
         for b in it:
             for s in range(0, b.num_rows, 4096):
                 part = b.slice(s, 4096)
-                sk = np.frombuffer(b"".join(part.column("sk").to_pylist()), "<u4").reshape(-1, SKETCH)
+                sk = np.frombuffer(b"".join(part.column("sk8").to_pylist()), np.uint8).reshape(-1, SKETCH)
                 path = part.column("path").to_numpy().view(np.uint64)
                 row, pos = np.nonzero(_chosen(path, p))
                 child = mixed(path[row] * np.uint64(0x9E3779B97F4A7C15) + pos.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
@@ -139,7 +139,8 @@ def _roots(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
 
 
 def _leaf_links(leaves: DataFrame, least: int) -> DataFrame:
-    """Candidate links (a, b) of small buckets: the rows of a bucket are compared by their sketches."""
+    """Candidate links (a, b) of small buckets: rows of a bucket are compared by 4 bits of each token of their sketches
+    (equal tokens stay equal, so no pair is lost by it)."""
     dealt = leaves.repartition("path").sortWithinPartitions("path", "uid")
 
     def compare(path, uid, sk):
@@ -153,7 +154,8 @@ def _leaf_links(leaves: DataFrame, least: int) -> DataFrame:
                 near = np.zeros(len(i), bool)
                 for s in range(0, len(i), 8192):
                     k = i[s:s + 8192]
-                    near[s:s + 8192] = (sk[k] == sk[k + d]).sum(axis=1) >= least
+                    x = sk[k] ^ sk[k + d]
+                    near[s:s + 8192] = ((x & 15) == 0).sum(axis=1) + ((x & 240) == 0).sum(axis=1) >= least
                 order_links.append(np.stack((i[near], i[near] + d)))
             d += 1
         if not order_links:
@@ -169,7 +171,7 @@ def _leaf_links(leaves: DataFrame, least: int) -> DataFrame:
             if not b.num_rows:
                 continue
             held.append((b.column("path").to_numpy(), b.column("uid").to_numpy(),
-                         np.frombuffer(b"".join(b.column("sk").to_pylist()), np.uint8).reshape(-1, SKETCH)))
+                         np.frombuffer(b"".join(b.column("sk4").to_pylist()), np.uint8).reshape(-1, SKETCH // 2)))
             path, uid, sk = (np.concatenate(x) for x in zip(*held))
             cut = int(np.searchsorted(path, path[-1], "left")) if len(path) else 0
             held = [(path[cut:], uid[cut:], sk[cut:])]  # the last bucket may go on
@@ -182,10 +184,10 @@ def _leaf_links(leaves: DataFrame, least: int) -> DataFrame:
 
 
 def candidates(reps: DataFrame, threshold: float, recall: float, leaf: int, levels: int) -> DataFrame:
-    """Candidate links between stored distinct sets (uid, sk)."""
+    """Candidate links between stored distinct sets (uid, sk, sk8, sk4)."""
     sd = math.sqrt(threshold * (1 - threshold) / SKETCH)
     least = math.floor(SKETCH * (threshold - MARGIN * sd))
-    short = reps.select("uid", F.col("sk").alias("sk4"))
+    short = reps.select("uid", "sk4")
     spark = reps.sparkSession
 
     front = stored(_roots(reps.select("uid", "sk"), n_runs(recall, levels, threshold), threshold), "paths")
@@ -194,8 +196,7 @@ def candidates(reps: DataFrame, threshold: float, recall: float, leaf: int, leve
         size = front.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("least")).where("n > 1")
         size = stored(size, "path-sizes")
         small = front.join(size.where(F.col("n") <= leaf).select("path"), "path")
-        rows = small.join(short, "uid").select("path", "uid", _low_bytes(F.col("sk4")).alias("sk"))
-        links = _leaf_links(rows, least)
+        links = _leaf_links(small.join(short, "uid").select("path", "uid", "sk4"), least)
         big = size.where(F.col("n") > leaf)
         last = level == levels
         if last:
@@ -204,28 +205,33 @@ def candidates(reps: DataFrame, threshold: float, recall: float, leaf: int, leve
         edges = links if edges is None else edges.union(links)
         if last or big.isEmpty():
             break
-        nxt = front.join(big.select("path"), "path").join(reps.select("uid", "sk"), "uid")
-        front = stored(_children(nxt.select("path", "uid", "sk"), threshold), "paths")
+        nxt = front.join(big.select("path"), "path").join(reps.select("uid", "sk8"), "uid")
+        front = stored(_children(nxt.select("path", "uid", "sk8"), threshold), "paths")
     return edges
 
 
 def _low_bytes(sk):
-    """Every fourth byte of the sketch: 8 bits of each token are enough to compare candidates."""
+    """Every fourth byte of the sketch: 8 bits of each token."""
     return F.unhex(F.regexp_replace(F.hex(sk), "(..)......", "$1"))
 
 
-def _exact(members: DataFrame, threshold: float, n: int, block_shingles: int) -> DataFrame:
-    """``(uid, n, root)`` from (comp, uid, copies, text): exact links inside each candidate group."""
+def _half_bytes(sk8):
+    """4 bits of each token, two tokens a byte."""
+    return F.unhex(F.regexp_replace(F.hex(sk8), ".(.)", "$1"))
+
+
+def _exact(members: DataFrame, threshold: float, n: int) -> DataFrame:
+    """``(uid, n, root)`` from (comp, uid, copies, blocks, text): exact links inside each candidate group,
+    whose sets are dealt over ``blocks`` blocks."""
 
     def as_sets(it):
         for b, texts in text_chunks(it):
             sets = shingle_sets(texts, n)
-            yield {c: b.column(c) for c in ("comp", "uid", "copies")} | {
+            yield {c: b.column(c) for c in ("comp", "uid", "copies", "blocks")} | {
                 "size": [len(s) for s in sets], "s": [s.astype("<u8").tobytes() for s in sets]}
 
-    sets = stored(map_arrow(members, as_sets, "comp long, uid long, copies long, size long, s binary"), "sets")
-    blocks = sets.groupBy("comp").agg(F.ceil(F.sum("size") / block_shingles).cast("int").alias("blocks"))
-    j = sets.join(blocks, "comp").withColumn("own", F.pmod(F.xxhash64("uid"), "blocks").cast("int"))
+    sets = map_arrow(members, as_sets, "comp long, uid long, copies long, blocks int, size long, s binary")
+    j = sets.withColumn("own", F.pmod(F.xxhash64("uid"), "blocks").cast("int"))
     pairs = j.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = pairs.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "uid", "copies", "size", "s")
     group = ["comp", "i", "j"]
@@ -289,12 +295,16 @@ def _classes(docs: DataFrame, threshold: float, n: int, recall: float, leaf: int
     rows = stored(_sketched(docs, n).withColumn("uid", F.monotonically_increasing_id()), "sketches")
     sig = ["n", "sig_a", "sig_b"]
     groups = stored(rows.where("n > 0").groupBy(*sig).agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("copies")), "equal-sets")
-    reps = rows.join(groups.select("rep", "copies"), F.col("uid") == F.col("rep")).select("uid", "copies", "sk")
-    reps = stored(reps, "distinct-sets")
+    reps = rows.join(groups.select("rep", "copies"), F.col("uid") == F.col("rep")).select(
+        "uid", "copies", "n", "sk", _low_bytes(F.col("sk")).alias("sk8"))
+    reps = stored(reps.withColumn("sk4", _half_bytes(F.col("sk8"))), "distinct-sets")
     comp = stored(connected_components(candidates(reps, threshold, recall, leaf, levels)), "candidate-groups")
-    members = (rows.select("uid", F.col("orig.text").alias("text")).join(comp, F.col("uid") == F.col("node"))
-               .join(reps.select("uid", "copies"), "uid").select("comp", "uid", "copies", "text"))
-    found = stored(_exact(members, threshold, n, block_shingles), "exact-links")
+    # Blocks follow from the sets' sizes, so that each set is sent once, and to its blocks only.
+    sized = comp.join(reps.select("uid", "copies", "n"), F.col("node") == F.col("uid")).select("comp", "uid", "copies", "n")
+    blocks = sized.groupBy("comp").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
+    members = (rows.select("uid", F.col("orig.text").alias("text")).join(sized.join(blocks, "comp"), "uid")
+               .select("comp", "uid", "copies", "blocks", "text"))
+    found = stored(_exact(members, threshold, n), "exact-links")
     exact = connected_components(found.where("uid <> root"), "uid", "root")
     counts = found.groupBy("uid").agg(F.sum("n").alias("linked"))
     per_rep = (groups.join(counts, F.col("rep") == F.col("uid"), "left").drop("uid")
