@@ -360,6 +360,34 @@ ORACLE["stacked_accounts"] = """SELECT source, nationkey, COUNT(*) AS n, ROUND(S
   UNION ALL SELECT 'supplier', s_nationkey, CAST(s_acctbal AS DOUBLE) FROM supplier) t
 GROUP BY source, nationkey"""
 
+
+def long_shares(pre: str, src: str, group: str, col: str) -> str:
+    return f"""{pre}
+SELECT {group}, {col}, n, {pctx('n', f'SUM(n) OVER (PARTITION BY {group})')} AS pct
+FROM (SELECT {group}, {col}, COUNT(*) AS n FROM {src} WHERE {group} IS NOT NULL AND {col} IS NOT NULL GROUP BY ALL) t"""
+
+
+ORACLE.update({
+    "freq_rendimento_all_bands": f"""{PRE},
+c AS (SELECT FaixaRendimento_desc, n, {pctx('n', 'SUM(n) OVER ()')} AS pct FROM (
+        SELECT FaixaRendimento_desc, COUNT(*) AS n FROM survey
+        WHERE FaixaRendimento_desc IS DISTINCT FROM 'Não Informado' GROUP BY 1) t)
+SELECT o.FaixaRendimento_desc, o.ord, COALESCE(c.n, 0) AS n, COALESCE(c.pct, 0.0) AS pct
+FROM {values_table('FaixaRendimento_desc', INCOME_BAND_ORDER)} o LEFT JOIN c ON c.FaixaRendimento_desc = o.FaixaRendimento_desc""",
+    "freq_priority_fallback": f"""
+SELECT o_orderpriority, CAST(NULL AS INTEGER) AS ord, n, {pctx('n', 'SUM(n) OVER ()')} AS pct
+FROM (SELECT o_orderpriority, COUNT(*) AS n FROM orders GROUP BY 1) t""",
+    "crosstab_priority_status_long": long_shares("", "orders", "o_orderpriority", "o_orderstatus"),
+    "month_fever_answers_long": long_shares(PRE, "survey", "DataReferencia_Mes", "Febre_desc"),
+    "trabalhou_yes_no": f"SELECT * FROM ({freq_pct('Trabalhou_desc')}) s WHERE Trabalhou_desc IN ('Sim', 'Não')",
+    "away_active_yes_no": f"""SELECT * FROM (
+{freq_pct('AfastadoTrabalho_desc', "Idade >= 14 AND Trabalhou_desc = 'Não'")}
+) s WHERE AfastadoTrabalho_desc IN ('Sim', 'Não')""",
+    "freq_sexo_filtered": freq_pct("sexo_desc", "uf_desc = 'Bahia' AND DataReferencia_Mes = DATE '2020-07-01'"),
+    "hist_age_20_filtered": hist(PRE, num("Idade", "survey", "uf_desc = 'São Paulo' AND sexo_desc = 'Mulher' "
+                                          "AND DataReferencia_Mes = DATE '2020-09-01'"), 20),
+})
+
 _M = "DataReferencia_Mes"
 for _name, _dates, _decimals in [
     ("survey_processed", [], ["RendimentoHabitual_Valor"]),
@@ -370,6 +398,7 @@ for _name, _dates, _decimals in [
     ("trend_work_aid", [_M], []),
     ("trend_work_aid_filtered", [_M], []),
     ("month_fever_answer_shares", [_M], []),
+    ("month_fever_answers_long", [_M], []),
     ("sample_first_last", [_M], ["RendimentoHabitual_Valor"]),
     ("month_labels", [_M], []),
     ("lenient_casts", ["dt"], []),

@@ -1,7 +1,7 @@
 """Command line: build the analytic table from monthly extracts, run the analyses.
 
     python -m surveyframe.cli build  --csv 'extracts/*.csv' --table /shared/survey
-    python -m surveyframe.cli analyze --table /shared/survey --out /shared/reports [--only name ...]
+    python -m surveyframe.cli analyze --table /shared/survey --out /shared/reports [--only name ...] [--uf Bahia] [--mes Julho/2020]
     python -m surveyframe.cli kpi --table /shared/survey --uf Bahia --mes Setembro/2020
 
 ``build`` lands the extracts, decodes all months in one pass and writes the
@@ -73,9 +73,10 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--only", nargs="*")
     k = sub.add_parser("kpi")
     k.add_argument("--table", required=True)
-    k.add_argument("--uf")
-    k.add_argument("--sexo")
-    k.add_argument("--mes")
+    for p in (a, k):
+        p.add_argument("--uf")
+        p.add_argument("--sexo")
+        p.add_argument("--mes", help="month key or label; views along months ignore it")
     args = ap.parse_args(argv)
 
     spark = get_spark()
@@ -85,7 +86,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "analyze":
         df = read_consolidated(spark, args.table)
         for name in args.only or list(ANALYSES):
-            ANALYSES[name](df).write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+            out = A.dashboard_view(ANALYSES[name], df, uf=args.uf, sexo=args.sexo, mes=args.mes)
+            out.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
     else:
         A.qk_kpi(dashboard_scan(spark, args.table, uf=args.uf, sexo=args.sexo, mes=args.mes)).show(truncate=False)
     return 0

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import default_label, zero_pad
 from ..schema import DIMS, PASSTHROUGH, PROCESSED_COLUMNS, QUESTIONS, Question
-from ..sources.dims import bounded_broadcast
+from ..sources.dims import code_table
 
 
 def _code_expr(q: Question) -> Column:
@@ -40,31 +40,38 @@ def decode(raw: DataFrame, dims: Mapping[str, DataFrame], only: list[str] | None
     unknown = set(only or []) - set(PROCESSED_COLUMNS)
     if unknown:
         raise ValueError(f"unknown processed columns: {sorted(unknown)}")
-    dim_rows = dim_rows or {}
-
     questions = [q for q in QUESTIONS if q.code_out in wanted or q.desc_out in wanted]
-    needs_label = [q for q in questions if q.desc_out in wanted]
 
-    # 1) codes (cast / padded) plus pass-through columns, one narrow projection
+    # codes (cast / padded) plus pass-through columns, one narrow projection
     cols = [F.col(r).cast(t).alias(name) for name, (r, t) in PASSTHROUGH.items() if name in wanted]
     cols += [_code_expr(q).alias(q.code_out) for q in questions]
     cols += [F.col(c) for c in (extra or [])]
-    df = raw.select(cols)
+    return label(raw.select(cols), dims, wanted, dim_rows, extra)
+
+
+def label(coded: DataFrame, dims: Mapping[str, DataFrame], wanted: list[str],
+          dim_rows: dict[str, int] | None = None, extra: list[str] | None = None) -> DataFrame:
+    """Rows with processed codes -> the columns ``wanted`` (labels joined) and ``extra``.
+
+    Also used after a top-k or an aggregation, where only a few rows need labels.
+    """
+    dim_rows = dim_rows or {}
+    needs_label = [q for q in QUESTIONS if q.desc_out in wanted]
 
-    # 2) one left join per label.  A code table that serves several questions
+    # 1) one left join per label.  A code table that serves several questions
     #    (role-playing dimension) is joined under a query alias, not re-projected,
     #    so all its joins share one broadcast (ReusedExchange).
     broadcast_cache: dict[str, DataFrame] = {}
-    df = df.alias("__raw")
+    df = coded.alias("__raw")
     for q in needs_label:
         spec = DIMS[q.dim]
         if q.dim not in broadcast_cache:
-            broadcast_cache[q.dim] = bounded_broadcast(dims[q.dim], known_rows=dim_rows.get(q.dim))
+            broadcast_cache[q.dim] = code_table(dims[q.dim], known_rows=dim_rows.get(q.dim))
         a = f"__d_{q.code_out}"
         d = broadcast_cache[q.dim].alias(a)
         df = df.join(d, F.col(f"__raw.{q.code_out}") == F.col(f"{a}.{spec.code_col}"), "left")
 
-    # 3) default label for NULL and unmatched codes, final column order
+    # 2) default label for NULL and unmatched codes, final column order
     out = []
     for name in wanted:
         q = next((q for q in needs_label if q.desc_out == name), None)

@@ -9,7 +9,7 @@ once, and the division runs in every partition - no single-partition window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,7 +84,8 @@ def ordered_counts(df: DataFrame, col: str, order: list[str], keep_absent: bool
     Percents are of all rows.  By default only categories that occur and are
     in ``order`` are kept (reindex to the present categories); ``keep_absent``
     emits every listed category, absent ones with 0.  ``fallback_observed``
-    keeps the observed categories (most frequent first) when none is listed.
+    keeps the observed categories (most frequent first, ``ord`` NULL) when none
+    is listed.
     """
     order_df = F.broadcast(inline_table(
         df.sparkSession, [(v, i) for i, v in enumerate(order)],
@@ -100,17 +101,12 @@ def ordered_counts(df: DataFrame, col: str, order: list[str], keep_absent: bool
         return out.orderBy("ord")
     joined = counts.join(order_df, col, "left")
     if fallback_observed:
-        # only when no listed category occurs: rank the observed ones (the
-        # window sees one row per distinct category)
-        any_listed = F.max(F.col("ord").isNotNull().cast("int")).over(Window.partitionBy())
-        rank = F.row_number().over(Window.orderBy(F.desc("n"), F.asc_nulls_last(col))) - 1
-        joined = (joined.withColumn("__any", any_listed)
-                  .where((F.col("__any") == 0) | F.col("ord").isNotNull())
-                  .withColumn("ord", F.when(F.col("__any") == 0, rank.cast("int")).otherwise(F.col("ord")))
-                  .drop("__any"))
+        # the number of listed rows is a scalar subquery over the same aggregation
+        listed = joined.agg(F.struct(F.count("ord").alias("c"), F.count("n").alias("k"))).scalar().getField("c")
+        joined = joined.where(F.col("ord").isNotNull() | (listed == 0))
     else:
         joined = joined.where(F.col("ord").isNotNull())
-    return joined.select(col, "ord", "n", "pct").orderBy("ord")
+    return joined.select(col, "ord", "n", "pct").orderBy("ord", F.desc("n"), F.asc_nulls_last(col))
 
 
 def weighted_totals(df: DataFrame, col: str, weight: str, alias: str = "weighted_total",

@@ -22,7 +22,11 @@ def describe_categorical(df: DataFrame, cols: list[str] | None = None) -> DataFr
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast(T.StringType()).alias("value")) for c in cols
     ])).alias("__s")).select("__s.*").where(F.col("value").isNotNull())
-    vc = stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return summary_of_counts(stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def summary_of_counts(vc: DataFrame) -> DataFrame:
+    """count, unique, top, freq per column from counts per (column, value, n)."""
     per_col = vc.groupBy("column").agg(
         F.sum("n").cast(T.LongType()).alias("count"),
         F.count(F.lit(1)).cast(T.LongType()).alias("unique"),
@@ -31,10 +35,16 @@ def describe_categorical(df: DataFrame, cols: list[str] | None = None) -> DataFr
                           (-F.col("__top.neg_n")).alias("freq")).orderBy("column")
 
 
-def completeness(df: DataFrame) -> DataFrame:
-    """Per column: position, type and non-null count (one aggregation)."""
-    fields = df.schema.fields
-    agg = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"__c{i}") for i, f in enumerate(fields)])
+def completeness(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """Per column: position, type and non-null count (one aggregation).
+
+    ``schema`` describes a wider table than ``df``: columns that ``df`` lacks are
+    filled by a default there and never NULL, so their count is the row count
+    and nothing has to compute them.
+    """
+    fields = (schema or df.schema).fields
+    agg = df.agg(*[F.count(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(1)).alias(f"__c{i}")
+                   for i, f in enumerate(fields)])
     return agg.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"),
                  F.lit(f.dataType.simpleString()).alias("dtype"), F.col(f"__c{i}").alias("non_null"))

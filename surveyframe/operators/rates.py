@@ -7,7 +7,7 @@ All of them are conditional aggregation: one ``groupBy`` with one
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,19 @@ def group_shares(df: DataFrame, group: str, col: str, values: list[str]) -> Data
                                       for i, v in enumerate(values)]).orderBy(group)
 
 
+def answer_shares(df: DataFrame, group: str, col: str, weight: str | None = None) -> DataFrame:
+    """Percent of **every observed** answer within its group, long -> (group, col, n, pct).
+
+    Rows where either is NULL are dropped; the percents of a group sum to 100.
+    The group totals are summed over the aggregated rows, one per (group, answer).
+    """
+    base = df.where(F.col(group).isNotNull() & F.col(col).isNotNull())
+    counts = base.groupBy(group, col).agg(_num(F.lit(True), weight).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(group))
+    return (counts.select(group, col, "n", pct(F.col("n"), total).alias("pct"))
+            .orderBy(F.asc(group), F.desc("n"), F.asc(col)))
+
+
 def crosstab_pct(df: DataFrame, row: str, col: str, col_values: list[str],
                  row_order: list[str] | None = None, weight: str | None = None) -> DataFrame:
     """Row-normalised contingency table in percent -> (row, <one column per value>).

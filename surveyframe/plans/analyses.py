@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import cut, date_key, label_map, month_label, pct, pct_text
 from ..operators import distribution, filters, freq, profile, rates, stats
-from ..schema import (AGE_BAND_EDGES, AGE_BAND_LABELS, CONSOLIDATED_COLUMNS, DIM_ROWS,
+from ..schema import (AGE_BAND_EDGES, AGE_BAND_LABELS, DIM_ROWS,
                       EDUCATION_ORDER, HOSPITAL_YES_NO, INCOME_BAND_INFORMED_ORDER,
                       INCOME_BAND_ORDER, MONTH_COLUMN, MONTH_LABELS, NO, NOT_INFORMED,
                       SYMPTOMS, YES)
@@ -123,6 +123,11 @@ def qc1_trabalhou(df: DataFrame) -> DataFrame:
     return freq.value_counts_pct(df, "Trabalhou_desc").where(F.col("n") > 0)
 
 
+def qc1_trabalhou_yes_no(df: DataFrame) -> DataFrame:
+    """Shares over all answers, of which only Yes and No are shown."""
+    return filters.isin(freq.value_counts_pct(df, "Trabalhou_desc"), "Trabalhou_desc", [YES, NO])
+
+
 def qc2_away_yes_no(df: DataFrame) -> DataFrame:
     return freq.value_counts_pct(filters.isin(df, "AfastadoTrabalho_desc", [YES, NO]), "AfastadoTrabalho_desc")
 
@@ -135,6 +140,11 @@ def qc21_away_active_not_working(df: DataFrame) -> DataFrame:
     return freq.value_counts_pct(filters.active_not_working(df), "AfastadoTrabalho_desc")
 
 
+def qc21_away_active_yes_no(df: DataFrame) -> DataFrame:
+    """The Yes and No shares of the series above, still of all its answers."""
+    return filters.isin(qc21_away_active_not_working(df), "AfastadoTrabalho_desc", [YES, NO])
+
+
 def qc3_ocupacao_weighted(df: DataFrame) -> DataFrame:
     """Informed occupations: count, percent and weighted population (one aggregation)."""
     col = "PosicaoOcupacao_desc"
@@ -223,6 +233,17 @@ def qe3_income_x_hosp(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- dashboard
 
+def dashboard_view(fn, df: DataFrame, uf=None, sexo=None, mes=None) -> DataFrame:
+    """Any analysis under the dashboard's filters.
+
+    Views along months ignore the month filter; option lists ignore all filters.
+    """
+    if fn in (qo_filter_options, month_labels):
+        return fn(df)
+    along_months = fn in (qd1_trend_symptoms, qd2_trend_care, qd3_trend_work_aid, qd_month_answer_shares)
+    return fn(filters.survey_filter(df, uf=uf, sexo=sexo, mes=None if along_months else mes))
+
+
 def qk_kpi(df: DataFrame, uf=None, sexo=None, mes=None) -> DataFrame:
     return rates.kpi_row(filters.survey_filter(df, uf=uf, sexo=sexo, mes=mes))
 
@@ -252,8 +273,3 @@ def month_labels(df: DataFrame) -> DataFrame:
     months = profile.distinct_sorted(df, M)
     return months.select(M, date_key(M).alias("chave"), label_map(date_key(M), MONTH_LABELS).alias("rotulo"),
                          month_label(M).alias("ano_mes"), month_label(M, "MM/yy").alias("mes_curto"))
-
-
-def sample_first_last(df: DataFrame, n: int = 5) -> DataFrame:
-    return profile.head_tail(df, list(CONSOLIDATED_COLUMNS), n)
-

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import lenient_date, lenient_number
-from ..operators import distribution, filters, freq, rates, stats
-from ..operators.decode import decode
-from ..schema import CONSOLIDATED_COLUMNS, DASHBOARD_COLUMNS, MONTH_COLUMN
+from ..operators import distribution, filters, freq, profile, rates, stats
+from ..operators.decode import decode, label
+from ..schema import CONSOLIDATED_COLUMNS, DASHBOARD_COLUMNS, INCOME_BAND_ORDER, MONTH_COLUMN, PROCESSED_COLUMNS
 from ..sources.dims import all_dims, bounded_broadcast, dim_sizes
 from ..sources.raw import raw_from_dir, stack
 from . import analyses as A
@@ -106,6 +106,39 @@ def trend_work_aid_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.qd3_trend_work_aid(filters.survey_filter(df, uf="Minas Gerais", sexo="Mulher"))
 
 
+def freq_sexo_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frequency view under the dashboard's filters."""
+    df = survey(spark, sf_dir, only=[M, "uf_desc", "sexo_desc"])
+    return A.dashboard_view(A.qa3_sexo, df, uf="Bahia", mes="Julho/2020")
+
+
+def hist_age_20_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A histogram under the dashboard's filters; its bounds are those of the kept rows."""
+    df = survey(spark, sf_dir, only=[M, "uf_desc", "sexo_desc", "Idade"])
+    kept = filters.survey_filter(df, uf="São Paulo", sexo="Mulher", mes="Setembro/2020")
+    return A.qa2_age_hist(kept, 20)
+
+
+def freq_rendimento_all_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6: every band of the order, those that no informed row has with 0."""
+    df = filters.informed(survey(spark, sf_dir, only=["FaixaRendimento_desc"]), "FaixaRendimento_desc")
+    return freq.ordered_counts(df, "FaixaRendimento_desc", INCOME_BAND_ORDER, keep_absent=True)
+
+
+def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A15 on codes: labels have a default and are never NULL, so none is joined."""
+    codes = [c for c in CONSOLIDATED_COLUMNS if not c.endswith("_desc")]
+    return profile.completeness(survey(spark, sf_dir, only=codes), survey(spark, sf_dir).schema)
+
+
+def sample_first_last(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
+    """L2: the ends are taken on codes, as every label follows from the code before it; only they are decoded."""
+    codes = [c for c in CONSOLIDATED_COLUMNS if not c.endswith("_desc")]
+    ends = profile.head_tail(survey(spark, sf_dir, only=codes), codes, n)
+    return (label(ends, all_dims(spark), list(PROCESSED_COLUMNS), dim_sizes(), extra=[M, "part", "pos"])
+            .select(*CONSOLIDATED_COLUMNS, "part", "pos"))
+
+
 # ---------------------------------------------------- generic operators reuse
 
 def lenient_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +163,16 @@ def crosstab_priority_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.crosstab_pct(o, "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
 
 
+def crosstab_priority_status_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 over the observed answers, none listed by hand."""
+    return rates.answer_shares(_t(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus")
+
+
+def freq_priority_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6: none of the listed categories occurs, so the observed ones are shown."""
+    return freq.ordered_counts(_t(spark, sf_dir, "orders"), "o_orderpriority", ["HIGH", "LOW"], fallback_observed=True)
+
+
 def trend_event_error_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _t(spark, sf_dir, "events").select(F.to_date("ts").alias("dia"), "event_type")
     return rates.answer_rates(ev, "dia", ["event_type"], ["pct_error"], answer="error")
@@ -212,8 +255,17 @@ _QUERIES: dict[str, Query] = {
     # table profiles
     "describe_numeric_all": lambda spark, sf: stats.describe_numeric(survey(spark, sf, only=NUMERIC), NUMERIC),
     "describe_categorical": lambda spark, sf: A.profile.describe_categorical(survey(spark, sf, only=TEXT)),
-    "completeness": lambda spark, sf: A.profile.completeness(survey(spark, sf)),
-    "sample_first_last": lambda spark, sf: A.sample_first_last(survey(spark, sf)),
+    "completeness": completeness,
+    "sample_first_last": sample_first_last,
+    # observed answers, absent categories, shares before the filter, dashboard filters
+    "freq_rendimento_all_bands": freq_rendimento_all_bands,
+    "freq_priority_fallback": freq_priority_fallback,
+    "crosstab_priority_status_long": crosstab_priority_status_long,
+    "month_fever_answers_long": _on_survey(lambda df: rates.answer_shares(df, M, "Febre_desc"), [M, "Febre_desc"]),
+    "trabalhou_yes_no": _on_survey(A.qc1_trabalhou_yes_no, ["Trabalhou_desc"]),
+    "away_active_yes_no": _on_survey(A.qc21_away_active_yes_no, ["Idade", "Trabalhou_desc", "AfastadoTrabalho_desc"]),
+    "freq_sexo_filtered": freq_sexo_filtered,
+    "hist_age_20_filtered": hist_age_20_filtered,
     # dashboard
     "kpi_row": _on_survey(A.qk_kpi, ["Febre_desc", "AuxilioEmergencial_desc"]),
     "kpi_row_filtered": kpi_row_filtered,

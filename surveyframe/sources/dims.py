@@ -115,6 +115,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_DIM_ROWS,
     return F.broadcast(df) if n <= max_rows else df
 
 
+def code_table(df: DataFrame, known_rows: int | None = None, max_rows: int = MAX_DIM_ROWS) -> DataFrame:
+    """``df`` for a broadcast join; a code table of more than ``max_rows`` rows is a data fault."""
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
+    if n > max_rows:
+        raise ValueError(f"a code table may have at most {max_rows} rows")
+    return F.broadcast(df)
+
+
 @lru_cache(maxsize=None)
 def dim_sizes() -> dict[str, int]:
     return {k: len(v) for k, v in DIM_ROWS.items()}

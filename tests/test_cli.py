@@ -20,3 +20,12 @@ def test_build_and_analyze(spark):
     assert sorted(p for p in os.listdir(f"{d}/out")) == sorted(cli.ANALYSES)
     care = spark.read.parquet(f"{d}/out/atendimento_sintomaticos")
     assert abs(sum(r.pct for r in care.collect()) - 100.0) < 1e-9
+
+    # the dashboard's filters hold for every analysis; views along months keep all months
+    assert cli.main(["analyze", "--table", f"{d}/t", "--out", f"{d}/one", "--uf", "Bahia", "--mes", "Julho/2020",
+                     "--only", "sexo", "evolucao_sintomas"]) == 0
+    kept = spark.read.parquet(f"{d}/t").where("uf_desc = 'Bahia' and DataReferencia_Mes = date'2020-07-01'").count()
+    assert spark.read.parquet(f"{d}/one/sexo").agg(F.sum("n")).first()[0] == kept
+    assert spark.read.parquet(f"{d}/one/evolucao_sintomas").count() == 3
+    assert cli.main(["analyze", "--table", f"{d}/t", "--out", f"{d}/none", "--mes", "Outubro/2020", "--only", "sexo"]) == 0
+    assert spark.read.parquet(f"{d}/none/sexo").count() == 0

@@ -36,7 +36,23 @@ def test_ordered_counts_present_absent_fallback(spark):
     absent = freq.ordered_counts(df, "v", ["a", "b", "c"], keep_absent=True).collect()
     assert [(r.v, r.n, r.pct) for r in absent] == [("a", 1, 25.0), ("b", 2, 50.0), ("c", 0, 0.0)]
     none_listed = freq.ordered_counts(df, "v", ["x", "y"], fallback_observed=True).collect()
-    assert [(r.v, r.ord) for r in none_listed] == [("b", 0), ("a", 1), ("z", 2)]
+    assert [(r.v, r.ord) for r in none_listed] == [("b", None), ("a", None), ("z", None)]
+    some_listed = freq.ordered_counts(df, "v", ["z", "y"], fallback_observed=True).collect()
+    assert [(r.v, r.ord) for r in some_listed] == [("z", 0)]
+    assert freq.ordered_counts(df.where("false"), "v", ["z"], fallback_observed=True).collect() == []
+
+
+def test_answer_shares_lists_every_observed_answer(spark):
+    df = spark.createDataFrame([("x", "S"), ("x", "S"), ("x", "W"), ("y", "N"), ("y", None), (None, "S")], "g string, a string")
+    got = [(r.g, r.a, r.n, round(r.pct, 3)) for r in rates.answer_shares(df, "g", "a").collect()]
+    assert got == [("x", "S", 2, 66.667), ("x", "W", 1, 33.333), ("y", "N", 1, 100.0)]
+
+
+def test_code_table_of_unlikely_size_is_an_error(spark):
+    from surveyframe.sources.dims import code_table
+
+    with pytest.raises(ValueError):
+        code_table(spark.range(20), max_rows=10)
 
 
 def test_multi_value_counts_and_count_answers(spark):

@@ -26,6 +26,12 @@ def test_pruned_decode_join_counts(spark):
     assert plan_summary(QS["survey_processed"](spark, SF_SMALL))["broadcast_hash_joins"] == 16
 
 
+def test_labels_are_joined_after_the_ends_are_taken(spark):
+    assert plan_summary(QS["completeness"](spark, SF_SMALL))["broadcast_hash_joins"] == 0
+    plan = QS["sample_first_last"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("BroadcastHashJoin") < plan.index("TakeOrderedAndProject")
+
+
 def test_hot_key_is_combined_map_side(spark):
     """One key holding a third of the rows: every aggregation is partial before
     its shuffle, so the hot key costs one row per task, and results are whole."""
