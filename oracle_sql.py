@@ -383,9 +383,9 @@ FROM (SELECT o_orderpriority, COUNT(*) AS n FROM orders GROUP BY 1) t""",
     "away_active_yes_no": f"""SELECT * FROM (
 {freq_pct('AfastadoTrabalho_desc', "Idade >= 14 AND Trabalhou_desc = 'Não'")}
 ) s WHERE AfastadoTrabalho_desc IN ('Sim', 'Não')""",
-    "freq_sexo_filtered": freq_pct("sexo_desc", "uf_desc = 'Bahia' AND DataReferencia_Mes = DATE '2020-07-01'"),
+    "freq_sexo_filtered": freq_pct("sexo_desc", "uf_desc = 'Bahia' AND DataReferencia_Mes = DATE '2020-09-01'"),
     "hist_age_20_filtered": hist(PRE, num("Idade", "survey", "uf_desc = 'São Paulo' AND sexo_desc = 'Mulher' "
-                                          "AND DataReferencia_Mes = DATE '2020-09-01'"), 20),
+                                          "AND DataReferencia_Mes = DATE '2020-07-01'"), 20),
 })
 
 _M = "DataReferencia_Mes"

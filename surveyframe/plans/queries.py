@@ -109,13 +109,13 @@ def trend_work_aid_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def freq_sexo_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A frequency view under the dashboard's filters."""
     df = survey(spark, sf_dir, only=[M, "uf_desc", "sexo_desc"])
-    return A.dashboard_view(A.qa3_sexo, df, uf="Bahia", mes="Julho/2020")
+    return A.dashboard_view(A.qa3_sexo, df, uf="Bahia", mes="Setembro/2020")
 
 
 def hist_age_20_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A histogram under the dashboard's filters; its bounds are those of the kept rows."""
     df = survey(spark, sf_dir, only=[M, "uf_desc", "sexo_desc", "Idade"])
-    kept = filters.survey_filter(df, uf="São Paulo", sexo="Mulher", mes="Setembro/2020")
+    kept = filters.survey_filter(df, uf="São Paulo", sexo="Mulher", mes="Julho/2020")
     return A.qa2_age_hist(kept, 20)
 
 
