@@ -10,7 +10,13 @@ then start) covers words to remove.
 Before the shuffle each task keeps one copy of equal packed strings of a text
 chunk: the others are already known to repeat an earlier window. A passage that
 a third of the documents share thus sends one string per chunk, not per copy.
-Packed strings of a chunk and bucket are one compressed row.
+Packed strings of a chunk and bucket are one compressed row, in a stored table.
+
+A bucket of more than ``HOT_BYTES`` packed bytes (the strings around a passage that
+very many documents share have its minimiser, but differ at their ends) is
+split: its strings become single windows, of which each chunk keeps one copy, and
+these are dealt by their own hash over as many parts as the bucket's bytes ask for.
+Equal windows meet in one part, so the count stays exact.
 
 Defined results: null text has no words; documents shorter than a window lose
 nothing; a null doc_id comes before all others; rows with the same doc_id are
@@ -28,11 +34,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, map_arrow, mixed, n_parts, sorted_groups, stored, text_chunks
+from .common import Words, drop_stored, map_arrow, mixed, n_parts, sorted_groups, stored, text_chunks
 
 WINDOW, SEED_WORDS = 20, 3
 #: Windows in one packed string, bytes of text of a chunk, bytes of packed strings of a bucket.
 MAX_RUN, CHUNK, BUCKET_BYTES = 256, 1 << 21, 8 << 20
+#: Packed bytes beyond which a bucket is split, and rows of the list of such buckets that may be broadcast.
+HOT_BYTES, MAX_LIST = 4 * BUCKET_BYTES, 100_000
 NULL_ID = -(1 << 63)
 
 
@@ -96,12 +104,60 @@ def super_kmers(w: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return at[src], np.minimum(np.repeat(run, parts) - nth * MAX_RUN, MAX_RUN), least[src]
 
 
-ROWS = "bucket int, doc binary, key binary, start binary, n binary, size binary, words binary"
+ROWS = "bucket int, sub int, raw long, doc binary, key binary, start binary, n binary, size binary, words binary"
+
+
+class Sender:
+    """Collects rows of ROWS: the packed strings of a bucket's part, or repeated windows (bucket -1)."""
+
+    def __init__(self):
+        self._press = zstandard.ZstdCompressor(level=3)
+        self.out = {c.split()[0]: [] for c in ROWS.split(", ")}
+
+    def add(self, bucket: int, sub: int, doc, key, start, n, words: list[bytes]):
+        row = (bucket, sub, sum(map(len, words)), *(self._press.compress(v.astype("<i8").tobytes()) for v in (doc, key, start, n)),
+               self._press.compress(np.array([len(x) for x in words], "<i8").tobytes()), self._press.compress(b"\n".join(words)))
+        for c, v in zip(self.out.values(), row):
+            c.append(v)
+
+
+def _places(t) -> list[np.ndarray]:
+    """doc, key, start and n of the packed strings of a table's rows."""
+    unpack = zstandard.ZstdDecompressor()
+    return [np.concatenate([np.frombuffer(unpack.decompress(x), "<i8") for x in t.column(c).to_pylist()])
+            for c in ("doc", "key", "start", "n")]
+
+
+def _strings(t) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor()
+    return [x for b in t.column("words").to_pylist() for x in unpack.decompress(b).split(b"\n")]
+
+
+def _firsts(words: list[bytes], where: list[tuple]) -> tuple[np.ndarray, list[int]]:
+    """Which items stay (the first by place of each string), and which others are known repeats.
+
+    Items at the same place as the one that stays are neither.
+    """
+    leader: dict[bytes, int] = {}
+    keep = np.ones(len(words), bool)
+    again = []
+    for i, x in enumerate(words):
+        j = leader.setdefault(x, i)
+        if j == i:
+            continue
+        if where[i] < where[j]:
+            leader[x] = i
+            keep[j] = False
+            again.append(j)
+        else:
+            keep[i] = False
+            if where[i] > where[j]:
+                again.append(i)
+    return keep, again
 
 
 def _emit(size: int, buckets: int):
     def run(it):
-        press = zstandard.ZstdCompressor(level=3)
         for b, texts in text_chunks(it, "text", CHUNK):
             ids = [NULL_ID if x is None else x for x in b.column("doc_id").to_pylist()]
             keys = b.column("key").to_numpy(zero_copy_only=False)
@@ -114,29 +170,12 @@ def _emit(size: int, buckets: int):
             doc = w.doc[first]
             start = first - w.first[doc]
             raw, begin = packed(w)
-            lo, hi = begin[first].tolist(), (begin[first + n + size - 1] - 1).tolist()
-            leader: dict[bytes, int] = {}
-            keep = np.ones(len(first), bool)
-            again = []
-            where = list(zip(ids[doc].tolist(), start.tolist()))
-            for i, (s, e) in enumerate(zip(lo, hi)):
-                j = leader.setdefault(raw[s:e], i)
-                if j != i:
-                    keep[i] = False
-                    if where[i] > where[j]:
-                        again.append(i)
-                    elif where[i] < where[j]:
-                        leader[raw[s:e]] = i
-                        keep[i], keep[j] = True, False
-                        again.append(j)
-            out = {c: [] for c in ("bucket", "doc", "key", "start", "n", "size", "words")}
-
-            def add(bucket, at, words):
-                out["bucket"].append(bucket)
-                for c, v in (("doc", ids[doc[at]]), ("key", keys[doc[at]]), ("start", start[at]), ("n", n[at])):
-                    out[c].append(press.compress(v.astype("<i8").tobytes()))
-                out["size"].append(press.compress(np.array([len(x) for x in words], "<i8").tobytes()))
-                out["words"].append(press.compress(b"\n".join(words)))
+            words = [raw[s:e] for s, e in zip(begin[first].tolist(), (begin[first + n + size - 1] - 1).tolist())]
+            keep, again = _firsts(words, list(zip(ids[doc].tolist(), start.tolist())))
+            sender = Sender()
+
+            def add(bucket, at, strings):
+                sender.add(bucket, 0, ids[doc[at]], keys[doc[at]], start[at], n[at], strings)
 
             if again:
                 add(-1, np.array(again), [])
@@ -146,13 +185,50 @@ def _emit(size: int, buckets: int):
             at, home = at[sort], home[sort]
             cuts = np.flatnonzero(np.concatenate(([True], home[1:] != home[:-1], [True])))
             for s, e in zip(cuts, cuts[1:]):
-                part = at[s:e]
-                add(int(home[s]), part, [raw[lo[i]:hi[i]] for i in part.tolist()])
-            yield out
+                add(int(home[s]), at[s:e], [words[i] for i in at[s:e].tolist()])
+            yield sender.out
+
+    return run
+
+
+def _split(size: int):
+    """Rows of hot buckets (with ``subs``, the parts wanted) as rows of single windows, dealt by window."""
+
+    def run(it):
+        for b in it:
+            for r in range(b.num_rows):
+                row = b.slice(r, 1)
+                (doc, key, start, _), text = _places(row), _strings(row)
+                w, code, at, src = _windows(text, size)
+                place = start[src] + at - w.first[src]
+                words = [w.data[s:e] for s, e in zip(w.start[at].tolist(), w.end[at + size - 1].tolist())]
+                keep, again = _firsts(words, list(zip(doc[src].tolist(), place.tolist())))
+                sender = Sender()
+
+                def add(bucket, sub, k, strings):
+                    sender.add(bucket, sub, doc[src[k]], key[src[k]], place[k], np.ones(len(k), np.int64), strings)
+
+                if again:
+                    add(-1, 0, np.array(again), [])
+                k = np.flatnonzero(keep)
+                sub = 1 + (code[k] % np.uint64(row.column("subs")[0].as_py())).astype(np.int64)
+                for x in np.unique(sub).tolist():
+                    part = k[sub == x]
+                    add(row.column("bucket")[0].as_py(), x, part, [words[i] for i in part.tolist()])
+                yield sender.out
 
     return run
 
 
+def _windows(text: list[bytes], size: int):
+    """The words of packed strings, and code, first word and string of every window."""
+    w = Words([t.decode() for t in text])
+    if len(w.start) < size:
+        return w, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(w.doc[:len(w.start) - size + 1] == w.doc[size - 1:])
+    return w, _rolling(w.hashes(), size)[at], at, w.doc[at]
+
+
 def _ranges(doc, key, start, n):
     """Rows of repeated windows: first window and number, joined where they follow each other."""
     order = np.lexsort((start, key, doc))
@@ -166,12 +242,7 @@ def _ranges(doc, key, start, n):
 
 def _repeats(doc: np.ndarray, key: np.ndarray, start: np.ndarray, n: np.ndarray, text: list[bytes], size: int):
     """Repeated windows of one bucket."""
-    w = Words([t.decode() for t in text])
-    if len(w.start) < size:
-        return None
-    code = _rolling(w.hashes(), size)
-    at = np.flatnonzero(w.doc[:len(w.start) - size + 1] == w.doc[size - 1:])
-    code, src = code[at], w.doc[at]
+    w, code, at, src = _windows(text, size)
     place = start[src] + at - w.first[src]
     owner = doc[src]
     order = np.argsort(code, kind="stable")
@@ -198,8 +269,20 @@ def _repeats(doc: np.ndarray, key: np.ndarray, start: np.ndarray, n: np.ndarray,
     return owner[got], key[src[got]], place[got], np.ones(len(got), np.int64)
 
 
-def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``(doc_id, key, start, n)``: n windows from word ``start`` on that also start earlier elsewhere.
+def _known_repeats(rows: DataFrame) -> DataFrame:
+    def run(it):
+        for b in it:
+            for r in range(b.num_rows):
+                yield _ranges(*_places(b.slice(r, 1)))
+
+    return map_arrow(rows.where("bucket < 0").select("doc", "key", "start", "n"), run, FOUND)
+
+
+FOUND = "doc_id long, key long, start long, n long"
+
+
+def repeated_windows(docs: DataFrame, size: int = WINDOW, bucket_bytes: int = BUCKET_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
+    """``(doc_id, key, start, n)``, stored: n windows from word ``start`` on that also start earlier elsewhere.
 
     ``key`` is a hash of the text, so that rows with the same doc_id keep apart.
     """
@@ -207,31 +290,39 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = n_parts(spark)
-    buckets = int(max(parts, 3 * total // BUCKET_BYTES + 1))
-    sent = map_arrow(rows, _emit(size, buckets), ROWS)
-    # Rows of bucket -1 are results already: they are spread over all partitions.
-    spread = F.when(F.col("bucket") < 0, F.xxhash64("doc")).otherwise(F.col("bucket"))
-    dealt = (sent.withColumn("at", F.pmod(spread, F.lit(parts)).cast("int")).repartition(parts, "at")
-             .sortWithinPartitions("bucket").drop("at"))
+    buckets = int(max(parts, 3 * total // bucket_bytes + 1))
+    sent = stored(map_arrow(rows, _emit(size, buckets), ROWS), "super-k-mers")
+    calm, tables = sent, [sent]
+    hot = stored(sent.where("bucket >= 0").groupBy("bucket").agg(F.sum("raw").alias("raw")).where(F.col("raw") > hot_bytes)
+                 .select("bucket", F.ceil(F.col("raw") / bucket_bytes).cast("long").alias("subs")), "hot-buckets")
+    n_hot = hot.count()
+    if n_hot:
+        listed = F.broadcast(hot) if n_hot <= MAX_LIST else hot
+        windows = stored(map_arrow(sent.join(listed, "bucket"), _split(size), ROWS), "hot-windows")
+        calm = sent.join(listed, "bucket", "left_anti").unionByName(windows)
+        tables.append(windows)
+    spread = F.when(F.col("sub") > 0, F.xxhash64("bucket", "sub")).otherwise(F.col("bucket"))
+    dealt = (calm.where("bucket >= 0").withColumn("at", F.pmod(spread, F.lit(parts)).cast("int")).repartition(parts, "at")
+             .sortWithinPartitions("bucket", "sub").drop("at"))
 
     def run(it):
-        for t in sorted_groups(it, ["bucket"]):
-            unpack = zstandard.ZstdDecompressor()
-            got = {c: [np.frombuffer(unpack.decompress(x), "<i8") for x in t.column(c).to_pylist()]
-                   for c in ("doc", "key", "start", "n")}
-            cols = [np.concatenate(got[c]) for c in ("doc", "key", "start", "n")]
-            if t.column("bucket")[0].as_py() >= 0:
-                text = [x for b in t.column("words").to_pylist() for x in unpack.decompress(b).split(b"\n")]
-                cols = _repeats(*cols, text, size)
-            if cols is not None:
-                yield _ranges(*cols)
+        for t in sorted_groups(it, ["bucket", "sub"]):
+            if (found := _repeats(*_places(t), _strings(t), size)) is not None:
+                yield _ranges(*found)
 
-    return map_arrow(dealt, run, "doc_id long, key long, start long, n long")
+    found = map_arrow(dealt, run, FOUND)
+    for t in tables:
+        found = found.union(_known_repeats(t))
+    out = stored(found, "windows")
+    for t in tables:
+        drop_stored(t)
+    return out
 
 
-def dedup_substrings(docs: DataFrame, size: int = WINDOW, with_text: bool = True) -> DataFrame:
+def dedup_substrings(docs: DataFrame, size: int = WINDOW, with_text: bool = True, bucket_bytes: int = BUCKET_BYTES,
+                     hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Per document: n_words, n_removed, kept_sha256 and, if asked for, the kept text."""
-    found = stored(repeated_windows(docs, size), "windows")
+    found = repeated_windows(docs, size, bucket_bytes, hot_bytes)
     per_doc = (found.groupBy("doc_id", "key").agg(F.sort_array(F.collect_list(F.struct("start", "n"))).alias("runs")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text",
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))

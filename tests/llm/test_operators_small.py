@@ -282,6 +282,17 @@ def test_substring_awkward(spark):
     check_substring(spark, rows, 2)
 
 
+def test_substring_hot_buckets_are_split(spark):
+    rnd = random.Random(6)
+    hot = " ".join(f"h{i}" for i in range(30))
+    rows = [(d, " ".join([*(f"a{rnd.randrange(50)}" for _ in range(rnd.randrange(12))), hot, f"z{rnd.randrange(20)}"])) for d in range(300)]
+    rows += [ODD[i] for i in (6, 7, 10)] + [(None, hot), (5, hot), (5, hot)]
+    want = sorted(map(str, substring(rows, 20)))
+    for limits in ((1 << 12, 1 << 13), (1 << 9, 1)):
+        got = sub.dedup_substrings(docs_of(spark, rows).repartition(5), 20, False, *limits).collect()
+        assert sorted(str(tuple(r)) for r in got) == want
+
+
 # ---- 10
 def test_vectors(spark):
     df = spark.read.parquet(f"{MID}/embeddings.parquet")
