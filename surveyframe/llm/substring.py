@@ -10,13 +10,15 @@ then start) covers words to remove.
 Before the shuffle each task keeps one copy of equal packed strings of a text
 chunk: the others are already known to repeat an earlier window. A passage that
 a third of the documents share thus sends one string per chunk, not per copy.
-Packed strings of a chunk and bucket are one compressed row, in a stored table.
+Packed strings of a chunk and bucket are one compressed row.
 
-A bucket of more than ``HOT_BYTES`` packed bytes (the strings around a passage that
-very many documents share have its minimiser, but differ at their ends) is
-split: its strings become single windows, of which each chunk keeps one copy, and
-these are dealt by their own hash over as many parts as the bucket's bytes ask for.
-Equal windows meet in one part, so the count stays exact.
+A first pass weighs the buckets. One of more than ``HOT_BYTES`` packed bytes (the
+strings around a passage that very many documents share have its minimiser, but
+differ at their ends) is split: its strings become single windows, of which each
+chunk keeps one copy, and these are dealt by their own hash over as many parts as
+the bucket's bytes ask for. Equal windows meet in one part, so the count stays exact.
+The list of such buckets is sent to the tasks; it has at most ``MAX_LIST`` entries, as
+the limit is at least that share of all bytes.
 
 Defined results: null text has no words; documents shorter than a window lose
 nothing; a null doc_id comes before all others; rows with the same doc_id are
@@ -34,13 +36,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, drop_stored, map_arrow, mixed, n_parts, sorted_groups, stored, text_chunks
+from .common import Words, map_arrow, mixed, n_parts, sorted_groups, stored, text_chunks
 
 WINDOW, SEED_WORDS = 20, 3
 #: Windows in one packed string, bytes of text of a chunk, bytes of packed strings of a bucket.
 MAX_RUN, CHUNK, BUCKET_BYTES = 256, 1 << 21, 8 << 20
-#: Packed bytes beyond which a bucket is split, and rows of the list of such buckets that may be broadcast.
-HOT_BYTES, MAX_LIST = 4 * BUCKET_BYTES, 100_000
+#: Packed bytes beyond which a bucket is split, and the most buckets that can be.
+HOT_BYTES, MAX_LIST = 4 * BUCKET_BYTES, 1_000_000
 NULL_ID = -(1 << 63)
 
 
@@ -104,7 +106,7 @@ def super_kmers(w: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return at[src], np.minimum(np.repeat(run, parts) - nth * MAX_RUN, MAX_RUN), least[src]
 
 
-ROWS = "bucket int, sub int, raw long, doc binary, key binary, start binary, n binary, size binary, words binary"
+ROWS = "bucket int, sub int, doc binary, key binary, start binary, n binary, size binary, words binary"
 
 
 class Sender:
@@ -114,8 +116,12 @@ class Sender:
         self._press = zstandard.ZstdCompressor(level=3)
         self.out = {c.split()[0]: [] for c in ROWS.split(", ")}
 
+    def repeats(self, doc, key, start, n):
+        """Known repeats: results already, spread over all tasks by their first text's hash."""
+        self.add(-1, int(key[0]) & 0x7FFFFFFF, doc, key, start, n, [])
+
     def add(self, bucket: int, sub: int, doc, key, start, n, words: list[bytes]):
-        row = (bucket, sub, sum(map(len, words)), *(self._press.compress(v.astype("<i8").tobytes()) for v in (doc, key, start, n)),
+        row = (bucket, sub, *(self._press.compress(v.astype("<i8").tobytes()) for v in (doc, key, start, n)),
                self._press.compress(np.array([len(x) for x in words], "<i8").tobytes()), self._press.compress(b"\n".join(words)))
         for c, v in zip(self.out.values(), row):
             c.append(v)
@@ -156,8 +162,38 @@ def _firsts(words: list[bytes], where: list[tuple]) -> tuple[np.ndarray, list[in
     return keep, again
 
 
-def _emit(size: int, buckets: int):
+def _weigh(size: int, buckets: int):
+    """Packed bytes of each bucket; equal strings of a chunk (by the codes of their ends) count once."""
+
+    def run(it):
+        for _, texts in text_chunks(it, "text", CHUNK):
+            w = Words(texts)
+            first, n, least = super_kmers(w, size)
+            if not len(first):
+                continue
+            code = _rolling(w.hashes(), size)
+            same = mixed(code[first] ^ mixed(code[first + n - 1] + n.astype(np.uint64)))
+            at = np.unique(same, return_index=True)[1]
+            home, place = np.unique((least[at] % np.uint64(buckets)).astype(np.int64), return_inverse=True)
+            begin = np.concatenate(([0], np.cumsum(w.end - w.start + 1)))
+            raw = begin[first[at] + n[at] + size - 1] - begin[first[at]]
+            yield {"bucket": home, "raw": np.bincount(place, weights=raw).astype(np.int64)}
+
+    return run
+
+
+def _hot_buckets(rows: DataFrame, size: int, buckets: int, bucket_bytes: int, hot_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets to split (sorted) and into how many parts each."""
+    weight = stored(map_arrow(rows, _weigh(size, buckets), "bucket long, raw long").groupBy("bucket").agg(F.sum("raw").alias("raw")),
+                    "bucket-bytes")
+    limit = max(hot_bytes, (weight.agg(F.sum("raw")).first()[0] or 0) // MAX_LIST)
+    hot = weight.where(F.col("raw") > limit).orderBy("bucket").collect()  # fewer than MAX_LIST rows: see limit
+    return np.array([r[0] for r in hot], np.int64), np.array([-(-r[1] // bucket_bytes) for r in hot], np.int64)
+
+
+def _emit(size: int, buckets: int, hot):
     def run(it):
+        hot_bucket, parts = hot.value
         for b, texts in text_chunks(it, "text", CHUNK):
             ids = [NULL_ID if x is None else x for x in b.column("doc_id").to_pylist()]
             keys = b.column("key").to_numpy(zero_copy_only=False)
@@ -173,51 +209,39 @@ def _emit(size: int, buckets: int):
             words = [raw[s:e] for s, e in zip(begin[first].tolist(), (begin[first + n + size - 1] - 1).tolist())]
             keep, again = _firsts(words, list(zip(ids[doc].tolist(), start.tolist())))
             sender = Sender()
-
-            def add(bucket, at, strings):
-                sender.add(bucket, 0, ids[doc[at]], keys[doc[at]], start[at], n[at], strings)
-
             if again:
-                add(-1, np.array(again), [])
+                sender.repeats(ids[doc[again]], keys[doc[again]], start[again], n[again])
             at = np.flatnonzero(keep)
             home = (least[at] % np.uint64(buckets)).astype(np.int64)
             sort = np.argsort(home, kind="stable")
             at, home = at[sort], home[sort]
             cuts = np.flatnonzero(np.concatenate(([True], home[1:] != home[:-1], [True])))
             for s, e in zip(cuts, cuts[1:]):
-                add(int(home[s]), at[s:e], [words[i] for i in at[s:e].tolist()])
+                part, bucket = at[s:e], int(home[s])
+                row = ids[doc[part]], keys[doc[part]], start[part]
+                k = int(np.searchsorted(hot_bucket, bucket))
+                if k < len(hot_bucket) and hot_bucket[k] == bucket:
+                    _send_windows(sender, bucket, int(parts[k]), *row, [words[i] for i in part.tolist()], size)
+                else:
+                    sender.add(bucket, 0, *row, n[part], [words[i] for i in part.tolist()])
             yield sender.out
 
     return run
 
 
-def _split(size: int):
-    """Rows of hot buckets (with ``subs``, the parts wanted) as rows of single windows, dealt by window."""
-
-    def run(it):
-        for b in it:
-            for r in range(b.num_rows):
-                row = b.slice(r, 1)
-                (doc, key, start, _), text = _places(row), _strings(row)
-                w, code, at, src = _windows(text, size)
-                place = start[src] + at - w.first[src]
-                words = [w.data[s:e] for s, e in zip(w.start[at].tolist(), w.end[at + size - 1].tolist())]
-                keep, again = _firsts(words, list(zip(doc[src].tolist(), place.tolist())))
-                sender = Sender()
-
-                def add(bucket, sub, k, strings):
-                    sender.add(bucket, sub, doc[src[k]], key[src[k]], place[k], np.ones(len(k), np.int64), strings)
-
-                if again:
-                    add(-1, 0, np.array(again), [])
-                k = np.flatnonzero(keep)
-                sub = 1 + (code[k] % np.uint64(row.column("subs")[0].as_py())).astype(np.int64)
-                for x in np.unique(sub).tolist():
-                    part = k[sub == x]
-                    add(row.column("bucket")[0].as_py(), x, part, [words[i] for i in part.tolist()])
-                yield sender.out
-
-    return run
+def _send_windows(sender: Sender, bucket: int, parts: int, doc, key, start, text: list[bytes], size: int):
+    """The packed strings of a hot bucket as single windows, dealt over ``parts`` by their code."""
+    w, code, at, src = _windows(text, size)
+    place = start[src] + at - w.first[src]
+    words = [w.data[s:e] for s, e in zip(w.start[at].tolist(), w.end[at + size - 1].tolist())]
+    keep, again = _firsts(words, list(zip(doc[src].tolist(), place.tolist())))
+    if again:
+        sender.repeats(doc[src[again]], key[src[again]], place[again], np.ones(len(again), np.int64))
+    k = np.flatnonzero(keep)
+    sub = 1 + (code[k] % np.uint64(parts)).astype(np.int64)
+    for x in np.unique(sub).tolist():
+        one = k[sub == x]
+        sender.add(bucket, x, doc[src[one]], key[src[one]], place[one], np.ones(len(one), np.int64), [words[i] for i in one.tolist()])
 
 
 def _windows(text: list[bytes], size: int):
@@ -269,18 +293,6 @@ def _repeats(doc: np.ndarray, key: np.ndarray, start: np.ndarray, n: np.ndarray,
     return owner[got], key[src[got]], place[got], np.ones(len(got), np.int64)
 
 
-def _known_repeats(rows: DataFrame) -> DataFrame:
-    def run(it):
-        for b in it:
-            for r in range(b.num_rows):
-                yield _ranges(*_places(b.slice(r, 1)))
-
-    return map_arrow(rows.where("bucket < 0").select("doc", "key", "start", "n"), run, FOUND)
-
-
-FOUND = "doc_id long, key long, start long, n long"
-
-
 def repeated_windows(docs: DataFrame, size: int = WINDOW, bucket_bytes: int = BUCKET_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """``(doc_id, key, start, n)``, stored: n windows from word ``start`` on that also start earlier elsewhere.
 
@@ -291,32 +303,21 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW, bucket_bytes: int = BU
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = n_parts(spark)
     buckets = int(max(parts, 3 * total // bucket_bytes + 1))
-    sent = stored(map_arrow(rows, _emit(size, buckets), ROWS), "super-k-mers")
-    calm, tables = sent, [sent]
-    hot = stored(sent.where("bucket >= 0").groupBy("bucket").agg(F.sum("raw").alias("raw")).where(F.col("raw") > hot_bytes)
-                 .select("bucket", F.ceil(F.col("raw") / bucket_bytes).cast("long").alias("subs")), "hot-buckets")
-    n_hot = hot.count()
-    if n_hot:
-        listed = F.broadcast(hot) if n_hot <= MAX_LIST else hot
-        windows = stored(map_arrow(sent.join(listed, "bucket"), _split(size), ROWS), "hot-windows")
-        calm = sent.join(listed, "bucket", "left_anti").unionByName(windows)
-        tables.append(windows)
-    spread = F.when(F.col("sub") > 0, F.xxhash64("bucket", "sub")).otherwise(F.col("bucket"))
-    dealt = (calm.where("bucket >= 0").withColumn("at", F.pmod(spread, F.lit(parts)).cast("int")).repartition(parts, "at")
+    hot = spark.sparkContext.broadcast(_hot_buckets(rows, size, buckets, bucket_bytes, hot_bytes))
+    sent = map_arrow(rows, _emit(size, buckets, hot), ROWS)
+    spread = F.when((F.col("sub") > 0) | (F.col("bucket") < 0), F.xxhash64("bucket", "sub")).otherwise(F.col("bucket"))
+    dealt = (sent.withColumn("at", F.pmod(spread, F.lit(parts)).cast("int")).repartition(parts, "at")
              .sortWithinPartitions("bucket", "sub").drop("at"))
 
     def run(it):
         for t in sorted_groups(it, ["bucket", "sub"]):
-            if (found := _repeats(*_places(t), _strings(t), size)) is not None:
-                yield _ranges(*found)
-
-    found = map_arrow(dealt, run, FOUND)
-    for t in tables:
-        found = found.union(_known_repeats(t))
-    out = stored(found, "windows")
-    for t in tables:
-        drop_stored(t)
-    return out
+            cols = _places(t)
+            if t.column("bucket")[0].as_py() >= 0:
+                cols = _repeats(*cols, _strings(t), size)
+            if cols is not None:
+                yield _ranges(*cols)
+
+    return stored(map_arrow(dealt, run, "doc_id long, key long, start long, n long"), "windows")
 
 
 def dedup_substrings(docs: DataFrame, size: int = WINDOW, with_text: bool = True, bucket_bytes: int = BUCKET_BYTES,
