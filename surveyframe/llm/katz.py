@@ -19,13 +19,19 @@ word is a start mark.
 Nothing of the size of the vocabulary is broadcast or collected. Documents are
 grouped into chunks once (a stored table). Chunks send their distinct words to hash
 buckets, which count them, write the unigram table and answer with the counts.
-Then chunks send their bigrams to the buckets of the contexts, in ``rounds`` shares
-so that less is on disk at a time; a bucket counts them, writes the bigram table
-(a row per context) and answers each chunk: for its seen bigrams with sums per
-document, for its unseen ones with what alpha needs. Only the counts of counts, a few
-numbers, pass through the driver; a last step puts the discounts in. A frequent word
-costs a chunk one entry however often it occurs there, and a context's
-successors are sent once per chunk.
+Then chunks send their distinct bigrams to the buckets of the contexts, in ``rounds``
+shares so that less is on disk at a time; a bucket counts them, writes the bigram table
+(a row per context) and answers each chunk with the counts of its bigrams and, for the
+contexts of its unseen ones, with what alpha needs. A context's own count is that of
+its word (every word has a successor; the start mark has one per text). Only the counts
+of counts, a few numbers, pass through the driver; a last step goes through the chunks'
+texts once more and puts everything in. Documents are never sent: a bigram costs a
+chunk one entry however often it occurs there.
+
+The successors of a context that occurs ``HOT`` times or more are dealt by their hash
+over so many parts that a part stands for about ``HOT`` occurrences at most; each part
+goes to a bucket of its own and has its own row in the bigram table. What alpha needs of such
+a context is summed over the parts in a small aggregate and joined to the chunks that hold it.
 
 Defined results: null text is empty and scores its end token; a null doc_id is
 training text; repeated rows count and are scored each; without training text every
@@ -44,8 +50,9 @@ from pyspark.sql import functions as F
 
 from .common import Words, drop_stored, map_arrow, mixed, n_parts, sorted_groups, stored, text_chunks
 
-#: Parameters: counts that are discounted, bytes of text of a chunk, bytes of text per bucket and round, rounds.
-K, CHUNK, BUCKET_BYTES, ROUNDS = 5, 1 << 21, 8 << 20, 2
+#: Parameters: counts that are discounted, bytes of text of a chunk, bytes of text per bucket and round, rounds,
+#: occurrences of a context (in all documents) from which its successors are dealt over several buckets.
+K, CHUNK, BUCKET_BYTES, ROUNDS, HOT = 5, 1 << 21, 8 << 20, 2, 1 << 17
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 LOW48 = np.uint64((1 << 48) - 1)
 
@@ -151,49 +158,61 @@ def _send_words(buckets: int):
     def run(it):
         for chunk, held, size, text in _rows_of(it, "chunk", "held", "size", "text"):
             t = Tokens(size, text, held)
+            every = np.bincount(t.inverse, minlength=len(t.distinct)).astype(np.uint32)
             train = np.bincount(t.inverse[~t.held[t.doc]], minlength=len(t.distinct)).astype(np.uint32)
             order, cuts = t.by_bucket(buckets)
             use = [x for x in range(buckets) if cuts[x + 1] > cuts[x]]
             parts = [order[cuts[x]:cuts[x + 1]] for x in use]
             yield {"bucket": use, "chunk": [chunk] * len(use), "a": [squeeze(t.distinct[p]) for p in parts],
-                   "b": [squeeze(train[p]) for p in parts]}
+                   "b": [squeeze(train[p]) for p in parts], "o": [squeeze(every[p] - train[p]) for p in parts]}
 
     return run
 
 
-def _count_words(it):
-    """Unigram rows (kind 0) and answers to the chunks (kind 1)."""
-    for g in sorted_groups(it, ["bucket"]):
-        words = [expand(x, "<u8") for x in g.column("a").to_pylist()]
-        token, inverse = np.unique(np.concatenate(words), return_inverse=True)
-        n = np.concatenate([expand(x, "<u4") for x in g.column("b").to_pylist()])
-        c = np.bincount(inverse, weights=n, minlength=len(token)).astype(np.int64)
-        seen = np.flatnonzero(c)
-        bucket = g.column("bucket")[0].as_py()
-        yield {"kind": np.zeros(len(seen), np.int32), "bucket": np.full(len(seen), bucket), "token": token[seen].view(np.int64),
-               "c": c[seen]}
-        chunks = g.column("chunk").to_pylist()
-        answers = [squeeze(c[i].astype(np.uint32)) for i in np.split(inverse, np.cumsum([len(w) for w in words])[:-1])]
-        k = len(chunks)
-        yield {"kind": np.ones(k, np.int32), "bucket": np.full(k, bucket), "chunk": chunks, "answer": answers}
+def _count_words(hot: int):
+    """Unigram rows (kind 0) and answers to the chunks (kind 1): training counts and numbers of parts."""
+
+    def run(it):
+        for g in sorted_groups(it, ["bucket"]):
+            words = [expand(x, "<u8") for x in g.column("a").to_pylist()]
+            token, inverse = np.unique(np.concatenate(words), return_inverse=True)
+            n, other = (np.concatenate([expand(x, "<u4") for x in g.column(k).to_pylist()]) for k in ("b", "o"))
+            c = np.bincount(inverse, weights=n, minlength=len(token)).astype(np.int64)
+            every = c + np.bincount(inverse, weights=other, minlength=len(token)).astype(np.int64)
+            seen = np.flatnonzero(c)
+            bucket = g.column("bucket")[0].as_py()
+            yield {"kind": np.zeros(len(seen), np.int32), "bucket": np.full(len(seen), bucket), "token": token[seen].view(np.int64),
+                   "c": c[seen]}
+            chunks = g.column("chunk").to_pylist()
+            of = np.split(inverse, np.cumsum([len(w) for w in words])[:-1])
+            k = len(chunks)
+            yield {"kind": np.ones(k, np.int32), "bucket": np.full(k, bucket), "chunk": chunks,
+                   "answer": [squeeze(c[i].astype(np.uint32)) for i in of],
+                   "parts": [squeeze((1 + every[i] // hot).astype(np.uint32)) for i in of]}
+
+    return run
 
 
 ANNOTATED = ("chunk long, doc_id array<long>, held array<boolean>, size array<int>, text binary, counts binary, "
-             "n_tokens array<long>, n_known array<long>, base array<double>")
+             "parts binary, hot array<long>, n_tokens array<long>, n_known array<long>, base array<double>")
 
 
 def _annotate(buckets: int, uni: Unigrams):
-    """Chunks with the training count of each distinct token, and the base score of each document."""
+    """Chunks with the training count and number of parts of each distinct token, the contexts in several parts,
+    and the base score of each document."""
 
     def run(it):
         for chunk, ids, held, size, text, answers in _rows_of(it, "chunk", "doc_id", "held", "size", "text", "answers"):
             t = Tokens(size, text, held)
             order, _ = t.by_bucket(buckets)
-            c = np.zeros(len(t.distinct), np.uint32)
-            c[order] = np.concatenate([expand(x["answer"], "<u4") for x in sorted(answers, key=lambda x: x["bucket"])])
+            answers = sorted(answers, key=lambda x: x["bucket"])
+            c, parts = np.zeros((2, len(t.distinct)), np.uint32)
+            c[order] = np.concatenate([expand(x["answer"], "<u4") for x in answers])
+            parts[order] = np.concatenate([expand(x["parts"], "<u4") for x in answers])
+            hot = np.where(t.distinct == END, START, t.distinct)[(parts > 1) & (c > 0)]
             each = np.log10((c + 0.5) / (uni.total + 0.5 * (uni.distinct + 1)))[t.inverse]
             yield {"chunk": [chunk], "doc_id": [ids], "held": [held], "size": [size], "text": [text], "counts": [squeeze(c)],
-                   "n_tokens": [t.n], "n_known": [np.add.reduceat((c > 0)[t.inverse].astype(np.int64), t.begin)],
+                   "parts": [squeeze(parts)], "hot": [hot.view(np.int64)], "n_tokens": [t.n], "n_known": [np.add.reduceat((c > 0)[t.inverse].astype(np.int64), t.begin)],
                    "base": [np.add.reduceat(each, t.begin)]}
 
     return run
@@ -201,38 +220,57 @@ def _annotate(buckets: int, uni: Unigrams):
 
 # ------------------------------------------------------------------ bigrams
 
-SENT = "bucket int, chunk long, held binary, ctx binary, n_succ binary, succ binary, c binary, n_occ binary, doc binary"
+class Pairs:
+    """The distinct bigrams of a chunk: indices of their contexts (the last one: the start mark) and words in its distinct tokens,
+    ``of`` the bigram of each token. ``sent`` lists those that are sent, in order of ``key`` (round and bucket) and
+    context: a context that was never seen in training needs no answer."""
+
+    def __init__(self, t: Tokens, counts: bytes, parts: bytes, buckets: int, rounds: int):
+        c, n_parts_ = expand(counts, "<u4").astype(np.int64), expand(parts, "<u4").astype(np.uint64)
+        k = len(t.distinct)
+        start = int(np.searchsorted(t.distinct, END))  # as many first words as ends
+        ctx = np.empty(len(t.token), np.int64)
+        ctx[1:] = t.inverse[:-1]
+        ctx[t.begin] = k
+        code, self.of = np.unique(ctx * (k + 1) + t.inverse, return_inverse=True)
+        self.ctx, self.word = np.divmod(code, k + 1)
+        self.head, self.c_head = np.append(t.distinct, START), np.append(c, c[start])
+        self.parts = np.append(n_parts_, n_parts_[start])
+        self.c_word = c[self.word]
+        part = mixed(t.distinct[self.word]) % self.parts[self.ctx]
+        place = mixed(self.head[self.ctx] + part * np.uint64(0xD6E8FEB86659FD93))
+        r = np.uint64(rounds)
+        self.key = (place % r * np.uint64(buckets) + place // r % np.uint64(buckets)).astype(np.int64)
+        sent = np.flatnonzero(self.c_head[self.ctx] > 0)
+        self.sent = sent[np.argsort(self.key[sent], kind="stable")]
+
+    def heads(self, at: np.ndarray) -> np.ndarray:
+        """Where a context, or another bucket, begins in ``at``."""
+        if not len(at):
+            return np.zeros(0, np.int64)
+        return np.flatnonzero(np.concatenate(([True], (np.diff(self.ctx[at]) != 0) | (np.diff(self.key[at]) != 0))))
+
+
+SENT = "bucket int, chunk long, ctx binary, split binary, n_succ binary, succ binary, c binary, n binary"
 
 
 def _send_bigrams(buckets: int, rounds: int, turn: int):
     def run(it):
-        for chunk, held, size, text, counts in _rows_of(it, "chunk", "held", "size", "text", "counts"):
+        for chunk, held, size, text, counts, parts in _rows_of(it, "chunk", "held", "size", "text", "counts", "parts"):
             t = Tokens(size, text, held)
-            c = expand(counts, "<u4")[t.inverse]
-            ctx = np.empty_like(t.token)
-            ctx[1:] = t.token[:-1]
-            ctx[t.begin] = START
-            place = mixed(ctx)
-            mine = np.flatnonzero(place % np.uint64(rounds) == turn)
-            home = (place[mine] // np.uint64(rounds) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((t.token[mine] & LOW48, ctx[mine], home))
-            at, home = mine[order], home[order]
-            h, w, c, doc = ctx[at], t.token[at] & LOW48, c[at], t.doc[at].astype(np.uint32)
-            cuts = np.searchsorted(home, np.arange(buckets + 1))
+            p = Pairs(t, counts, parts, buckets, rounds)
+            train = np.bincount(p.of[~t.held[t.doc]], minlength=len(p.ctx)).astype(np.uint32)
+            cuts = np.searchsorted(p.key[p.sent], np.arange(turn * buckets, (turn + 1) * buckets + 1))
             out = {x.split()[0]: [] for x in SENT.split(", ")}
-            flags = np.packbits(t.held).tobytes()
             for x in range(buckets):
-                s, e = int(cuts[x]), int(cuts[x + 1])
-                if s == e:
+                at = p.sent[cuts[x]:cuts[x + 1]]
+                if not len(at):
                     continue
-                hh, ww = h[s:e], w[s:e]
-                new_h = np.concatenate(([True], hh[1:] != hh[:-1]))
-                new = new_h | np.concatenate(([True], ww[1:] != ww[:-1]))
-                pair = np.flatnonzero(new)
-                first = np.flatnonzero(new_h[pair])
-                row = (x, chunk, flags, squeeze(hh[pair][first]), squeeze(np.diff(np.append(first, len(pair))).astype(np.uint32)),
-                       squeeze(ww[pair], 6), squeeze(c[s:e][pair]), squeeze(np.diff(np.append(pair, e - s)).astype(np.uint32)),
-                       squeeze(doc[s:e]))
+                first = p.heads(at)
+                ctx = p.ctx[at][first]
+                row = (x, chunk, squeeze(p.head[ctx]), squeeze((p.parts[ctx] > 1).astype(np.uint8)),
+                       squeeze(np.diff(np.append(first, len(at))).astype(np.uint32)), squeeze(t.distinct[p.word[at]] & LOW48, 6),
+                       squeeze(p.c_word[at].astype(np.uint32)), squeeze(train[at]))
                 for k, v in zip(out, row):
                     out[k].append(v)
             yield out
@@ -240,23 +278,24 @@ def _send_bigrams(buckets: int, rounds: int, turn: int):
     return run
 
 
-ANSWERS = ("kind int, chunk long, context long, c_h long, lower double, successors array<long>, counts array<int>, "
-           "n array<long>, seen binary, classes binary, docs binary, unseen binary, lowers binary")
+ANSWERS = ("kind int, turn int, bucket int, chunk long, context long, c_h long, lower double, successors array<long>, "
+           "counts array<int>, n array<long>, seen binary, above binary, classes binary, lowers binary")
 
 
-def _count_bigrams(uni: Unigrams):
-    """Per bucket: the bigram table (kind 0), counts of counts (1) and the answers to the chunks (2)."""
+def _count_bigrams(uni: Unigrams, turn: int):
+    """Per bucket: the bigram table (kind 0), counts of counts (1), the answers to the chunks (2) and the sums
+    of the parts of frequent contexts (3)."""
 
     def run(it):
         for g in sorted_groups(it, ["bucket"]):
             col = lambda name, dtype, keep=None: [expand(x, dtype, keep) for x in g.column(name).to_pylist()]
-            heads, n_succ = np.concatenate(col("ctx", "<u8")), np.concatenate(col("n_succ", "<u4"))
-            docs = col("doc", "<u4")
-            w, cw, n_occ = (np.concatenate(x) for x in (col("succ", "<u8", 6), col("c", "<u4"), col("n_occ", "<u4")))
-            flags = [np.unpackbits(np.frombuffer(x, np.uint8)).astype(bool) for x in g.column("held").to_pylist()]
-            base = np.cumsum([0] + [len(x) for x in flags])
-            occ_doc = np.concatenate([d + b for d, b in zip(docs, base)]).astype(np.int64)
-            ctx = np.repeat(heads, n_succ)
+            heads = col("ctx", "<u8")
+            of_head = np.cumsum([0] + [len(x) for x in heads])
+            n_succ, split = np.concatenate(col("n_succ", "<u4")).astype(np.int64), np.concatenate(col("split", "u1")).astype(bool)
+            words = col("succ", "<u8", 6)
+            of_pair = np.cumsum([0] + [len(x) for x in words])
+            w, cw, n = np.concatenate(words), np.concatenate(col("c", "<u4")), np.concatenate(col("n", "<u4"))
+            ctx = np.repeat(np.concatenate(heads), n_succ)
             order = np.lexsort((w, ctx))
             cs, ws = ctx[order], w[order]
             new_h = np.concatenate(([True], cs[1:] != cs[:-1]))
@@ -265,9 +304,7 @@ def _count_bigrams(uni: Unigrams):
             pid[order] = np.cumsum(new) - 1
             at = np.flatnonzero(new)
             hid = np.cumsum(new_h)[at] - 1  # the context of each distinct bigram
-            p_occ = np.repeat(pid, n_occ)
-            train = ~np.concatenate(flags)[occ_doc]
-            c = np.bincount(p_occ[train], minlength=len(at)).astype(np.int64)
+            c = np.bincount(pid, weights=n, minlength=len(at)).astype(np.int64)
             lower_w = uni.p(cw[order][at])
             heads_at = np.flatnonzero(new_h)
             k = len(heads_at)
@@ -276,52 +313,75 @@ def _count_bigrams(uni: Unigrams):
             m = np.stack([np.bincount(hid[c == x], minlength=k) for x in range(1, K + 1)])
             known = np.flatnonzero(c_h)
             succ = np.flatnonzero(c)
+            contexts = cs[heads_at].view(np.int64)
             offsets = np.concatenate(([0], np.cumsum(np.bincount(hid[succ], minlength=k)[known]))).astype(np.int32)
             as_list = lambda v, t: pa.ListArray.from_arrays(pa.array(offsets), pa.array(v, t))
-            yield dict(kind=np.zeros(len(known), np.int32), context=cs[heads_at][known].view(np.int64), c_h=c_h[known], lower=lower[known],
-                          successors=as_list(ws[at][succ].view(np.int64), pa.int64()), counts=as_list(c[succ], pa.int32()))
+            yield dict(kind=np.zeros(len(known), np.int32), context=contexts[known], c_h=c_h[known], lower=lower[known],
+                       successors=as_list(ws[at][succ].view(np.int64), pa.int64()), counts=as_list(c[succ], pa.int32()))
             yield dict(kind=[1], n=[[0] + [int((c == x).sum()) for x in range(1, K + 2)]])
-            # Seen: log10(c / c(h)) summed per document, and how many tokens need each discount.
-            co, ho = c[p_occ], hid[p_occ]
-            seen = co > 0
-            whole = c_h + (m.sum(axis=0) == 0)
-            total = int(base[-1])
-            sums = np.bincount(occ_doc[seen], weights=np.log10(co[seen] / whole[ho[seen]]), minlength=total)
-            classes = np.stack([np.bincount(occ_doc[co == x], minlength=total) for x in range(1, K + 1)]).astype(np.uint32)
-            gone = np.flatnonzero(~seen)
-            numbers = np.stack((c_h, *m)).astype(np.uint32)
-            cw_occ = np.repeat(cw, n_occ)
-            source = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-            cuts = np.searchsorted(source[gone], np.arange(len(docs) + 1))
+            first = np.cumsum(n_succ) - n_succ
+            head = hid[pid[first]]  # the context of each head that was sent
+            cut = np.zeros(k, bool)
+            cut[head] = split
+            cut = np.flatnonzero(cut)
+            if len(cut):
+                yield dict(kind=np.full(len(cut), 3, np.int32), context=contexts[cut], lower=lower[cut], n=m.T[cut].tolist())
+            # Counts of every bigram; of contexts in one part whether all counts are above K, and with unseen bigrams the sums.
+            co = c[pid].astype(np.uint32)
+            above = (m.sum(axis=0) == 0)[head]
+            wanted = (np.minimum.reduceat(co, first) == 0) & ~split
             rows = []
-            for x, chunk in enumerate(g.column("chunk").to_pylist()):
-                o = gone[cuts[x]:cuts[x + 1]]
-                rows.append((chunk, squeeze(sums[base[x]:base[x + 1]]), squeeze(classes[:, base[x]:base[x + 1]].ravel()),
-                             squeeze((occ_doc[o] - base[x]).astype(np.uint32)),
-                             squeeze(np.vstack((numbers[:, ho[o]], cw_occ[o][None, :])).astype(np.uint32).ravel()), squeeze(lower[ho[o]])))
-            yield dict(kind=[2] * len(rows), **{n: [r[i] for r in rows] for i, n in enumerate(("chunk", "seen", "classes", "docs", "unseen", "lowers"))})
+            for s, e, hs, he in zip(of_pair[:-1], of_pair[1:], of_head[:-1], of_head[1:]):
+                x = head[hs:he][wanted[hs:he]]
+                rows.append((squeeze(co[s:e]), np.packbits(above[hs:he]).tobytes(), squeeze(m[:, x].astype(np.uint32).ravel()), squeeze(lower[x])))
+            bucket, j = g.column("bucket")[0].as_py(), len(rows)
+            yield dict(kind=[2] * j, turn=[turn] * j, bucket=[bucket] * j, chunk=g.column("chunk").to_pylist(),
+                       **{name: [r[i] for r in rows] for i, name in enumerate(("seen", "above", "classes", "lowers"))})
 
     return run
 
 
-def _scores(uni: Unigrams, d: np.ndarray):
-    log_d = np.log10(d[1:])
+def _scores(uni: Unigrams, d: np.ndarray, buckets: int, rounds: int):
+    log_d = np.log10(d)
 
     def run(it):
-        for ids, held, n_tokens, n_known, base, answers in _rows_of(it, "doc_id", "held", "n_tokens", "n_known", "base", "answers"):
+        for ids, held, size, text, counts, parts, n_tokens, n_known, base, answers, sums in _rows_of(
+                it, "doc_id", "held", "size", "text", "counts", "parts", "n_tokens", "n_known", "base", "answers", "sums"):
+            t = Tokens(size, text, held)
+            p = Pairs(t, counts, parts, buckets, rounds)
+            each = np.log10(uni.p(p.c_word))
+            if len(p.sent):
+                answers = sorted(answers, key=lambda a: (a["turn"], a["bucket"]))
+                c = np.concatenate([expand(a["seen"], "<u4") for a in answers]).astype(np.int64)
+                first = p.heads(p.sent)
+                n_succ = np.diff(np.append(first, len(c)))
+                ctx = p.ctx[p.sent][first]
+                split = p.parts[ctx] > 1
+                # Heads per answer: those of each bucket.
+                n_heads = np.unique(p.key[p.sent][first], return_counts=True)[1]
+                above = np.concatenate([np.unpackbits(np.frombuffer(a["above"], np.uint8), count=n) for a, n in zip(answers, n_heads)]).astype(bool)
+                wanted = (np.minimum.reduceat(c, first) == 0) & ~split
+                m, lower = np.zeros((K, len(ctx))), np.zeros(len(ctx))
+                m[:, wanted] = np.concatenate([expand(a["classes"], "<u4").reshape(K, -1) for a in answers], axis=1)
+                lower[wanted] = np.concatenate([expand(a["lowers"], "<f8") for a in answers])
+                if split.any():
+                    sums = sorted(sums, key=lambda x: x["context"])
+                    at = np.searchsorted(np.array([x["context"] for x in sums]), p.head[ctx[split]].view(np.int64))
+                    m[:, split] = np.array([x["n"] for x in sums], float)[at].T
+                    lower[split] = np.array([x["lower"] for x in sums])[at]
+                    above[split] = m[:, split].sum(axis=0) == 0
+                c_h = p.c_head[ctx]
+                whole = np.repeat(np.log10(c_h + above), n_succ)
+                unseen = c == 0
+                alpha = np.zeros(len(ctx))
+                need = np.logical_or.reduceat(unseen, first)
+                alpha[need] = log_alpha(d, c_h[need], m[:, need], lower[need])
+                seen = np.log10(np.maximum(c, 1)) + np.where(c <= K, log_d[np.minimum(c, K)], 0.0) - whole
+                each[p.sent] = np.where(unseen, np.repeat(alpha, n_succ) + each[p.sent], seen)
             n = len(ids)
-            score = np.zeros(n)
-            for a in answers:
-                padded = expand(a["seen"], "<f8")
-                score += padded[:n]
-                score += log_d @ expand(a["classes"], "<u4").reshape(K, -1)[:, :n]
-                doc = expand(a["docs"], "<u4").astype(np.int64)
-                if len(doc):
-                    x = expand(a["unseen"], "<u4").reshape(K + 2, -1).astype(np.float64)
-                    each = log_alpha(d, x[0], x[1:-1], expand(a["lowers"], "<f8")) + np.log10(uni.p(x[-1]))
-                    score += np.bincount(doc, weights=each, minlength=n)[:n]
             yield {"doc_id": ids, "held_out": held, "n_tokens": n_tokens, "n_known": n_known,
-                   "train_tokens": np.full(n, uni.total), "base_score": np.array(base, float) if n else [], "score": score}
+                   "train_tokens": np.full(n, uni.total), "base_score": np.array(base, float),
+                   "score": np.add.reduceat(each[p.of], t.begin)}
 
     return run
 
@@ -338,7 +398,8 @@ class Model:
         self.unigrams, self.bigrams, self.uni, self.d = unigrams, bigrams, uni, d
 
 
-def katz_scores(docs: DataFrame, held, rounds: int = ROUNDS, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, Model]:
+def katz_scores(docs: DataFrame, held, rounds: int = ROUNDS, bucket_bytes: int = BUCKET_BYTES,
+                hot: int = HOT) -> tuple[DataFrame, Model]:
     """Scores of all documents by the model of those that are not ``held``, and the model."""
     spark = docs.sparkSession
     chunks = stored(_chunks(docs, held), "lm-chunks")
@@ -347,30 +408,35 @@ def katz_scores(docs: DataFrame, held, rounds: int = ROUNDS, bucket_bytes: int =
     buckets = int(total // bucket_bytes + 1)
     parts = min(parts, buckets) if buckets < parts else parts
 
-    sent = map_arrow(chunks, _send_words(buckets), "bucket int, chunk long, a binary, b binary")
-    words = stored(map_arrow(_dealt(sent, parts), _count_words, "kind int, bucket int, chunk long, token long, c long, answer binary"),
-                   "lm-words", ["kind"])
+    sent = map_arrow(chunks, _send_words(buckets), "bucket int, chunk long, a binary, b binary, o binary")
+    words = stored(map_arrow(_dealt(sent, parts), _count_words(hot),
+                             "kind int, bucket int, chunk long, token long, c long, answer binary, parts binary"), "lm-words", ["kind"])
     unigrams = words.where("kind = 0").select("bucket", "token", "c")
     n, distinct, *low = unigrams.agg(F.sum("c"), F.count(F.lit(1)), *[F.sum((F.col("c") == x).cast("long")) for x in range(1, K + 2)]).first()
     uni = Unigrams(n or 0, distinct, [0, *[x or 0 for x in low]])
-    answers = words.where("kind = 1").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))
+    answers = words.where("kind = 1").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "answer", "parts")).alias("answers"))
     noted = stored(map_arrow(chunks.join(answers, "chunk"), _annotate(buckets, uni), ANNOTATED), "lm-annotated")
     drop_stored(chunks)
 
     results = None
     per_round = max(1, -(-buckets // rounds))
     for turn in range(rounds):
-        sent = map_arrow(noted.select("chunk", "held", "size", "text", "counts"), _send_bigrams(per_round, rounds, turn), SENT)
-        part = stored(map_arrow(_dealt(sent, min(parts, per_round)), _count_bigrams(uni), ANSWERS), "lm-bigrams", ["kind"])
+        sent = map_arrow(noted.select("chunk", "held", "size", "text", "counts", "parts"), _send_bigrams(per_round, rounds, turn), SENT)
+        part = stored(map_arrow(_dealt(sent, min(parts, per_round)), _count_bigrams(uni, turn), ANSWERS), "lm-bigrams", ["kind"])
         results = part if results is None else results.unionByName(part)
     counts = [r[0] or 0 for r in results.where("kind = 1").select(F.posexplode("n")).groupBy("pos").agg(F.sum("col").alias("s"))
               .orderBy("pos").select("s").collect()] or [0] * (K + 2)
     model = Model(unigrams, results.where("kind = 0").select("context", "c_h", "lower", "successors", "counts"), uni, discounts(counts))
     per_chunk = (results.where("kind = 2").groupBy("chunk")
-                 .agg(F.collect_list(F.struct("seen", "classes", "docs", "unseen", "lowers")).alias("answers")))
-    docs_of = noted.select("chunk", "doc_id", "held", "n_tokens", "n_known", "base").join(per_chunk, "chunk")
-    scored = map_arrow(docs_of, _scores(uni, model.d), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                                                      "base_score double, score double")
+                 .agg(F.collect_list(F.struct("turn", "bucket", "seen", "above", "classes", "lowers")).alias("answers")))
+    # Contexts in several parts: at most one in ``hot`` tokens is one.
+    sums = (results.where("kind = 3").groupBy("context")
+            .agg(F.sum("lower").alias("lower"), F.array(*[F.sum(F.col("n")[i]) for i in range(K)]).alias("n")))
+    asked = noted.select("chunk", F.explode("hot").alias("context")).join(sums, "context")
+    asked = asked.groupBy("chunk").agg(F.collect_list(F.struct("context", "lower", "n")).alias("sums"))
+    docs_of = noted.drop("hot").join(per_chunk, "chunk", "left").join(asked, "chunk", "left")
+    scored = map_arrow(docs_of, _scores(uni, model.d, per_round, rounds),
+                       "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return scored, model
 
 

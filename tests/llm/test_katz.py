@@ -111,3 +111,18 @@ def test_without_training_text(spark):
     _, _, got = check(spark, docs_of(spark, rows), rows)
     assert all(r[6] == 0 for r in got)
     assert katz.op3_query(spark.createDataFrame([], DOC)).collect() == []
+
+
+def test_frequent_contexts_are_dealt_over_buckets(spark):
+    """The successors of a context that holds a third of all tokens, and of the start mark, lie in several bounded rows."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"the w{x} v{x % 7}" for x in rng.integers(0, 400, 30))) for i in range(120)]
+    plain, model, _ = check(spark, docs_of(spark, rows), rows, bucket_bytes=4000, hot=200)
+    parts = model.bigrams.groupBy("context").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.size("successors")).alias("n"), F.max(F.size("successors")).alias("most")).collect()
+    the = max(parts, key=lambda r: r.n)
+    assert the.n == len(plain.bi["the"]) and the.rows > 8 and the.most < the.n / 5
+    assert sum(r.n for r in parts) == sum(map(len, plain.bi.values()))
+    everywhere = [(i, "the the the a the the b") for i in range(60)]
+    check(spark, docs_of(spark, everywhere), everywhere, bucket_bytes=500, hot=3)
+    check(spark, docs_of(spark, ODD), ODD, bucket_bytes=4000, hot=1)
