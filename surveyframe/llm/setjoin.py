@@ -8,7 +8,8 @@ token there, so two sets that share a fraction ``threshold`` of their tokens are
 expected to stay together in one child. Buckets of at most ``LEAF`` sets are
 compared by brute force; larger ones are split further. A bucket that is still
 larger at the last level holds sets that share many sampled tokens and is taken
-as one group of candidates. The number of runs follows from the target recall.
+as one group of candidates. The number of runs follows from the target recall and
+the positions that the runs' roots, which are fixed, really sample.
 
 Candidates are only that: the sets that hang together by them are compared
 exactly, in blocks of bounded size, each pair once. So every reported link has a Jaccard
@@ -44,14 +45,6 @@ SKETCH, LEVELS, LEAF, BLOCK_SHINGLES = 128, 4, 256, 1 << 19
 MARGIN = 4.0
 
 
-def n_runs(recall: float = RECALL, levels: int = LEVELS, threshold: float = THRESHOLD) -> int:
-    """Runs after which a pair at the threshold has met with probability ``recall`` at the last level."""
-    q = 1.0
-    for _ in range(levels):  # probability that a pair survives one level more
-        q = 1 - (1 - q / SKETCH) ** SKETCH
-    return math.ceil(math.log(1 - recall) / math.log(1 - q))
-
-
 def shingle_sets(texts: list[str], n: int = NGRAM) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     w = Words(texts)
@@ -103,6 +96,43 @@ def _chosen(path: np.ndarray, probability: float) -> np.ndarray:
     return (x >> np.uint64(11)).astype(np.float64) / 2 ** 53 < probability
 
 
+def miss(pos: np.ndarray, levels: int = LEVELS, threshold: float = THRESHOLD) -> float:
+    """Probability that a pair at the threshold never meets at the last level when the roots sample the positions ``pos``.
+
+    Given the number of positions where the pair's sketches agree, every set of so many positions is equally likely and
+    each node below the roots samples anew; the numbers are averaged with their binomial probabilities.
+    """
+    agree = np.arange(SKETCH + 1)
+    q = np.ones(SKETCH + 1)
+    for _ in range(levels - 1):  # a child of the root stays together down to the last level
+        q = 1 - (1 - q / (threshold * SKETCH)) ** agree
+    # ways[a, k]: sets of k positions, each weighted by the misses of its sampled positions at a agreements.
+    ways = np.zeros((SKETCH + 1, SKETCH + 1))
+    ways[:, 0] = 1
+    for times in np.bincount(pos, minlength=SKETCH):
+        ways[:, 1:] = ways[:, 1:] + ways[:, :-1] * ((1 - q) ** times)[:, None]
+    chance = [math.comb(SKETCH, a) * threshold ** a * (1 - threshold) ** (SKETCH - a) for a in range(SKETCH + 1)]
+    return sum(chance[a] * ways[a, a] / math.comb(SKETCH, a) for a in range(SKETCH + 1))
+
+
+def roots(recall: float = RECALL, levels: int = LEVELS, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """(root, position) of every first-level path: as many runs as the target recall needs at the last level.
+    A run whose root samples nothing is no run."""
+    root, pos, i = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+    while not len(pos) or miss(pos, levels, threshold) > 1 - recall:
+        i += 1
+        r = mixed(np.array([i], np.uint64) * np.uint64(0xA0761D6478BD642F))
+        p = np.nonzero(_chosen(r, 1 / (threshold * SKETCH)))[1]
+        root, pos = np.append(root, np.repeat(r, len(p))), np.append(pos, p)
+    return root, pos
+
+
+def _child(path: np.ndarray, pos: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """The path below ``path`` of a set with ``token`` at the sampled position."""
+    return mixed(path * np.uint64(0x9E3779B97F4A7C15) + pos.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+                 + mixed(token.astype(np.uint64)))
+
+
 def _children(df: DataFrame, threshold: float) -> DataFrame:
     """(path, uid) of the next level from (path, uid, sk8): below the first level 8 bits of a token split well enough."""
     p = 1 / (threshold * SKETCH)
@@ -114,25 +144,19 @@ def _children(df: DataFrame, threshold: float) -> DataFrame:
                 sk = np.frombuffer(b"".join(part.column("sk8").to_pylist()), np.uint8).reshape(-1, SKETCH)
                 path = part.column("path").to_numpy().view(np.uint64)
                 row, pos = np.nonzero(_chosen(path, p))
-                child = mixed(path[row] * np.uint64(0x9E3779B97F4A7C15) + pos.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-                              + mixed(sk[row, pos].astype(np.uint64)))
-                yield {"path": child.view(np.int64), "uid": part.column("uid").to_numpy()[row]}
+                yield {"path": _child(path[row], pos, sk[row, pos]).view(np.int64), "uid": part.column("uid").to_numpy()[row]}
 
     return map_arrow(df, run, "path long, uid long")
 
 
-def _roots(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
+def _roots(reps: DataFrame, root: np.ndarray, pos: np.ndarray) -> DataFrame:
     """First level: every set in every run, split by the positions that the run's root samples."""
-    root = mixed(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
-    run_, pos = np.nonzero(_chosen(root, 1 / (threshold * SKETCH)))
-
     def run(it):
         for b in it:
             for s in range(0, b.num_rows, 4096):
                 part = b.slice(s, 4096)
                 sk = np.frombuffer(b"".join(part.column("sk").to_pylist()), "<u4").reshape(-1, SKETCH)
-                child = mixed(root[run_][None, :] * np.uint64(0x9E3779B97F4A7C15)
-                              + pos.astype(np.uint64)[None, :] * np.uint64(0xD6E8FEB86659FD93) + mixed(sk[:, pos].astype(np.uint64)))
+                child = _child(root[None, :], pos[None, :], sk[:, pos])
                 yield {"path": child.ravel().view(np.int64), "uid": np.repeat(part.column("uid").to_numpy(), len(pos))}
 
     return map_arrow(reps, run, "path long, uid long")
@@ -190,7 +214,7 @@ def candidates(reps: DataFrame, threshold: float, recall: float, leaf: int, leve
     short = reps.select("uid", "sk4")
     spark = reps.sparkSession
 
-    front = stored(_roots(reps.select("uid", "sk"), n_runs(recall, levels, threshold), threshold), "paths")
+    front = stored(_roots(reps.select("uid", "sk"), *roots(recall, levels, threshold)), "paths")
     edges = None
     for level in range(1, levels + 1):
         size = front.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("least")).where("n > 1")

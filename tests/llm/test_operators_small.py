@@ -106,6 +106,29 @@ def test_classes_large_near_group_in_many_blocks(spark):
     check_classes(spark, rows, leaf=16, levels=3, block_shingles=4000)
 
 
+def test_recall_at_the_last_level():
+    """Pairs at the threshold that meet only at the last level, walked down the fixed tree."""
+    rng = np.random.default_rng(11)
+    pairs, size = 20000, setjoin.SKETCH
+    a = rng.integers(0, 2 ** 32, (pairs, size), dtype=np.uint64)
+    b = np.where(rng.random((pairs, size)) < setjoin.THRESHOLD, a, rng.integers(0, 2 ** 32, (pairs, size), dtype=np.uint64))
+    root, pos = setjoin.roots()
+    path, other = (setjoin._child(root[None, :], pos[None, :], x[:, pos]) for x in (a, b))
+    who, k = np.nonzero(path == other)
+    path = path[who, k]
+    for _ in range(setjoin.LEVELS - 1):
+        at, pos_ = np.concatenate([np.stack(np.nonzero(setjoin._chosen(path[s:s + 4096], 1 / (setjoin.THRESHOLD * size)))) + [[s], [0]]
+                                   for s in range(0, len(path), 4096)], axis=1)
+        one, two = (setjoin._child(path[at], pos_, x[who[at], pos_] & np.uint64(255)) for x in (a, b))
+        who, path = who[at][one == two], one[one == two]
+    lost = 1 - len(np.unique(who)) / pairs
+    assert lost <= 1 - setjoin.RECALL + 3 * (0.005 / pairs) ** 0.5
+    assert setjoin.miss(pos) <= 1 - setjoin.RECALL
+    assert abs(lost - setjoin.miss(pos)) < 0.0016
+    # The first fifteen roots, seven of them empty, that were used before.
+    assert setjoin.miss(pos[:12]) > 0.012
+
+
 def test_keep_one(spark):
     docs = docs_of(spark, [r for r in ODD if r[0] is not None]).withColumnRenamed("source", "uid").withColumnRenamed("lang", "n")
     out = setjoin.keep_one(docs)
