@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, embeddings, katz, langid, packing, pii, setjoin, substring, warc
+from . import alignment, chat, decontam, embeddings, katz, langid, packing, pii, secretscan, setjoin, spelling, substring, warc
 from .oracle import ORACLE  # noqa: F401
 
 
@@ -52,5 +52,18 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.op10_query(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.op11_query(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.op12_query(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.op13_query(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_ngram_join, op3_katz_scoring, op4_chat_format, op5_best_fit_packing, op6_language_id, op7_warc,
-                                   op8_decontamination, op9_substring_dedup, op10_embedding_dedup)}
+                                   op8_decontamination, op9_substring_dedup, op10_embedding_dedup, op11_secret_scan,
+                                   op12_spelling_variants, op13_token_alignment)}
