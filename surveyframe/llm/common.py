@@ -186,14 +186,14 @@ def star_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             lab = nxt
 
 
-def arrow_schema(df_schema: str) -> pa.Schema:
+def arrow_schema(df_schema) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    return to_arrow_schema(StructType.fromDDL(df_schema))
+    return to_arrow_schema(StructType.fromDDL(df_schema) if isinstance(df_schema, str) else df_schema)
 
 
-def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``mapInArrow`` whose function yields dicts of columns, cast to ``schema``; columns left out are null."""
     target = arrow_schema(schema)
 

@@ -110,45 +110,72 @@ class Items:
         self.need = np.array([x[1] for x in limits], np.int64)
         self.m = np.array([len(c) for c in self.chars], np.int64)
 
-    def hits(self, c: np.ndarray):
-        """(place in the text, item, place in the item) of every shared q-gram."""
-        out = []
+    def hits(self, c: np.ndarray, most: int = 1 << 20):
+        """(next text place, place in the text, item, place in the item) of shared q-grams, in slices of the text
+        that hold about ``most`` of them (one text place alone may hold more, at most the items' characters)."""
+        found = []
         for s, (keys, first, n, item, pos, table) in self.by_q.items():
             g = grams(c, s)
             at = np.flatnonzero(table[(g >> np.uint64(42)).astype(np.int64)])
             k = np.searchsorted(keys, g[at])
             k[k == len(keys)] = 0
             ok = keys[k] == g[at]
-            at, k = at[ok], k[ok]
-            # A text place meets every item place with the same q-gram.
-            rep = n[k]
-            row = np.repeat(np.arange(len(at)), rep)
-            nth = np.arange(int(rep.sum())) - np.repeat(np.cumsum(rep) - rep, rep)
-            src = first[k][row] + nth
-            out.append((at[row], item[src], pos[src]))
-        if not out:
-            return tuple(np.zeros(0, np.int64) for _ in range(3))
-        return tuple(np.concatenate(x).astype(np.int64) for x in zip(*out))
+            found.append((at[ok], k[ok], first, n, item, pos))
+        every = np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)])
+        if not len(every):
+            return
+        order = np.argsort(every, kind="stable")
+        total = np.cumsum(np.concatenate([f[3][f[1]] for f in found])[order])
+        every = every[order]
+        low = 0
+        while low <= every[-1]:
+            done = int(np.searchsorted(every, low))
+            base = int(total[done - 1]) if done else 0
+            cut = int(np.searchsorted(total, base + most, "right"))
+            high = int(every[-1]) + 1 if cut >= len(every) else max(int(every[cut]), int(every[done]) + 1)
+            out = []
+            for at, k, first, n, item, pos in found:
+                a, b = np.searchsorted(at, (low, high))
+                # A text place meets every item place with the same q-gram.
+                rep = n[k[a:b]]
+                row = np.repeat(np.arange(b - a), rep)
+                nth = np.arange(int(rep.sum())) - np.repeat(np.cumsum(rep) - rep, rep)
+                src = first[k[a:b]][row] + nth
+                out.append((at[a:b][row], item[src], pos[src]))
+            yield (high, *(np.concatenate(x).astype(np.int64) for x in zip(*out)))
+            low = high
 
     def regions(self, c: np.ndarray):
-        """(item, first diagonal) of bands that hold enough distinct q-grams of the item."""
-        at, item, pos = self.hits(c)
-        if not len(at):
-            return []
-        diag = at - pos + (1 << 40)
-        width = self.k[item] + 1
-        band = diag // width
-        item2, band2, pos2 = np.tile(item, 2), np.concatenate((band, band - 1)), np.tile(pos, 2)
-        # Distinct q-grams of the item per (item, band): sort, drop repeats, count.
-        order = np.lexsort((pos2, band2, item2))
-        item2, band2, pos2 = item2[order], band2[order], pos2[order]
-        same = (item2[1:] == item2[:-1]) & (band2[1:] == band2[:-1])
-        new = np.concatenate(([True], ~(same & (pos2[1:] == pos2[:-1]))))
-        start = np.flatnonzero(np.concatenate(([True], ~same)))
-        count = np.add.reduceat(new.astype(np.int64), start)
-        keep = count >= self.need[item2[start]]
-        it, bd = item2[start][keep], band2[start][keep]
-        return list(zip(it.tolist(), (bd * (self.k[it] + 1) - (1 << 40)).tolist()))
+        """(item, first diagonal) of bands that hold enough distinct q-grams of the item.
+
+        A band that ends before all later text places can reach it is settled and counted, so only
+        the bands around the current place are held.
+        """
+        none = np.zeros(0, np.int64)
+        held, out = (none, none, none), []
+        longest = int(self.m.max()) if len(self.m) else 0
+        for nxt, at, item, pos in self.hits(c):
+            width = self.k[item] + 1
+            band = (at - pos + (1 << 40)) // width
+            cols = (np.concatenate((held[0], item, item)), np.concatenate((held[1], band, band - 1)), np.concatenate((held[2], pos, pos)))
+            order = np.lexsort((cols[2], cols[1], cols[0]))
+            it, bd, ps = (x[order] for x in cols)
+            new = np.concatenate(([True], (it[1:] != it[:-1]) | (bd[1:] != bd[:-1]) | (ps[1:] != ps[:-1]))) if len(it) else np.zeros(0, bool)
+            it, bd, ps = it[new], bd[new], ps[new]
+            # Later hits lie on diagonals from nxt - longest on.
+            open_ = (bd + 2) * (self.k[it] + 1) > nxt - longest + (1 << 40)
+            self._settle(it[~open_], bd[~open_], out)
+            held = it[open_], bd[open_], ps[open_]
+        self._settle(held[0], held[1], out)
+        return sorted(out)
+
+    def _settle(self, it: np.ndarray, bd: np.ndarray, out: list):
+        """Add the bands of distinct q-grams that hold enough of them."""
+        if len(it):
+            start = np.flatnonzero(np.concatenate(([True], (it[1:] != it[:-1]) | (bd[1:] != bd[:-1]))))
+            keep = np.diff(np.append(start, len(it))) >= self.need[it[start]]
+            i, b = it[start][keep], bd[start][keep]
+            out.extend(zip(i.tolist(), (b * (self.k[i] + 1) - (1 << 40)).tolist()))
 
     def align(self, i: int, c: np.ndarray, low: int, first: int, last: int):
         """Best alignment of item i with c[first:last] on diagonals low .. low + 2 width - 1.
@@ -265,23 +292,23 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, flag: str, q: int = Q, rat
     import pyarrow as pa
 
     spark = docs.sparkSession
-    out = docs.withColumn(flag, F.lit(False))
+    # The row travels as one column, so that its columns may have any names.
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"), F.lit(False).alias("bad"))
+    schema = StructType([*out.schema.fields[:-1]]).add("bad", BooleanType())
     for ids, texts in _blocks(benchmark, block_chars):
         sent = spark.sparkContext.broadcast((ids, texts))
-        schema = StructType([*out.drop(flag).schema.fields]).add(flag, BooleanType())
-        target = to_arrow_schema(schema)
-        out = out.select(*[f"`{f.name}`" for f in schema.fields])
 
-        def run(it, sent=sent, target=target):
+        def run(it, sent=sent):
             items = Items(*sent.value, q, rate)
-            for b, chunk in text_chunks(it, text, 1 << 20):
-                bad = np.array(b.column(flag).to_pylist(), bool)
+            target = to_arrow_schema(schema)
+            for b, chunk in text_chunks(it, "text", 1 << 20):
+                bad = np.array(b.column("bad").to_pylist(), bool)
                 for x in items.find(chunk) if items.ids else []:
                     bad[x[0]] = True
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(bad)], schema=target)
 
         out = out.mapInArrow(run, schema)
-    return out
+    return out.select("row.*", F.col("bad").alias(flag))
 
 
 def op8_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

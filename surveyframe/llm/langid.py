@@ -7,11 +7,13 @@ texts, whitened by the landmarks' own kernel matrix; one ridge regression per
 language (one against the rest) is fitted there. Scoring whole texts is a batched
 product of presence rows with landmark rows.
 
-The n-grams are those of the landmarks, over the alphabet of the landmarks (every
-other character is one symbol), so a text's row has a fixed width.
+The n-grams are those of the landmarks, over all characters of the landmarks (every
+other character is one symbol), so a text's row has a fixed width; a row is normalised by
+the number of these n-grams that it holds.
 
-Fitting uses at most ``PER_LANG`` documents of each language, those with the
-smallest hash of their id: a bounded sample, as its size is a documented
+Every label that occurs is learned. Fitting uses at most ``PER_LANG`` documents of each
+language and about ``SAMPLE`` in all, texts of at most ``FIT_CHARS`` characters first and then
+those with the smallest hash of their row: a bounded sample, as its size is a documented
 parameter. Every text is scored as a whole.
 
 Defined results: null text, empty text or a text without a letter is ``und`` with
@@ -25,15 +27,16 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import text_chunks
 
-#: Parameters: documents per language to fit on, landmarks per language, languages
-#: at most (the most frequent), alphabet at most, n-grams up to, ridge.
-PER_LANG, LANDMARKS, MAX_LANGS, ALPHABET, N_MAX, RIDGE = 256, 64, 64, 120, 3, 1e-3
+#: Parameters: documents per language to fit on and in all, landmarks per language and in all, characters of a
+#: text that is preferred for fitting, n-grams up to, ridge, entries of a table by n-gram (larger ones are searched).
+PER_LANG, SAMPLE, LANDMARKS, ALL_LANDMARKS, FIT_CHARS, N_MAX, RIDGE, TABLE = 256, 16384, 64, 2048, 20_000, 3, 1e-3, 1 << 22
 #: Characters of a text that are turned into codes at a time.
 PIECE = 1 << 18
 
@@ -46,9 +49,7 @@ class Grams:
     """Presence rows over the n-grams of the landmarks."""
 
     def __init__(self, texts: list[str]):
-        seen, n = np.unique(np.concatenate([codes_of(t) for t in texts] or [np.zeros(0, np.uint32)]), return_counts=True)
-        top = seen[np.argsort(-n, kind="stable")][:ALPHABET]
-        self.symbols = np.sort(top)
+        self.symbols = np.unique(np.concatenate([codes_of(t) for t in texts] or [np.zeros(0, np.uint32)]))
         self.base = len(self.symbols) + 1
         ids = [np.unique(np.concatenate([c for t in texts for c in self._grams(t, n)] or [np.zeros(0, np.int64)]))
                for n in range(1, N_MAX + 1)]
@@ -56,10 +57,20 @@ class Grams:
         self.tables = []
         at = 0
         for n, x in enumerate(ids, 1):
-            table = np.full(self.base ** n, self.width, np.int32)
-            table[x] = np.arange(at, at + len(x))
+            if self.base ** n <= TABLE:
+                table = np.full(self.base ** n, self.width, np.int32)
+                table[x] = np.arange(at, at + len(x))
+            else:
+                table = None
+            self.tables.append((table, x, at))
             at += len(x)
-            self.tables.append(table)
+
+    def _places(self, g: np.ndarray, table, x: np.ndarray, at: int) -> np.ndarray:
+        """Column of every n-gram; those of no landmark share the last one."""
+        if table is not None:
+            return table[g]
+        k = np.minimum(np.searchsorted(x, g), len(x) - 1)
+        return np.where(x[k] == g, at + k, self.width)
 
     def _grams(self, text: str, n: int):
         codes = codes_of(text)
@@ -76,9 +87,9 @@ class Grams:
     def rows(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.width + 1), np.float32)
         for i, t in enumerate(texts):
-            for n, table in enumerate(self.tables, 1):
-                for g in self._grams(t, n):
-                    out[i, table[g]] = 1
+            for n, (table, x, at) in enumerate(self.tables, 1):
+                for g in self._grams(t, n) if len(x) else ():
+                    out[i, self._places(g, table, x, at)] = 1
         return out[:, :self.width]
 
 
@@ -87,7 +98,8 @@ class Model:
 
     def __init__(self, texts: list[str], langs: list[str]):
         self.langs = sorted(set(langs))
-        marks = [t for lang in self.langs for t in [x for x, y in zip(texts, langs) if y == lang][:LANDMARKS]]
+        each = max(1, min(LANDMARKS, ALL_LANDMARKS // len(self.langs)))
+        marks = [t for lang in self.langs for t in [x for x, y in zip(texts, langs) if y == lang][:each]]
         self.grams = Grams(marks)
         rows = self.grams.rows(marks)
         self.mark_rows = self._unit(rows)
@@ -108,6 +120,11 @@ class Model:
         parts = [self._unit(self.grams.rows(texts[i:i + 64])) @ self.mark_rows.T for i in range(0, len(texts), 64)]
         return np.concatenate(parts).astype(np.float64) @ self.white
 
+    @property
+    def nothing(self) -> float:
+        """The score of a text that shares nothing with any landmark."""
+        return float((self.mean.max() + 1) / 2)
+
     def margins(self, texts: list[str]) -> np.ndarray:
         return self._features(texts) @ self.coef + self.mean
 
@@ -118,28 +135,32 @@ def has_letter(text: str) -> bool:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model | None:
-    """Fit on at most PER_LANG documents of each of the MAX_LANGS most frequent languages."""
+    """Fit on a bounded sample of every label's documents (see above); ``key`` only tells rows apart and may be null."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    langs = [r[0] for r in known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MAX_LANGS).collect()]
-    if not langs:
+    labels = known.select(lang).distinct().count()
+    if not labels:
         return None
-    order = Window.partitionBy(lang).orderBy("h", key)
-    picked = (known.where(F.col(lang).isin(langs)).select(lang, key, F.xxhash64(F.col(key)).alias("h"))
-              .withColumn("r", F.row_number().over(order)).where(F.col("r") <= PER_LANG).select(lang, key))
-    # PER_LANG * MAX_LANGS rows at most: the bound of this broadcast.
-    rows = (known.join(F.broadcast(picked.distinct()), [lang, key]).select(key, lang, text).distinct()
-            .orderBy(F.xxhash64(F.col(key)), key, lang, text).limit(PER_LANG * MAX_LANGS).collect())
-    return Model([r[text] for r in rows], [r[lang] for r in rows])
+    each = max(1, min(PER_LANG, SAMPLE // labels))
+    known = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("h"),
+                         (F.length(text) > FIT_CHARS).alias("long"))
+    order = Window.partitionBy("lang").orderBy("long", "h")
+    # ``each`` rows a label; the window keeps no more of a label in any task.
+    picked = (known.select("lang", "long", "h").distinct().withColumn("r", F.row_number().over(order))
+              .where(F.col("r") <= each).select("lang", "h"))
+    rows = known.join(F.broadcast(picked), ["lang", "h"]).select("lang", "text", "h").distinct().collect()
+    rows.sort(key=lambda r: (r["h"], r["lang"], r["text"]))
+    return Model([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add ``lang_pred`` and ``score`` (0 to 1: the best response, -1..1 mapped to 0..1)."""
     out = docs.drop("lang_pred", "score")
     schema = pa_schema(out)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Pickled here by value, so that executors need no copy of this package.
+    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def run(it):
-        m = sent.value
+        m = cloudpickle.loads(sent.value)
         for b, texts in text_chunks(it, text, 1 << 19):
             pred, score = np.full(len(texts), "und", object), np.zeros(len(texts))
             todo = [i for i, t in enumerate(texts) if has_letter(t)] if m is not None else []

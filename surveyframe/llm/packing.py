@@ -66,7 +66,8 @@ class Encoder:
     spaces of a text stand alone, its ids are those of its first word and of every
     later word with the space before it. The distinct words of a chunk of texts are
     encoded in one go, by the same vocabulary as ranks; the lengths of the tokens
-    tell where each word ends. Other texts are encoded whole.
+    tell where each word ends. Other texts, and texts that hold an added token of the
+    tokenizer such as ``<|endoftext|>`` (it becomes its id), are encoded whole.
     """
 
     def __init__(self, path: str, ranks_path: str, pattern: str):
@@ -74,7 +75,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True
+        self._added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._words = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -86,7 +87,7 @@ class Encoder:
         return np.array(self._tok.encode(text, add_special_tokens=False).ids, "<u4")
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [bool(t) and p for t, p in zip(texts, splits_at_spaces(texts))]
+        plain = [bool(t) and p and not any(a in t for a in self._added) for t, p in zip(texts, splits_at_spaces(texts))]
         found = iter(self._by_words([t for t, p in zip(texts, plain) if p]))
         return [next(found) if p else self.whole(t) if t else np.zeros(0, "<u4") for t, p in zip(texts, plain)]
 

@@ -33,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructType
 
-from .common import Words, map_arrow, mixed, sorted_groups, star_labels, stored, text_chunks
+from .common import Words, drop_stored, map_arrow, mixed, sorted_groups, star_labels, stored, text_chunks
 from .components import connected_components
 from .substring import _rolling
 
@@ -77,7 +78,7 @@ def _sketched(docs: DataFrame, n: int) -> DataFrame:
     """Every row with its set's size, two 64-bit signatures and its sketch; ``orig`` holds the row's own columns."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("orig"),
                        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    orig = rows.schema["orig"].dataType.simpleString()
+    schema = StructType([rows.schema["orig"], *StructType.fromDDL("doc_id long, n long, sig_a long, sig_b long, sk binary").fields])
 
     def run(it):
         for b, texts in text_chunks(it):
@@ -87,7 +88,7 @@ def _sketched(docs: DataFrame, n: int) -> DataFrame:
                    "sig_b": [int(mixed(s).sum(dtype=np.uint64).astype(np.int64)) for s in sets],
                    "sk": [sketch(s).tobytes() if len(s) else b"" for s in sets]}
 
-    return map_arrow(rows, run, f"orig {orig}, doc_id long, n long, sig_a long, sig_b long, sk binary")
+    return map_arrow(rows, run, schema)
 
 
 def _chosen(path: np.ndarray, probability: float) -> np.ndarray:
@@ -215,7 +216,7 @@ def candidates(reps: DataFrame, threshold: float, recall: float, leaf: int, leve
     spark = reps.sparkSession
 
     front = stored(_roots(reps.select("uid", "sk"), *roots(recall, levels, threshold)), "paths")
-    edges = None
+    edges, used = None, []
     for level in range(1, levels + 1):
         size = front.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("least")).where("n > 1")
         size = stored(size, "path-sizes")
@@ -227,13 +228,63 @@ def candidates(reps: DataFrame, threshold: float, recall: float, leaf: int, leve
             links = links.union(front.join(big, "path").select(F.col("uid").alias("a"), F.col("least").alias("b")).where("a <> b"))
         links = stored(links.distinct(), "candidate-links")
         edges = links if edges is None else edges.union(links)
+        used += [front, size]
         if last or big.isEmpty():
             break
         nxt = front.join(big.select("path"), "path").join(reps.select("uid", "sk8"), "uid")
         front = stored(_children(nxt.select("path", "uid", "sk8"), threshold), "paths")
+        for t in used:
+            drop_stored(t)
+        used = []
+    for t in used:
+        drop_stored(t)
     return edges
 
 
+#: Blocks of 64 bits of a filter of row ids at most (16 MB), and bits set for an id.
+FILTER_BLOCKS, FILTER_BITS = 1 << 21, 4
+
+
+def _id_bits(uid: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    h = mixed(uid.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    bits = np.zeros(len(h), np.uint64)
+    for j in range(FILTER_BITS):
+        bits |= np.uint64(1) << ((h >> np.uint64(6 * j)) & np.uint64(63))
+    return ((h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64), bits
+
+
+def split_by_ids(rows: DataFrame, ids: DataFrame, most_blocks: int = FILTER_BLOCKS) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (with a column ``uid``) in two: those that may have one of the uids of the stored ``ids``, and
+    those that have none.
+
+    A broadcast Bloom filter of bounded size decides, so that large rows need not meet the ids in a shuffle;
+    beyond about four ids a block more rows count as possible ones, none is lost.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    blocks = int(min(most_blocks, max(64, ids.count() // 2)))
+
+    def mark(it):
+        for b in it:
+            at, bits = _id_bits(b.column("uid").to_numpy(), blocks)
+            yield {"at": at, "bits": bits.view(np.int64)}
+
+    t = map_arrow(ids.select("uid"), mark, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table = np.zeros(blocks, np.uint64)
+    table[t.column("at").to_numpy()] = t.column("bits").to_numpy().view(np.uint64)
+    sent = rows.sparkSession.sparkContext.broadcast(table)
+    schema = StructType([*rows.schema.fields]).add("__maybe", BooleanType())
+
+    def probe(it):
+        target = to_arrow_schema(schema)
+        for b in it:
+            at, bits = _id_bits(b.column("uid").to_numpy(), blocks)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array((sent.value[at] & bits) == bits)], schema=target)
+
+    marked = rows.mapInArrow(probe, schema)
+    return marked.where("__maybe").drop("__maybe"), marked.where("not __maybe").drop("__maybe")
+
+
 def _low_bytes(sk):
     """Every fourth byte of the sketch: 8 bits of each token."""
     return F.unhex(F.regexp_replace(F.hex(sk), "(..)......", "$1"))
@@ -322,13 +373,18 @@ def _classes(docs: DataFrame, threshold: float, n: int, recall: float, leaf: int
     reps = rows.join(groups.select("rep", "copies"), F.col("uid") == F.col("rep")).select(
         "uid", "copies", "n", "sk", _low_bytes(F.col("sk")).alias("sk8"))
     reps = stored(reps.withColumn("sk4", _half_bytes(F.col("sk8"))), "distinct-sets")
-    comp = stored(connected_components(candidates(reps, threshold, recall, leaf, levels)), "candidate-groups")
+    edges = candidates(reps, threshold, recall, leaf, levels)
+    comp = stored(connected_components(edges), "candidate-groups")
+    drop_stored(edges)
     # Blocks follow from the sets' sizes, so that each set is sent once, and to its blocks only.
     sized = comp.join(reps.select("uid", "copies", "n"), F.col("node") == F.col("uid")).select("comp", "uid", "copies", "n")
     blocks = sized.groupBy("comp").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
-    members = (rows.select("uid", F.col("orig.text").alias("text")).join(sized.join(blocks, "comp"), "uid")
-               .select("comp", "uid", "copies", "blocks", "text"))
-    found = stored(_exact(members, threshold, n), "exact-links")
+    members = stored(sized.join(blocks, "comp").select("comp", "uid", "copies", "blocks"), "members")
+    for t in (comp, reps):
+        drop_stored(t)
+    texts, _ = split_by_ids(rows.select("uid", F.col("orig.text").alias("text")), members)
+    found = stored(_exact(texts.join(members, "uid").select("comp", "uid", "copies", "blocks", "text"), threshold, n), "exact-links")
+    drop_stored(members)
     exact = connected_components(found.where("uid <> root"), "uid", "root")
     counts = found.groupBy("uid").agg(F.sum("n").alias("linked"))
     per_rep = (groups.join(counts, F.col("rep") == F.col("uid"), "left").drop("uid")
@@ -338,6 +394,8 @@ def _classes(docs: DataFrame, threshold: float, n: int, recall: float, leaf: int
     ids = rows.select("uid", "doc_id", *sig).join(per_rep, sig, "left")
     ids = stored(ids.select("uid", "doc_id", F.coalesce("class_uid", "uid").alias("class_uid"),
                             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "classes")
+    for t in (groups, found):
+        drop_stored(t)
     name = ids.groupBy("class_uid").agg(F.min("doc_id").alias("class_id"))
     return rows, ids.join(name, "class_uid")
 
@@ -363,4 +421,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM, reca
     rows, classes = _classes(docs, threshold, n, recall, leaf, levels, block_shingles)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
     first = classes.groupBy("class_uid").agg(F.min(order).alias("f")).select(F.col("f.uid").alias("uid"))
-    return rows.select("uid", "orig").join(first, "uid").select("orig.*")
+    leave = stored(classes.select("uid").join(first, "uid", "left_anti"), "leaving")
+    # Most rows stay: only those that a filter of the leaving ids does not rule out meet them in a join.
+    maybe, stay = split_by_ids(rows.select("uid", "orig"), leave)
+    return stay.unionByName(maybe.join(leave, "uid", "left_anti")).select("orig.*")

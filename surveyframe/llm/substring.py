@@ -142,7 +142,8 @@ def _strings(t) -> list[bytes]:
 def _firsts(words: list[bytes], where: list[tuple]) -> tuple[np.ndarray, list[int]]:
     """Which items stay (the first by place of each string), and which others are known repeats.
 
-    Items at the same place as the one that stays are neither.
+    ``where``: (doc, start, key). Of items at the same place those of the same text are one; another
+    text with the same id stays too, as it loses the same words once the string starts earlier elsewhere.
     """
     leader: dict[bytes, int] = {}
     keep = np.ones(len(words), bool)
@@ -151,14 +152,15 @@ def _firsts(words: list[bytes], where: list[tuple]) -> tuple[np.ndarray, list[in
         j = leader.setdefault(x, i)
         if j == i:
             continue
-        if where[i] < where[j]:
+        if where[i][:2] < where[j][:2]:
             leader[x] = i
             keep[j] = False
             again.append(j)
-        else:
+        elif where[i][:2] > where[j][:2]:
             keep[i] = False
-            if where[i] > where[j]:
-                again.append(i)
+            again.append(i)
+        else:
+            keep[i] = where[i] != where[j]
     return keep, again
 
 
@@ -207,7 +209,7 @@ def _emit(size: int, buckets: int, hot):
             start = first - w.first[doc]
             raw, begin = packed(w)
             words = [raw[s:e] for s, e in zip(begin[first].tolist(), (begin[first + n + size - 1] - 1).tolist())]
-            keep, again = _firsts(words, list(zip(ids[doc].tolist(), start.tolist())))
+            keep, again = _firsts(words, list(zip(ids[doc].tolist(), start.tolist(), keys[doc].tolist())))
             sender = Sender()
             if again:
                 sender.repeats(ids[doc[again]], keys[doc[again]], start[again], n[again])
@@ -234,7 +236,7 @@ def _send_windows(sender: Sender, bucket: int, parts: int, doc, key, start, text
     w, code, at, src = _windows(text, size)
     place = start[src] + at - w.first[src]
     words = [w.data[s:e] for s, e in zip(w.start[at].tolist(), w.end[at + size - 1].tolist())]
-    keep, again = _firsts(words, list(zip(doc[src].tolist(), place.tolist())))
+    keep, again = _firsts(words, list(zip(doc[src].tolist(), place.tolist(), key[src].tolist())))
     if again:
         sender.repeats(doc[src[again]], key[src[again]], place[again], np.ones(len(again), np.int64))
     k = np.flatnonzero(keep)

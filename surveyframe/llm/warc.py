@@ -12,7 +12,11 @@ larger than one record and one read block is held.
 Equal payloads (of at least ``min_bytes``) are one group, found by their digest:
 the record with the largest ``page_id`` is the response, the others revisit it.
 The groups come from one aggregation that combines before it shuffles, so a
-payload that a third of the pages share is one row per task there.
+payload that a third of the pages share is one row per task there. Payloads shared by
+more than ``HOT_ROWS`` pages (so there are at most pages / HOT_ROWS of them, a line of
+a few hundred bytes each) are told to all tasks; only pages of other payloads are dealt by digest.
+
+Reading back: one task per archive, whatever the size of the list.
 
 Defined results: null html is an empty payload; a null ``page_id`` ranks below all
 others; rows with the same page_id and payload: one is the response, the others
@@ -36,6 +40,7 @@ from .common import map_arrow, stored, work_dir
 
 ARCHIVE_BYTES = 64 << 20
 READ_BYTES = 1 << 18
+HOT_ROWS = 1 << 16
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -103,7 +108,7 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     return headers, block
 
 
-def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+def plan_records(pages: DataFrame, min_bytes: int = 0, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Pages with payload bytes, digest, record type and what a revisit refers to."""
     p = pages.select(F.col("page_id").cast("long"), F.coalesce("url", F.lit("")).alias("url"),
                      F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
@@ -112,7 +117,10 @@ def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     who = F.struct("page_id", "url", "row")
     top = (p.where(F.col("payload_bytes") >= min_bytes).groupBy("sha1")
            .agg(F.max(who).alias("top"), F.count(F.lit(1)).alias("copies")).where("copies > 1"))
-    j = p.alias("p").join(top, "sha1", "left")
+    top = stored(top, "warc-groups")
+    hot = F.broadcast(top.where(F.col("copies") > hot_rows).select("sha1", "top"))
+    rest = top.where(F.col("copies") <= hot_rows).select("sha1", "top")
+    j = p.join(hot, "sha1").unionByName(p.join(hot.select("sha1"), "sha1", "left_anti").join(rest, "sha1", "left"))
     same = (F.col("top.page_id").eqNullSafe(F.col("page_id")) & (F.col("top.row") == F.col("row")))
     revisit = F.col("top").isNotNull() & ~same & (F.col("payload_bytes") >= min_bytes)
     return j.select("page_id", "url", "payload", "payload_bytes", revisit.alias("revisit"),
@@ -183,7 +191,8 @@ def read_archives(listing: DataFrame, folder: str, with_payload: bool = True) ->
                     raise ValueError(f"{path}: {seen} records instead of {n}")
                 yield out
 
-    return map_arrow(listing.repartition(F.col("path")), run, RECORDS)
+    # A stated number of parts: a list of a few kilobytes would otherwise be merged into one task.
+    return map_arrow(listing.repartition(max(1, listing.count()), "path"), run, RECORDS)
 
 
 def op7_query(pages: DataFrame, min_bytes: int = 0) -> DataFrame:

@@ -165,7 +165,6 @@ def test_packing(spark, mid_rows):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    tok.encode_special_tokens = True
     rows = [r for r in mid_rows + [(d + 10 ** 6, t) for d, t in ODD if d is not None] + [
         (5 * 10 ** 6 + i, t) for i, t in enumerate(["a  b", " a", "a ", "a \n b", "\x1c a\x1d b", "a  b", "a b c", "don't it's", "<|endoftext|> x"])]]
     got = packing.op5_query(docs_of(spark, rows)).collect()
