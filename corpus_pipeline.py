@@ -11,19 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyframe.llm import decontam, langid, packing, pii, setjoin
-from surveyframe.llm.common import stored
+from surveyframe.llm.common import drop_stored, stored
 
-#: A document goes when its language is ``und`` or its best response is below this: with evenly many texts of
-#: four languages, a text that shares nothing with any landmark scores 0.25.
-MIN_LANG_SCORE = 0.26
+#: A document goes when its language is ``und`` or its score is not this far above that of a text which shares nothing
+#: with any landmark of the fitted model.
+LANG_MARGIN = 0.01
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; null and empty texts and texts without letters go."""
     train = docs.where(~F.coalesce(langid.held_out(4, 2), F.lit(False)))
-    named = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    out = langid.predict(named, langid.fit(train.select("doc_id", "text", "lang")))
-    return out.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANG_SCORE)).select("row.*")
+    named = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), "text")
+    model = langid.fit(train.select("doc_id", "text", "lang"))
+    least = model.nothing + LANG_MARGIN if model else 0.0
+    return langid.predict(named, model).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("row.*")
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,7 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = pii.redact(docs.withColumn("__before", F.col("text")))
     changed = ~F.col("text").eqNullSafe(F.col("__before"))
     return (out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-            .select(*docs.columns))
+            .select(*[f"`{c}`" for c in docs.columns]))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +60,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = stored(docs, f"stage-{name}")
+            if before is not None:
+                drop_stored(before)
+            before = docs
     return docs
