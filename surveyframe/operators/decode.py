@@ -23,7 +23,8 @@ from ..schema import DIMS, PASSTHROUGH, PROCESSED_COLUMNS, QUESTIONS, Question
 from ..sources.dims import code_table
 
 
-def _code_expr(q: Question) -> Column:
+def code_expr(q: Question) -> Column:
+    """The question's code as the code tables hold it."""
     raw = F.col(q.raw).cast(T.LongType())
     return zero_pad(raw) if q.padded else raw
 
@@ -44,7 +45,7 @@ def decode(raw: DataFrame, dims: Mapping[str, DataFrame], only: list[str] | None
 
     # codes (cast / padded) plus pass-through columns, one narrow projection
     cols = [F.col(r).cast(t).alias(name) for name, (r, t) in PASSTHROUGH.items() if name in wanted]
-    cols += [_code_expr(q).alias(q.code_out) for q in questions]
+    cols += [code_expr(q).alias(q.code_out) for q in questions]
     cols += [F.col(c) for c in (extra or [])]
     return label(raw.select(cols), dims, wanted, dim_rows, extra)
 

@@ -17,6 +17,15 @@ from ..functions.columns import is_answer, measure_name, pct
 from ..sources.dims import inline_table
 
 
+#: A frame with this column stands for a longer one: each of its rows for so many equal rows.
+COUNT = "__n"
+
+
+def rows_of(df: DataFrame) -> Column:
+    """The number of rows of a group, also where rows are counted already."""
+    return F.sum(COUNT) if COUNT in df.columns else F.count(F.lit(1))
+
+
 def _ordered(df: DataFrame, key: str, count_col: str = "n") -> DataFrame:
     # most frequent first; ties broken by the label (NULL label last)
     return df.orderBy(F.desc(count_col), F.asc_nulls_last(key))
@@ -24,7 +33,7 @@ def _ordered(df: DataFrame, key: str, count_col: str = "n") -> DataFrame:
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Count per value, NULL group included, most frequent first -> (col, n)."""
-    return _ordered(df.groupBy(col).agg(F.count(F.lit(1)).alias("n")), col)
+    return _ordered(df.groupBy(col).agg(rows_of(df).alias("n")), col)
 
 
 def share_of_total(counts: DataFrame, n: str = "n") -> Column:
@@ -45,7 +54,7 @@ def value_counts_pct(df: DataFrame, col: str, weight: str | None = None) -> Data
     With ``weight`` the measure is the sum of that column (a population
     estimate) instead of the row count, and the percent is of the weight total.
     """
-    m = F.sum(F.col(weight).cast(T.DoubleType())) if weight else F.count(F.lit(1))
+    m = F.sum(F.col(weight).cast(T.DoubleType())) if weight else rows_of(df)
     counts = df.groupBy(col).agg(m.alias("n"))
     return _ordered(counts.select(col, "n", share_of_total(counts).alias("pct")), col)
 
@@ -64,10 +73,11 @@ def multi_value_counts(df: DataFrame, cols: list[str], names: list[str] | None =
     the percent is within each measure (all rows, NULL included).
     """
     names = names or cols
-    stacked = df.select(F.explode(F.array(*[
+    counted = [COUNT] if COUNT in df.columns else []
+    stacked = df.select(*counted, F.explode(F.array(*[
         F.struct(F.lit(nm).alias(measure), F.col(c).cast(T.StringType()).alias(value))
-        for nm, c in zip(names, cols)])).alias("__s")).select("__s.*")
-    counts = stacked.groupBy(measure, value).agg(F.count(F.lit(1)).alias("n"))
+        for nm, c in zip(names, cols)])).alias("__s")).select(*counted, "__s.*")
+    counts = stacked.groupBy(measure, value).agg(rows_of(stacked).alias("n"))
     if not with_pct:
         return counts.orderBy(F.asc(measure), F.desc("n"), F.asc_nulls_last(value))
     # one total per measure: a few rows, joined back by broadcast (bounded by len(cols))
@@ -129,7 +139,3 @@ def count_answers(df: DataFrame, cols: list[str], answer: str = "Sim",
     long = agg.unpivot([], cols, "__col", alias)
     return (long.select(measure_name(F.col("__col")).alias(measure), F.col(alias).cast(T.LongType()).alias(alias))
             .orderBy(F.desc(alias), F.asc(measure)))
-
-
-def row_count(df: DataFrame, alias: str = "n") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(alias))

@@ -26,13 +26,18 @@ SEX_LABELS = [label for _, label in DIM_ROWS["sexo"]] + [NOT_INFORMED]
 M = MONTH_COLUMN
 
 
+FIRST_LOOK = ["uf_desc", "sexo_desc", "escolaridade_desc", "FaixaRendimento_desc", M, "Febre_desc", "ProcurouAtendimento_desc"]
+
+
 # ------------------------------------------------------------- A: profile
 
 def q2_first_look(df: DataFrame, k: int = 15) -> DataFrame:
     """Top-15 frequency of seven key columns (NULL group included), one scan."""
-    cols = ["uf_desc", "sexo_desc", "escolaridade_desc", "FaixaRendimento_desc", M,
-            "Febre_desc", "ProcurouAtendimento_desc"]
-    t = freq.multi_value_counts(df, cols, with_pct=False)
+    return most_frequent(freq.multi_value_counts(df, FIRST_LOOK, with_pct=False), k)
+
+
+def most_frequent(t: DataFrame, k: int = 15) -> DataFrame:
+    """The k most frequent values of each measure, from (measure, value, n)."""
     rk = F.row_number().over(Window.partitionBy("measure").orderBy(F.desc("n"), F.asc_nulls_last("value")))
     return t.withColumn("rk", rk).where(F.col("rk") <= k).select("measure", "value", "n", "rk")
 

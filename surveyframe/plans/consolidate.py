@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import month_start
 from ..schema import CONSOLIDATED_COLUMNS, MONTH_COLUMN, PROCESSED_COLUMNS
+from ..operators.coded import counted_labels
 from ..operators.decode import decode
 from ..sources.dims import all_dims, dim_sizes
 from ..sources.raw import raw_from_dir, stack
@@ -47,3 +48,8 @@ def consolidated(spark: SparkSession, raw_months: list[DataFrame],
 def survey(spark: SparkSession, sf_dir: str, only: list[str] | None = None) -> DataFrame:
     """Consolidated survey over the synthetic raw rows derived from ``lineitem``."""
     return consolidated(spark, [raw_from_dir(spark, sf_dir)], only=only)
+
+
+def survey_counts(spark: SparkSession, sf_dir: str, labels: list[str]) -> DataFrame:
+    """The survey's labels, counted on codes and decoded after; frequency operators take it like the survey itself."""
+    return counted_labels(raw_from_dir(spark, sf_dir), all_dims(spark), labels, dim_sizes())

@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import lenient_date, lenient_number
-from ..operators import distribution, filters, freq, profile, rates, stats
+from ..functions.columns import lenient_date, lenient_number, month_start, zero_pad
+from ..operators import coded, distribution, filters, freq, profile, rates, stats
 from ..operators.decode import decode, label
 from ..schema import CONSOLIDATED_COLUMNS, DASHBOARD_COLUMNS, INCOME_BAND_ORDER, MONTH_COLUMN, PROCESSED_COLUMNS
 from ..sources.dims import all_dims, bounded_broadcast, dim_sizes
 from ..sources.raw import raw_from_dir, stack
 from . import analyses as A
-from .consolidate import consolidated, survey
+from .consolidate import consolidated, survey, survey_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 M = MONTH_COLUMN
@@ -35,6 +35,11 @@ def _on_survey(fn, cols: list[str]) -> Query:
     return lambda spark, sf_dir: fn(survey(spark, sf_dir, only=cols))
 
 
+def _on_counts(fn, labels: list[str]) -> Query:
+    """An analysis of frequencies: rows are counted on codes, the combinations that occur are decoded."""
+    return lambda spark, sf_dir: fn(survey_counts(spark, sf_dir, labels))
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Final projection of a registered result into engine-neutral types.
 
@@ -121,10 +126,24 @@ def hist_age_20_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def freq_rendimento_all_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J6: every band of the order, those that no informed row has with 0."""
-    df = filters.informed(survey(spark, sf_dir, only=["FaixaRendimento_desc"]), "FaixaRendimento_desc")
+    df = filters.informed(survey_counts(spark, sf_dir, ["FaixaRendimento_desc"]), "FaixaRendimento_desc")
     return freq.ordered_counts(df, "FaixaRendimento_desc", INCOME_BAND_ORDER, keep_absent=True)
 
 
+def first_look_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: the most frequent values of seven columns, counted on codes."""
+    month = month_start(F.col("Ano"), F.col("V1013")).cast("string")
+    labels = [c for c in A.FIRST_LOOK if c != M]
+    return A.most_frequent(coded.label_counts(raw_from_dir(spark, sf_dir), labels, [(M, month)]))
+
+
+def describe_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A14 over all labels and the income band's code, counted on codes."""
+    band = zero_pad(F.col("C01011").cast("bigint"))
+    counts = coded.label_counts(raw_from_dir(spark, sf_dir), [c for c in TEXT if c.endswith("_desc")], [("FaixaRendimento_cod_str", band)])
+    return profile.summary_of_counts(counts.where("value is not null").withColumnRenamed("measure", "column"))
+
+
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A15 on codes: labels have a default and are never NULL, so none is joined."""
     codes = [c for c in CONSOLIDATED_COLUMNS if not c.endswith("_desc")]
@@ -206,27 +225,25 @@ _QUERIES: dict[str, Query] = {
     "survey_consolidated_counts": survey_consolidated_counts,
     "scan_pruned_filtered": scan_pruned_filtered,
     # profile / frequency family
-    "first_look_top15": _on_survey(A.q2_first_look, ["uf_desc", "sexo_desc", "escolaridade_desc",
-                                                     "FaixaRendimento_desc", M, "Febre_desc",
-                                                     "ProcurouAtendimento_desc"]),
-    "freq_uf_top15": _on_survey(A.qa1_uf_top, ["uf_desc"]),
-    "freq_sexo": _on_survey(A.qa3_sexo, ["sexo_desc"]),
-    "freq_cor_raca": _on_survey(A.qa4_cor_raca, ["cor_raca_desc"]),
-    "freq_escolaridade_ordered": _on_survey(A.qa5_escolaridade, ["escolaridade_desc"]),
-    "freq_rendimento_ordered": _on_survey(A.qa6_rendimento, ["FaixaRendimento_desc"]),
-    "freq_ocupacao_informed": _on_survey(A.qa8_ocupacao_informed, ["PosicaoOcupacao_desc"]),
-    "freq_trabalhou": _on_survey(A.qc1_trabalhou, ["Trabalhou_desc"]),
-    "away_yes_no": _on_survey(A.qc2_away_yes_no, ["AfastadoTrabalho_desc"]),
-    "away_all_top5": _on_survey(A.qc2_away_all_top5, ["AfastadoTrabalho_desc"]),
+    "first_look_top15": first_look_top15,
+    "freq_uf_top15": _on_counts(A.qa1_uf_top, ["uf_desc"]),
+    "freq_sexo": _on_counts(A.qa3_sexo, ["sexo_desc"]),
+    "freq_cor_raca": _on_counts(A.qa4_cor_raca, ["cor_raca_desc"]),
+    "freq_escolaridade_ordered": _on_counts(A.qa5_escolaridade, ["escolaridade_desc"]),
+    "freq_rendimento_ordered": _on_counts(A.qa6_rendimento, ["FaixaRendimento_desc"]),
+    "freq_ocupacao_informed": _on_counts(A.qa8_ocupacao_informed, ["PosicaoOcupacao_desc"]),
+    "freq_trabalhou": _on_counts(A.qc1_trabalhou, ["Trabalhou_desc"]),
+    "away_yes_no": _on_counts(A.qc2_away_yes_no, ["AfastadoTrabalho_desc"]),
+    "away_all_top5": _on_counts(A.qc2_away_all_top5, ["AfastadoTrabalho_desc"]),
     "away_active_not_working": _on_survey(A.qc21_away_active_not_working,
                                           ["Idade", "Trabalhou_desc", "AfastadoTrabalho_desc"]),
     "ocupacao_weighted": _on_survey(A.qc3_ocupacao_weighted, ["PosicaoOcupacao_desc", "Peso_Amostral"]),
-    "freq_rendimento_informed": _on_survey(A.qc4_rendimento_informed, ["FaixaRendimento_desc"]),
-    "freq_auxilio": _on_survey(A.qc5_auxilio, ["AuxilioEmergencial_desc"]),
+    "freq_rendimento_informed": _on_counts(A.qc4_rendimento_informed, ["FaixaRendimento_desc"]),
+    "freq_auxilio": _on_counts(A.qc5_auxilio, ["AuxilioEmergencial_desc"]),
     # clinical
-    "symptom_prevalence": _on_survey(A.qb1_symptom_prevalence, SYM),
-    "care_among_symptomatic": _on_survey(A.qb2_care_among_symptomatic, SYM + ["ProcurouAtendimento_desc"]),
-    "hosp_among_care": _on_survey(A.qb3_hosp_among_care,
+    "symptom_prevalence": _on_counts(A.qb1_symptom_prevalence, SYM),
+    "care_among_symptomatic": _on_counts(A.qb2_care_among_symptomatic, SYM + ["ProcurouAtendimento_desc"]),
+    "hosp_among_care": _on_counts(A.qb3_hosp_among_care,
                                   SYM + ["ProcurouAtendimento_desc", "InternadoHospital_desc"]),
     "crosstab_plan_care": _on_survey(A.qb4_plan_x_care, SYM + ["PlanoSaude_desc", "ProcurouAtendimento_desc"]),
     # trends
@@ -254,7 +271,7 @@ _QUERIES: dict[str, Query] = {
     "box_income": _on_survey(A.qa7_income_box, INCOME),
     # table profiles
     "describe_numeric_all": lambda spark, sf: stats.describe_numeric(survey(spark, sf, only=NUMERIC), NUMERIC),
-    "describe_categorical": lambda spark, sf: A.profile.describe_categorical(survey(spark, sf, only=TEXT)),
+    "describe_categorical": describe_categorical,
     "completeness": completeness,
     "sample_first_last": sample_first_last,
     # observed answers, absent categories, shares before the filter, dashboard filters
@@ -262,7 +279,7 @@ _QUERIES: dict[str, Query] = {
     "freq_priority_fallback": freq_priority_fallback,
     "crosstab_priority_status_long": crosstab_priority_status_long,
     "month_fever_answers_long": _on_survey(lambda df: rates.answer_shares(df, M, "Febre_desc"), [M, "Febre_desc"]),
-    "trabalhou_yes_no": _on_survey(A.qc1_trabalhou_yes_no, ["Trabalhou_desc"]),
+    "trabalhou_yes_no": _on_counts(A.qc1_trabalhou_yes_no, ["Trabalhou_desc"]),
     "away_active_yes_no": _on_survey(A.qc21_away_active_yes_no, ["Idade", "Trabalhou_desc", "AfastadoTrabalho_desc"]),
     "freq_sexo_filtered": freq_sexo_filtered,
     "hist_age_20_filtered": hist_age_20_filtered,

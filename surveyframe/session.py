@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark import SparkConf, SparkContext
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -49,3 +51,19 @@ def launcher_unset(conf: dict[str, str]) -> dict[str, str]:
     running = SparkContext._active_spark_context
     launched = running.getConf() if running else SparkConf()
     return {k: v for k, v in conf.items() if not launched.contains(k)}
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read from there from now on.
+
+    The folder is the session's ``spark.checkpoint.dir``; only a local session without that setting gets a scratch folder.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir is not set; a cluster needs a shared folder")
+            folder = tempfile.mkdtemp(prefix="surveyframe-checkpoint-")
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()
