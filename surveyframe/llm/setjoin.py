@@ -278,8 +278,10 @@ def split_by_ids(rows: DataFrame, ids: DataFrame, most_blocks: int = FILTER_BLOC
     def probe(it):
         target = to_arrow_schema(schema)
         for b in it:
-            at, bits = _id_bits(b.column("uid").to_numpy(), blocks)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array((sent.value[at] & bits) == bits)], schema=target)
+            for s in range(0, b.num_rows, 512):  # small batches on the way back: the rows hold whole texts
+                part = b.slice(s, 512)
+                at, bits = _id_bits(part.column("uid").to_numpy(), blocks)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array((sent.value[at] & bits) == bits)], schema=target)
 
     marked = rows.mapInArrow(probe, schema)
     return marked.where("__maybe").drop("__maybe"), marked.where("not __maybe").drop("__maybe")
