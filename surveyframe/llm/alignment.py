@@ -12,12 +12,12 @@ loaded), so both tokenizers cut there and a group ends there. Pieces repeat, so
 distinct ones of some megabytes of text are encoded and aligned in one go. A text with a
 piece whose bytes do not come back is encoded whole.
 
-Counting comes first: how many documents hold an id pair linked, each document's
-pairs being counted once and summed in every task before the shuffle. Then every
-document looks its pairs up. The counts are broadcast in blocks of at most
-``BLOCK_PAIRS`` pairs; with more than one block the documents are stored under a row
-id and looked up block by block, sums being added by that id. So no broadcast grows
-with the data, and a pair that most documents hold is never a join key.
+Texts are encoded and aligned once: every document is stored with its digest and its
+distinct pairs, each with the number of its links. How many documents hold a pair is
+counted from that table, summed in every task before the shuffle. Then every document
+looks its pairs up. The counts are broadcast in blocks of at most ``BLOCK_PAIRS`` pairs;
+with more than one block each document's sums are added by a row id. So no broadcast
+grows with the data, and a pair that most documents hold is never a join key.
 
 Defined results: texts that are null, empty or whose bytes do not come back from both
 tokenizers have no tokens: zeros and an empty digest. Every row is a document, also a
@@ -30,13 +30,14 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stored, text_chunks
+from .common import drop_stored, map_arrow, stored, text_chunks
 
-#: Parameters: pairs of a broadcast block, pairs a counting task holds.
-BLOCK_PAIRS, HELD = 1 << 21, 1 << 20
+#: Parameters: pairs of a broadcast block, bytes of text aligned in one go.
+BLOCK_PAIRS, CHUNK_TEXT = 1 << 21, 1 << 22
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _SPACE = "▁"
 
@@ -143,7 +144,7 @@ class Chunk:
             every = [p for c in cut for p in c]
         size = np.array([len(c) for c in cut], np.int64)
         self.doc = np.repeat(np.arange(len(texts)), size)
-        self.place = np.fromiter((self.at[p] for c in cut for p in c), np.int64, int(size.sum()))
+        self.place = np.fromiter(map(self.at.__getitem__, every), np.int64, len(every))
         self.ok = np.zeros(len(texts), bool)
         self.ok[self.doc] = self.fine[self.place]
 
@@ -186,16 +187,23 @@ class Chunk:
     def per_text(self, by_piece: np.ndarray, texts: int) -> np.ndarray:
         return np.bincount(self.doc, weights=by_piece[self.place], minlength=texts).astype(np.int64)
 
-    def holders(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct pairs and in how many of the texts each is linked."""
+    def pairs(self, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct pairs of each text in order, how many links are of each, and where each text's pairs begin
+        (with the end of the last one's)."""
         pair, code = np.unique(self.pair, return_inverse=True)
-        used = np.unique(self.doc * len(self.at) + self.place) if len(self.place) else np.zeros(0, np.int64)
-        doc, piece = used // max(1, len(self.at)), used % max(1, len(self.at))
+        pieces, kinds = max(1, len(self.at)), max(1, len(pair))
+        used, often = np.unique(self.doc * pieces + self.place, return_counts=True)
+        doc, piece = used // pieces, used % pieces
         begin = np.searchsorted(self.owner, np.arange(len(self.at) + 1))
         n = np.diff(begin)[piece]
         at = np.arange(int(n.sum())) + np.repeat(begin[piece] - (np.cumsum(n) - n), n)
-        held = np.unique(np.repeat(doc, n) * max(1, len(pair)) + code[at]) % max(1, len(pair))
-        return pair, np.bincount(held, minlength=len(pair))
+        key = np.repeat(doc, n) * kinds + code[at]
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        times = np.add.reduceat(np.repeat(often, n)[order], first) if len(first) else np.zeros(0, np.int64)
+        key = key[first]
+        return pair[key % kinds], times, np.searchsorted(key, np.arange(texts + 1) * kinds)
 
     def group_texts(self, tok: Pair) -> list[str]:
         """Per piece its groups as text, each followed by a semicolon."""
@@ -217,104 +225,94 @@ class Chunk:
         return [words[s:e] for s, e in zip((ends - width).tolist(), ends.tolist())]
 
 
-CHUNK_TEXT = 1 << 21
+SCALARS = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def _count(files):
-    """(pair, n): documents of the task that hold the pair linked."""
+def _aligned(rows: DataFrame, files: tuple) -> DataFrame:
+    """Per document its counts and digest, its distinct pairs and the links of each."""
 
     def run(it):
-        tok, held = Pair(*files), []
-
-        def summed():
-            if not held:
-                return np.zeros(0, np.int64), np.zeros(0, np.int64)
-            pair, code = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            return pair, np.bincount(code, weights=np.concatenate([h[1] for h in held]), minlength=len(pair)).astype(np.int64)
-
-        for _, texts in text_chunks(it, "text", CHUNK_TEXT):
-            held.append(Chunk(tok, texts).holders())
-            if sum(len(h[0]) for h in held) > HELD:
-                pair, n = summed()
-                if 2 * len(pair) > HELD:
-                    yield {"pair": pair, "n": n}
-                    held = []
-                else:
-                    held = [(pair, n)]
-        pair, n = summed()
-        yield {"pair": pair, "n": n}
-
-    return run
-
-
-def pair_counts(docs: DataFrame, files: tuple) -> DataFrame:
-    """(pair, n, best): documents that hold the id pair linked, and whether no pair of its A id has more."""
-    n = map_arrow(docs.select("text"), _count(files), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    n = stored(n, "pair-counts")
-    a = F.shiftright("pair", 32)
-    most = n.groupBy(a.alias("a")).agg(F.max("n").alias("most"))  # at most as many rows as the vocabulary has ids
-    return n.join(F.broadcast(most), a == F.col("a")).select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
-
-
-ALIGNED = ("n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
-
-
-def _look_up(files, block, key: str):
-    """Per document the columns ALIGNED, with the counts of one block of pairs."""
-
-    def run(it):
-        pair, n, best = block.value
         tok = Pair(*files)
         for b, texts in text_chunks(it, "text", CHUNK_TEXT):
             c = Chunk(tok, texts)
-            if len(pair):
-                at = np.minimum(np.searchsorted(pair, c.pair), len(pair) - 1)
-                hit = pair[at] == c.pair
-                times, top = np.where(hit, n[at], 0), hit & best[at]
-            else:
-                times = top = np.zeros(len(c.pair), np.int64)
-            by_piece = [c.n_a, c.n_b, c.n_groups, c.n_links,
-                        *(np.bincount(c.owner, weights=w, minlength=len(c.at)).astype(np.int64) for w in (top, times))]
-            out = dict(zip(("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"), (c.per_text(x, len(texts)) for x in by_piece)))
+            out = {x: c.per_text(getattr(c, x), len(texts)) for x in SCALARS}
             strings, ends = c.group_texts(tok), np.searchsorted(c.doc, np.arange(len(texts) + 1)).tolist()
             place = c.place.tolist()
             out["groups_sha256"] = [hashlib.sha256("".join([strings[k] for k in place[s:e]])[:-1].encode()).hexdigest() if ok else ""
                                     for ok, s, e in zip(c.ok.tolist(), ends, ends[1:])]
-            yield {key: b.column(key)} | out
+            pair, times, begin = c.pairs(len(texts))
+            begin = pa.array(begin, pa.int32())
+            yield {"doc_id": b.column("doc_id"), "pairs": pa.ListArray.from_arrays(begin, pa.array(pair, pa.int64())),
+                   "times": pa.ListArray.from_arrays(begin, pa.array(times, pa.int64()))} | out
 
-    return run
+    return map_arrow(rows, run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
+                                "pairs array<long>, times array<long>")
+
+
+def pair_counts(aligned: DataFrame) -> DataFrame:
+    """The stored (pair, n, best): documents that hold the id pair linked, and whether no pair of its A id has more."""
+    n = stored(aligned.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n")), "pair-counts")
+    a = F.shiftright("pair", 32)
+    most = n.groupBy(a.alias("a")).agg(F.max("n").alias("most"))  # at most as many rows as the vocabulary has ids
+    out = stored(n.join(F.broadcast(most), a == F.col("a")).select("pair", "n", (F.col("n") == F.col("most")).alias("best")), "pairs")
+    drop_stored(n)
+    return out
+
+
+def _looked_up(aligned: DataFrame, keep: str, block) -> DataFrame:
+    """The columns ``keep`` of every document and its sums over the pairs of one block."""
+    names = [c.split()[0] for c in keep.split(", ")]
+
+    def run(it):
+        pair, n, best = block.value
+        for batch in it:
+            for s in range(0, batch.num_rows, 1024):
+                b = batch.slice(s, 1024)
+                mine, times = (b.column(c).flatten().to_numpy() for c in ("pairs", "times"))
+                ends = np.cumsum(b.column("pairs").value_lengths().to_numpy())
+                at = np.minimum(np.searchsorted(pair, mine), len(pair) - 1)
+                links = np.where(pair[at] == mine, times, 0)
+                out = {c: b.column(c) for c in names}
+                for c, weight in (("n_best", best), ("count_sum", n)):
+                    total = np.concatenate(([0], np.cumsum(links * weight[at])))
+                    out[c] = np.diff(total[ends], prepend=0)
+                yield out
+
+    return map_arrow(aligned.select(*names, "pairs", "times"), run, f"{keep}, n_best long, count_sum long")
 
 
 def align(docs: DataFrame, json_file: str, model_file: str, block_pairs: int = BLOCK_PAIRS, ranks_file: str | None = None,
           pattern: str | None = None) -> DataFrame:
-    """``ranks_file`` and ``pattern``: the vocabulary of ``json_file`` as ranks, which encodes the same faster.
+    """Per document: doc_id, tokens of both sides, groups, links, links of the best pairs, sum of counts, digest.
 
-    Per document: doc_id, tokens of both sides, groups, links, links of the best pairs, sum of counts, digest."""
+    ``ranks_file`` and ``pattern``: the vocabulary of ``json_file`` as ranks, which encodes the same faster."""
     spark = docs.sparkSession
-    files = (json_file, model_file, ranks_file, pattern)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counts = stored(pair_counts(rows, files), "pairs")
-    blocks = -(-counts.count() // block_pairs)
+    aligned = _aligned(rows, (json_file, model_file, ranks_file, pattern))
+    aligned = stored(aligned.withColumn("row", F.monotonically_increasing_id()), "aligned")
+    counts = pair_counts(aligned)
+    blocks = max(1, -(-counts.count() // block_pairs))
 
     def block(i: int):
         # The pairs of a block are those with one remainder of their hash, about block_pairs of them.
         t = counts.where(F.pmod(F.xxhash64("pair"), F.lit(blocks)) == i).toArrow()
-        order = np.argsort(t.column("pair").to_numpy(), kind="stable")
+        order = np.argsort(t.column("pair").to_numpy())
         return spark.sparkContext.broadcast(tuple(t.column(c).to_numpy()[order] for c in ("pair", "n", "best")))
 
-    if blocks <= 1:
-        return map_arrow(rows, _look_up(files, block(0) if blocks else spark.sparkContext.broadcast(
-            (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))), "doc_id"), f"doc_id long, {ALIGNED}")
-    keyed = stored(rows.withColumn("row", F.monotonically_increasing_id()), "aligned-docs")
-    parts = None
-    for i in range(blocks):
-        part = map_arrow(keyed.select("row", "text"), _look_up(files, block(i), "row"), f"row long, {ALIGNED}")
-        part = stored(part, "aligned-block")
-        parts = part if parts is None else parts.union(part)
-    same = [F.first(c).alias(c) for c in ("n_a", "n_b", "n_groups", "n_links")]
-    sums = [F.sum(c).alias(c) for c in ("n_best", "count_sum")]
-    total = parts.groupBy("row").agg(*same, *sums, F.first("groups_sha256").alias("groups_sha256"))
-    return keyed.select("row", "doc_id").join(total, "row").drop("row")
+    scalars = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
+    if blocks == 1:
+        out = _looked_up(aligned, scalars, block(0))
+    else:
+        parts = None
+        for i in range(blocks):
+            sent = block(i)
+            part = stored(_looked_up(aligned, "row long", sent), "aligned-block")
+            sent.unpersist()
+            parts = part if parts is None else parts.union(part)
+        total = parts.groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+        out = aligned.drop("pairs", "times").join(total, "row").drop("row")
+    drop_stored(counts)
+    return out
 
 
 def op13_query(docs: DataFrame) -> DataFrame:
