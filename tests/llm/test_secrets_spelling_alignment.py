@@ -288,6 +288,12 @@ def test_alignment_in_blocks(spark, files, small_rows):
     check_alignment(spark, small_rows[:60] + ODD, files, block_pairs=500)
 
 
+def test_alignment_many_rows_in_a_task(spark, files):
+    rows = [(i, f"word{i % 7} same words{' here' * (i % 5)}" if i % 11 else None) for i in range(2500)]
+    got = alignment.align(docs_of(spark, rows).coalesce(1), *files).select(*COLUMNS).collect()
+    assert sorted([tuple(r) for r in got], key=str) == plain_alignment(rows, files)
+
+
 def test_alignment_empty_and_clashing(spark, files):
     assert alignment.op13_query(docs_of(spark, [])).count() == 0
     got = alignment.align(clashing(spark, [(1, "a b"), (1, "a b"), (2, None)]), *files).select(*COLUMNS).collect()
