@@ -131,6 +131,23 @@ SELECT COUNT(*) AS n, ROUND(ANY_VALUE(q1), 6) AS q1, ROUND(ANY_VALUE(med), 6) AS
 FROM x CROSS JOIN qq"""
 
 
+def kde(pre: str, xcte: str, bins: int) -> str:
+    """Every distinct value against every one of 200 grid points, Scott's bandwidth."""
+    return f"""{pre}{',' if pre else 'WITH'} {xcte},
+st AS (SELECT COUNT(*) AS n, STDDEV_SAMP(x) AS sd, MIN(x) AS mn, MAX(x) AS mx FROM x),
+p AS (SELECT n, mn, mx, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st),
+vc AS (SELECT x, COUNT(*) AS c FROM x GROUP BY x),
+g AS (SELECT CAST(range AS INTEGER) AS i FROM range(200)),
+k AS (SELECT g.i, SUM(vc.c * exp(-0.5 * ((p.mn + g.i * ((p.mx - p.mn) / 199) - vc.x) / p.h)
+                                        * ((p.mn + g.i * ((p.mx - p.mn) / 199) - vc.x) / p.h))) AS s
+      FROM g CROSS JOIN vc CROSS JOIN p GROUP BY g.i)
+SELECT k.i, ROUND(p.mn + k.i * ((p.mx - p.mn) / 199), 9) AS x,
+       ROUND(k.s / (CAST(p.n AS DOUBLE) * p.h * sqrt(2 * pi())), 9) AS density,
+       ROUND(k.s / (CAST(p.n AS DOUBLE) * p.h * sqrt(2 * pi())) * CAST(p.n AS DOUBLE) * (p.mx - p.mn) / {bins}, 6)
+         AS count_density
+FROM k CROSS JOIN p WHERE p.h > 0"""
+
+
 def describe_one(col: str, src: str, label: str | None = None, expr: str | None = None) -> str:
     e = expr or col
     head = f"{q(label)} AS \"column\", " if label else ""
@@ -204,8 +221,8 @@ WHERE PosicaoOcupacao_desc IS DISTINCT FROM 'Não Informado' GROUP BY PosicaoOcu
 SELECT AfastadoTrabalho_desc, COUNT(*) AS n FROM survey GROUP BY 1 ORDER BY n DESC, 1 LIMIT 5""",
     "away_active_not_working": freq_pct("AfastadoTrabalho_desc", "Idade >= 14 AND Trabalhou_desc = 'Não'"),
     "ocupacao_weighted": f"""{PRE}
-SELECT PosicaoOcupacao_desc, n, {pctx('n', 'SUM(n) OVER ()')} AS pct, ROUND(w, 2) AS populacao_estimada
-FROM (SELECT PosicaoOcupacao_desc, COUNT(*) AS n, SUM(Peso_Amostral) AS w FROM survey
+SELECT PosicaoOcupacao_desc, n, {pctx('n', 'SUM(n) OVER ()')} AS pct, CAST(w AS DOUBLE) / pow(2.0, 80) AS populacao_estimada
+FROM (SELECT PosicaoOcupacao_desc, COUNT(*) AS n, SUM(CAST(Peso_Amostral * pow(2.0, 80) AS HUGEINT)) AS w FROM survey
       WHERE PosicaoOcupacao_desc IS DISTINCT FROM 'Não Informado' GROUP BY 1) t""",
     "freq_rendimento_informed": ordered("FaixaRendimento_desc", INCOME_BAND_INFORMED_ORDER,
                                         "FaixaRendimento_desc IS DISTINCT FROM 'Não Informado'"),
@@ -260,19 +277,8 @@ SELECT t.*, o.ord FROM t JOIN {values_table('FaixaRendimento_desc', INCOME_BAND_
     "describe_age": f"{PRE}\n" + describe_one("Idade", "survey"),
     "hist_age_30": hist(PRE, num("Idade", "survey"), 30),
     "hist_age_20": hist(PRE, num("Idade", "survey"), 20),
-    "kde_age": f"""{PRE}, {num('Idade', 'survey')},
-st AS (SELECT COUNT(*) AS n, STDDEV_SAMP(x) AS sd, MIN(x) AS mn, MAX(x) AS mx FROM x),
-p AS (SELECT n, mn, mx, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st),
-vc AS (SELECT x, COUNT(*) AS c FROM x GROUP BY x),
-g AS (SELECT CAST(range AS INTEGER) AS i FROM range(200)),
-k AS (SELECT g.i, SUM(vc.c * exp(-0.5 * ((p.mn + g.i * ((p.mx - p.mn) / 199) - vc.x) / p.h)
-                                        * ((p.mn + g.i * ((p.mx - p.mn) / 199) - vc.x) / p.h))) AS s
-      FROM g CROSS JOIN vc CROSS JOIN p GROUP BY g.i)
-SELECT k.i, ROUND(p.mn + k.i * ((p.mx - p.mn) / 199), 9) AS x,
-       ROUND(k.s / (CAST(p.n AS DOUBLE) * p.h * sqrt(2 * pi())), 9) AS density,
-       ROUND(k.s / (CAST(p.n AS DOUBLE) * p.h * sqrt(2 * pi())) * CAST(p.n AS DOUBLE) * (p.mx - p.mn) / 30, 6)
-         AS count_density
-FROM k CROSS JOIN p WHERE p.h > 0""",
+    "kde_age": kde(PRE, num("Idade", "survey"), 30),
+    "kde_extendedprice": kde("", num("l_extendedprice", "lineitem"), 30),
     "box_age": box(PRE, num("Idade", "survey")),
     "describe_income": f"{PRE}, {num('TRY_CAST(RendimentoHabitual_Valor AS DOUBLE)', 'survey')}\n"
                        + describe_one("x", "x"),

@@ -12,6 +12,9 @@ from ..schema import MONTH_COLUMN, MONTH_LABELS, NO, NOT_INFORMED, SYMPTOMS, YES
 
 ALL = "Todos"
 
+#: A frame with this column has the answer of ``symptomatic`` in it.
+SYMPTOMATIC = "__symptomatic"
+
 
 def equals(df: DataFrame, col: str, value) -> DataFrame:
     """Rows where ``col`` equals ``value`` (NULL never matches)."""
@@ -33,6 +36,8 @@ def drop_null(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def symptomatic(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """People who answered 'Sim' to at least one of the main symptoms."""
+    if cols is None and SYMPTOMATIC in df.columns:
+        return df.where(SYMPTOMATIC)
     return df.where(any_answer(list(cols or SYMPTOMS.values()), YES))
 
 

@@ -15,15 +15,26 @@ from pyspark.sql import types as T
 
 from ..functions.columns import is_answer, measure_name, pct
 from ..sources.dims import inline_table
+from .exact import exact_sums
 
 
 #: A frame with this column stands for a longer one: each of its rows for so many equal rows.
 COUNT = "__n"
 
 
+def counted(df: DataFrame) -> list[str]:
+    """The count column, where the frame has one: what a projection has to keep."""
+    return [COUNT] if COUNT in df.columns else []
+
+
 def rows_of(df: DataFrame) -> Column:
     """The number of rows of a group, also where rows are counted already."""
-    return F.sum(COUNT) if COUNT in df.columns else F.count(F.lit(1))
+    return F.coalesce(F.sum(COUNT), F.lit(0)) if COUNT in df.columns else F.count(F.lit(1))
+
+
+def rows_where(df: DataFrame, cond: Column) -> Column:
+    """The number of a group's rows that meet ``cond``, also where rows are counted already."""
+    return F.coalesce(F.sum(F.when(cond, F.col(COUNT))), F.lit(0)) if COUNT in df.columns else F.count_if(cond)
 
 
 def _ordered(df: DataFrame, key: str, count_col: str = "n") -> DataFrame:
@@ -54,8 +65,7 @@ def value_counts_pct(df: DataFrame, col: str, weight: str | None = None) -> Data
     With ``weight`` the measure is the sum of that column (a population
     estimate) instead of the row count, and the percent is of the weight total.
     """
-    m = F.sum(F.col(weight).cast(T.DoubleType())) if weight else rows_of(df)
-    counts = df.groupBy(col).agg(m.alias("n"))
+    counts = exact_sums(df, [col], weight, "n") if weight else df.groupBy(col).agg(rows_of(df).alias("n"))
     return _ordered(counts.select(col, "n", share_of_total(counts).alias("pct")), col)
 
 
@@ -73,10 +83,9 @@ def multi_value_counts(df: DataFrame, cols: list[str], names: list[str] | None =
     the percent is within each measure (all rows, NULL included).
     """
     names = names or cols
-    counted = [COUNT] if COUNT in df.columns else []
-    stacked = df.select(*counted, F.explode(F.array(*[
+    stacked = df.select(*counted(df), F.explode(F.array(*[
         F.struct(F.lit(nm).alias(measure), F.col(c).cast(T.StringType()).alias(value))
-        for nm, c in zip(names, cols)])).alias("__s")).select(*counted, "__s.*")
+        for nm, c in zip(names, cols)])).alias("__s")).select(*counted(df), "__s.*")
     counts = stacked.groupBy(measure, value).agg(rows_of(stacked).alias("n"))
     if not with_pct:
         return counts.orderBy(F.asc(measure), F.desc("n"), F.asc_nulls_last(value))
@@ -121,11 +130,11 @@ def ordered_counts(df: DataFrame, col: str, order: list[str], keep_absent: bool
 
 def weighted_totals(df: DataFrame, col: str, weight: str, alias: str = "weighted_total",
                     decimals: int | None = None) -> DataFrame:
-    """Sum of a weight per category, largest first -> (col, weighted_total)."""
-    s = F.sum(F.col(weight).cast(T.DoubleType()))
+    """Exact sum of a weight per category, whatever the partitioning, largest first -> (col, weighted_total)."""
+    sums = exact_sums(df, [col], weight, alias)
     if decimals is not None:
-        s = F.round(s, decimals)
-    return df.groupBy(col).agg(s.alias(alias)).orderBy(F.desc(alias), F.asc_nulls_last(col))
+        sums = sums.withColumn(alias, F.round(alias, decimals))
+    return sums.orderBy(F.desc(alias), F.asc_nulls_last(col))
 
 
 def count_answers(df: DataFrame, cols: list[str], answer: str = "Sim",
@@ -135,7 +144,7 @@ def count_answers(df: DataFrame, cols: list[str], answer: str = "Sim",
     One aggregation with one conditional count per column, then unpivot;
     the measure name is the column name without its '_desc' suffix.
     """
-    agg = df.agg(*[F.count_if(is_answer(c, answer)).alias(c) for c in cols])
+    agg = df.agg(*[rows_where(df, is_answer(c, answer)).alias(c) for c in cols])
     long = agg.unpivot([], cols, "__col", alias)
     return (long.select(measure_name(F.col("__col")).alias(measure), F.col(alias).cast(T.LongType()).alias(alias))
             .orderBy(F.desc(alias), F.asc(measure)))

@@ -14,18 +14,19 @@ from pyspark.sql import types as T
 from ..functions.columns import is_answer, pct
 from ..schema import YES
 from ..sources.dims import inline_table
+from .freq import rows_of, rows_where
 
 
-def _num(cond: Column, weight: str | None) -> Column:
+def _num(df: DataFrame, cond: Column, weight: str | None) -> Column:
     """Rows (or total weight) meeting ``cond``."""
     if weight is None:
-        return F.count_if(cond)
+        return rows_where(df, cond)
     return F.coalesce(F.sum(F.when(cond, F.col(weight).cast(T.DoubleType()))), F.lit(0.0))
 
 
-def _den(col: Column, weight: str | None) -> Column:
+def _den(df: DataFrame, col: Column, weight: str | None) -> Column:
     """Rows (or total weight) where ``col`` is not NULL."""
-    return _num(col.isNotNull(), weight) if weight else F.count(col)
+    return _num(df, col.isNotNull(), weight)
 
 
 def answer_rates(df: DataFrame, group: str, cols: list[str], names: list[str] | None = None,
@@ -42,7 +43,7 @@ def answer_rates(df: DataFrame, group: str, cols: list[str], names: list[str] |
     aggs, dens = [], []
     for c, nm in zip(cols, names):
         num, den = f"__num_{nm}", f"__den_{nm}"
-        aggs += [_num(is_answer(c, answer), weight).alias(num), _den(F.col(c), weight).alias(den)]
+        aggs += [_num(df, is_answer(c, answer), weight).alias(num), _den(df, F.col(c), weight).alias(den)]
         dens.append(den)
     g = df.where(F.col(group).isNotNull()).groupBy(group).agg(*aggs)
     g = g.where(sum((F.col(d) for d in dens[1:]), F.col(dens[0])) > 0)
@@ -57,8 +58,8 @@ def group_shares(df: DataFrame, group: str, col: str, values: list[str]) -> Data
     Denominator: rows of the group with a non-null ``col``; absent -> 0.0.
     """
     base = df.where(F.col(group).isNotNull())
-    aggs = [F.count_if(F.col(col) == F.lit(v)).alias(f"__n{i}") for i, v in enumerate(values)]
-    g = base.groupBy(group).agg(F.count(F.col(col)).alias("__den"), *aggs).where(F.col("__den") > 0)
+    aggs = [rows_where(df, F.col(col) == F.lit(v)).alias(f"__n{i}") for i, v in enumerate(values)]
+    g = base.groupBy(group).agg(_den(df, F.col(col), None).alias("__den"), *aggs).where(F.col("__den") > 0)
     return g.select([F.col(group)] + [pct(F.col(f"__n{i}"), F.col("__den")).alias(v)
                                       for i, v in enumerate(values)]).orderBy(group)
 
@@ -70,7 +71,7 @@ def answer_shares(df: DataFrame, group: str, col: str, weight: str | None = None
     The group totals are summed over the aggregated rows, one per (group, answer).
     """
     base = df.where(F.col(group).isNotNull() & F.col(col).isNotNull())
-    counts = base.groupBy(group, col).agg(_num(F.lit(True), weight).alias("n"))
+    counts = base.groupBy(group, col).agg(_num(df, F.lit(True), weight).alias("n"))
     total = F.sum("n").over(Window.partitionBy(group))
     return (counts.select(group, col, "n", pct(F.col("n"), total).alias("pct"))
             .orderBy(F.asc(group), F.desc("n"), F.asc(col)))
@@ -87,8 +88,8 @@ def crosstab_pct(df: DataFrame, row: str, col: str, col_values: list[str],
     ``weight`` gives population-weighted row percentages.
     """
     base = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
-    aggs = [_num(F.col(col) == F.lit(v), weight).alias(f"__n{i}") for i, v in enumerate(col_values)]
-    g = base.groupBy(row).agg(_num(F.lit(True), weight).alias("__tot"), *aggs)
+    aggs = [_num(df, F.col(col) == F.lit(v), weight).alias(f"__n{i}") for i, v in enumerate(col_values)]
+    g = base.groupBy(row).agg(_num(df, F.lit(True), weight).alias("__tot"), *aggs)
     cols = [F.col(row)] + [pct(F.col(f"__n{i}"), F.col("__tot")).alias(v) for i, v in enumerate(col_values)]
     if row_order is None:
         return g.select(cols).orderBy(row)
@@ -106,9 +107,9 @@ def kpi_row(df: DataFrame, fever: str = "Febre_desc", aid: str = "AuxilioEmergen
     With ``weight`` the rates are population-weighted (respondents stays a
     row count).
     """
-    total = _num(F.lit(True), weight)
+    total = _num(df, F.lit(True), weight)
     return df.agg(
-        F.count(F.lit(1)).alias("respondentes"),
-        pct(_num(is_answer(fever, YES), weight), total).alias("pct_febre"),
-        pct(_num(is_answer(aid, YES), weight), total).alias("pct_auxilio"),
+        rows_of(df).alias("respondentes"),
+        pct(_num(df, is_answer(fever, YES), weight), total).alias("pct_febre"),
+        pct(_num(df, is_answer(aid, YES), weight), total).alias("pct_auxilio"),
     ).select(F.col("respondentes").cast(T.LongType()), "pct_febre", "pct_auxilio")

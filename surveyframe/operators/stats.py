@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpointed
+from .freq import COUNT, counted, rows_of, rows_where
 
 #: Splitters of a range per round, and groups in which partial sketches are merged first.
 BUCKETS = 32
@@ -42,10 +43,19 @@ SKETCH_K, SLACK, FEW = 1024, 0.01, 50_000
 
 def _x(df: DataFrame, col: str) -> DataFrame:
     """The column as non-missing doubles (NULL and NaN are missing, as in pandas)."""
-    return df.select(F.col(col).cast(T.DoubleType()).alias("x")).where(
+    return df.select(F.col(col).cast(T.DoubleType()).alias("x"), *counted(df)).where(
         F.col("x").isNotNull() & ~F.isnan("x"))
 
 
+def sample_std(x: DataFrame) -> Column:
+    """Sample standard deviation of the column ``x``, also where rows are counted already; NULL below two rows."""
+    if not counted(x):
+        return F.stddev_samp("x")
+    mean = x.agg(F.try_divide(F.sum(F.col("x") * F.col(COUNT)), F.sum(COUNT).cast(T.DoubleType()))).scalar()
+    squares = F.sum(F.col(COUNT) * (F.col("x") - mean) * (F.col("x") - mean))
+    return F.sqrt(F.try_divide(squares, (rows_of(x) - 1).cast(T.DoubleType())))
+
+
 def _positions(n: int, probs: list[float]) -> list[tuple[int, int, float]]:
     """(lower rank, upper rank, fraction) per probability, 0-based, linear method."""
     out = []
@@ -211,15 +221,30 @@ def _values_at(xs: DataFrame, sketches: dict[str, tuple[int, bytes]], pairs: dic
 
 def _quantile_values(xs: DataFrame, cols: list[str], probs: list[float], buckets: int, **kw) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles of each column (None where it has no value)."""
+    if counted(xs):
+        return {"x": _counted_quantiles(xs, probs, buckets)}
     sketches = dict(zip(cols, _sketched(xs, cols)))
     pos = {c: _positions(n, probs) for c, (n, _) in sketches.items() if n}
     at = _values_at(xs, sketches, {c: [p[:2] for p in ps] for c, ps in pos.items()}, buckets, **kw)
 
-    def value(c: str, k: int, k2: int, frac: float) -> float:
-        lo, hi = at[c, k], at[c, k2]
-        return lo if lo == hi or not frac else lo + (hi - lo) * frac
+    return {c: [_between(at[c, k], at[c, k2], frac) for k, k2, frac in pos[c]] if c in pos else [None] * len(probs) for c in cols}
+
+
+def _between(lo: float, hi: float, frac: float) -> float:
+    return lo if lo == hi or not frac else lo + (hi - lo) * frac
+
 
-    return {c: [value(c, *p) for p in pos[c]] if c in pos else [None] * len(probs) for c in cols}
+def _counted_quantiles(x: DataFrame, probs: list[float], buckets: int) -> list[float | None]:
+    """Quantiles of values that are counted already: all of them stand for the inside of one bracket."""
+    cell = (0, 1)
+    kept = x.groupBy("x").agg(F.sum(COUNT).alias("n")).select(F.lit(cell[0]).alias("col"), F.lit(cell[1]).alias("zone"), "x", "n")
+    n, rows = kept.agg(F.sum("n"), F.count("x")).first()
+    if not n:
+        return [None] * len(probs)
+    pos = _positions(n, probs)
+    wanted = {cell: sorted({r for k, k2, _ in pos for r in (k, k2)})}
+    found = _on_driver(kept, wanted) if rows <= FEW else _by_splitters(checkpointed(kept), wanted, buckets)
+    return [_between(found[cell, k], found[cell, k2], frac) for k, k2, frac in pos]
 
 
 def _double(v: float | None) -> Column:
@@ -248,9 +273,21 @@ def quantiles(df: DataFrame, col: str, probs: list[float], names: list[str] | No
 
 def describe(df: DataFrame, col: str, decimals: int | None = 6, **kw) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max of one column (one row)."""
+    if counted(df):
+        return _describe_counted(df, col, decimals, **kw)
     return describe_numeric(df, [col], decimals=decimals, **kw).drop("column")
 
 
+def _describe_counted(df: DataFrame, col: str, decimals: int | None, buckets: int = BUCKETS) -> DataFrame:
+    x = _x(df, col)
+    q = _counted_quantiles(x, [0.25, 0.5, 0.75], buckets)
+    r = _rounded(decimals)
+    mean = F.try_divide(F.sum(F.col("x") * F.col(COUNT)), F.sum(COUNT).cast(T.DoubleType()))
+    out = x.agg(rows_of(x).alias("count"), mean.alias("mean"), sample_std(x).alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
+    return out.select("count", r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"), "min",
+                      *[r(_double(v)).alias(nm) for v, nm in zip(q, ("q25", "q50", "q75"))], "max")
+
+
 def describe_numeric(df: DataFrame, cols: list[str] | None = None, decimals: int | None = 6,
                      buckets: int = BUCKETS) -> DataFrame:
     """Numeric summary of many columns: one row per column.
@@ -281,7 +318,7 @@ def quantile_report(df: DataFrame, col: str, probs: list[float], names: list[str
     q = _quantile_values(x, ["x"], probs, buckets)["x"]
     r = _rounded(decimals)
     return x.agg(*[r(F.max(_double(v))).alias(nm) if v is None else F.first(r(_double(v))).alias(nm) for v, nm in zip(q, names)],
-                 F.count_if(F.col("x") > F.lit(threshold)).alias("n_above"), F.count(F.lit(1)).alias("n"))
+                 rows_where(x, F.col("x") > F.lit(threshold)).alias("n_above"), rows_of(x).alias("n"))
 
 
 def boxplot_stats(df: DataFrame, col: str, whis: float = 1.5, decimals: int | None = 6,
@@ -298,8 +335,8 @@ def boxplot_stats(df: DataFrame, col: str, whis: float = 1.5, decimals: int | No
     lo_f, hi_f = q1 - F.lit(whis) * iqr, q3 + F.lit(whis) * iqr
     v = F.col("x")
     out = x.agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),
+        rows_of(x).alias("n"), F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),
         F.max(F.when(v <= hi_f, v)).alias("whisker_hi"),
-        F.count_if(v < lo_f).alias("n_out_lo"), F.count_if(v > hi_f).alias("n_out_hi"))
+        rows_where(x, v < lo_f).alias("n_out_lo"), rows_where(x, v > hi_f).alias("n_out_hi"))
     return out.select("n", r(q1).alias("q1"), r(med).alias("median"), r(q3).alias("q3"), "whisker_lo", "whisker_hi",
                       "n_out_lo", "n_out_hi")

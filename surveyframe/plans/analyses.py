@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import cut, date_key, label_map, month_label, pct, pct_text
 from ..operators import distribution, filters, freq, profile, rates, stats
+from ..operators.exact import exact_sums
 from ..schema import (AGE_BAND_EDGES, AGE_BAND_LABELS, DIM_ROWS,
                       EDUCATION_ORDER, HOSPITAL_YES_NO, INCOME_BAND_INFORMED_ORDER,
                       INCOME_BAND_ORDER, MONTH_COLUMN, MONTH_LABELS, NO, NOT_INFORMED,
@@ -80,7 +81,7 @@ def qa6_rendimento(df: DataFrame) -> DataFrame:
 
 def _income(df: DataFrame) -> DataFrame:
     # lenient numeric parse of the decimal income; unparseable/NULL dropped
-    return df.select(F.col("RendimentoHabitual_Valor").try_cast(T.DoubleType()).alias("renda")) \
+    return df.select(F.col("RendimentoHabitual_Valor").try_cast(T.DoubleType()).alias("renda"), *freq.counted(df)) \
              .where(F.col("renda").isNotNull())
 
 
@@ -154,9 +155,8 @@ def qc3_ocupacao_weighted(df: DataFrame) -> DataFrame:
     """Informed occupations: count, percent and weighted population (one aggregation)."""
     col = "PosicaoOcupacao_desc"
     base = filters.informed(df, col)
-    g = base.groupBy(col).agg(F.count(F.lit(1)).alias("n"),
-                              F.sum(F.col("Peso_Amostral").cast(T.DoubleType())).alias("__w"))
-    return (g.select(col, "n", freq.share_of_total(g).alias("pct"), F.round("__w", 2).alias("populacao_estimada"))
+    g = exact_sums(base, [col], "Peso_Amostral", "populacao_estimada", F.count(F.lit(1)).alias("n"))
+    return (g.select(col, "n", freq.share_of_total(g).alias("pct"), "populacao_estimada")
             .orderBy(F.desc("populacao_estimada"), F.asc(col)))
 
 
@@ -209,7 +209,7 @@ def qe1_profile_care_seekers(df: DataFrame) -> DataFrame:
     aggs, structs = [], []
     for d, expr, labels in dims:
         for i, v in enumerate(labels):
-            aggs.append(F.count_if(expr == F.lit(v)).alias(f"__{d}_{i}"))
+            aggs.append(freq.rows_where(base, expr == F.lit(v)).alias(f"__{d}_{i}"))
             structs.append(F.struct(F.lit(d).alias("dimensao"), F.lit(v).alias("categoria"),
                                     F.lit(i).alias("ord"), F.col(f"__{d}_{i}").alias("n")))
     rows = base.agg(*aggs).select(F.inline(F.array(*structs)))
@@ -243,10 +243,15 @@ def dashboard_view(fn, df: DataFrame, uf=None, sexo=None, mes=None) -> DataFrame
 
     Views along months ignore the month filter; option lists ignore all filters.
     """
+    return fn(filters.survey_filter(df, **filters_of(fn, uf, sexo, mes)))
+
+
+def filters_of(fn, uf=None, sexo=None, mes=None) -> dict:
+    """Those of the dashboard's filters that hold for an analysis."""
     if fn in (qo_filter_options, month_labels):
-        return fn(df)
+        return {"uf": None, "sexo": None, "mes": None}
     along_months = fn in (qd1_trend_symptoms, qd2_trend_care, qd3_trend_work_aid, qd_month_answer_shares)
-    return fn(filters.survey_filter(df, uf=uf, sexo=sexo, mes=None if along_months else mes))
+    return {"uf": uf, "sexo": sexo, "mes": None if along_months else mes}
 
 
 def qk_kpi(df: DataFrame, uf=None, sexo=None, mes=None) -> DataFrame:
