@@ -5,8 +5,8 @@
     python -m surveyframe.cli kpi --table /shared/survey --uf Bahia --mes Setembro/2020
 
 ``build`` lands the extracts, decodes all months in one pass and writes the
-month-partitioned table.  ``analyze`` reads that table once per analysis
-(column pruning keeps each read to the columns it needs) and writes every
+month-partitioned table.  ``analyze`` counts for all analyses in one scan of that
+table (``plans.together``; one more for the weighted totals) and writes every
 result as Parquet under ``--out/<name>``.
 """
 
@@ -17,6 +17,7 @@ import sys
 
 from .plans import analyses as A
 from .plans.consolidate import consolidated
+from .plans.together import together
 from .session import get_spark
 from .sources.raw import read_raw_csv
 from .sources.tables import dashboard_scan, read_consolidated, write_consolidated
@@ -85,9 +86,10 @@ def main(argv: list[str] | None = None) -> int:
         write_consolidated(consolidated(spark, months), args.table)
     elif args.cmd == "analyze":
         df = read_consolidated(spark, args.table)
-        for name in args.only or list(ANALYSES):
-            out = A.dashboard_view(ANALYSES[name], df, uf=args.uf, sexo=args.sexo, mes=args.mes)
-            out.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+        names = args.only or list(ANALYSES)
+        with together(df, [ANALYSES[n] for n in names], uf=args.uf, sexo=args.sexo, mes=args.mes) as results:
+            for name in names:
+                results[ANALYSES[name]].write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
     else:
         A.qk_kpi(dashboard_scan(spark, args.table, uf=args.uf, sexo=args.sexo, mes=args.mes)).show(truncate=False)
     return 0

@@ -53,17 +53,23 @@ def launcher_unset(conf: dict[str, str]) -> dict[str, str]:
     return {k: v for k, v in conf.items() if not launched.contains(k)}
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read from there from now on.
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables.
 
-    The folder is the session's ``spark.checkpoint.dir``; only a local session without that setting gets a scratch folder.
+    It is the session's ``spark.checkpoint.dir``; only a local session without that setting gets a scratch folder.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not sc.master.startswith("local"):
                 raise RuntimeError("spark.checkpoint.dir is not set; a cluster needs a shared folder")
             folder = tempfile.mkdtemp(prefix="surveyframe-checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read from there from now on."""
+    scratch_folder(df.sparkSession)
     return df.checkpoint()
