@@ -1,6 +1,7 @@
 """Command line: build the analytic table from monthly extracts, run the analyses.
 
     python -m surveyframe.cli build  --csv 'extracts/*.csv' --table /shared/survey
+    python -m surveyframe.cli build  --csv extracts/july.csv --table /shared/survey --replace
     python -m surveyframe.cli analyze --table /shared/survey --out /shared/reports [--only name ...] [--uf Bahia] [--mes Julho/2020]
     python -m surveyframe.cli kpi --table /shared/survey --uf Bahia --mes Setembro/2020
 
@@ -20,7 +21,7 @@ from .plans.consolidate import consolidated
 from .plans.together import together
 from .session import get_spark
 from .sources.raw import read_raw_csv
-from .sources.tables import dashboard_scan, read_consolidated, write_consolidated
+from .sources.tables import dashboard_scan, read_consolidated, replace_months, write_consolidated
 
 ANALYSES = {
     "first_look_top15": A.q2_first_look,
@@ -68,6 +69,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--csv", nargs="+", required=True, help="monthly extract files or globs")
     b.add_argument("--table", required=True)
     b.add_argument("--sep", default=",")
+    b.add_argument("--replace", action="store_true", help="replace only the months of the extracts, keep the others")
     a = sub.add_parser("analyze")
     a.add_argument("--table", required=True)
     a.add_argument("--out", required=True)
@@ -83,7 +85,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_spark()
     if args.cmd == "build":
         months = [read_raw_csv(spark, p, sep=args.sep) for p in args.csv]
-        write_consolidated(consolidated(spark, months), args.table)
+        write = replace_months if args.replace else write_consolidated
+        write(consolidated(spark, months), args.table)
     elif args.cmd == "analyze":
         df = read_consolidated(spark, args.table)
         names = args.only or list(ANALYSES)
