@@ -18,7 +18,7 @@ import sys
 
 from .plans import analyses as A
 from .plans.consolidate import consolidated
-from .plans.together import together
+from .plans.together import at_once, together
 from .session import get_spark
 from .sources.raw import read_raw_csv
 from .sources.tables import dashboard_scan, read_consolidated, replace_months, write_consolidated
@@ -91,8 +91,7 @@ def main(argv: list[str] | None = None) -> int:
         df = read_consolidated(spark, args.table)
         names = args.only or list(ANALYSES)
         with together(df, [ANALYSES[n] for n in names], uf=args.uf, sexo=args.sexo, mes=args.mes) as results:
-            for name in names:
-                results[ANALYSES[name]].write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+            at_once(lambda name: results[ANALYSES[name]].write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}"), names)
     else:
         A.qk_kpi(dashboard_scan(spark, args.table, uf=args.uf, sexo=args.sexo, mes=args.mes)).show(truncate=False)
     return 0

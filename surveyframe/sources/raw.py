@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import INCOME_DECIMAL, RAW_COLUMNS
+from .files import first_lines
 
 # Synthetic survey over the driver's ``lineitem`` (see FIXTURES.md §4).  Pure
 # integer arithmetic, so the same text runs in Spark SQL and in DuckDB.
@@ -110,19 +111,25 @@ def read_raw_csv(spark: SparkSession, paths: list[str] | str, sep: str = ",",
 
     Every file is read by its own header - extracts differ in their columns and
     order, and Spark would apply the first header to all of them by position.
-    Files with the same header are read together.
+    The first lines of all files are looked at first, without a Spark job; files with
+    the same one are read together, so that the number of jobs follows the number of
+    different headers. A header is one line; a file without any line has no rows.
     """
     reader = (spark.read.option("sep", sep).option("encoding", encoding).option("inferSchema", False))
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for f in csv_files(spark, paths):
-        header = tuple(reader.option("header", True).csv(f).columns)
-        missing = [n for n, _ in RAW_COLUMNS if n not in header]
-        if missing:
-            raise ValueError(f"raw extract {f} lacks columns {missing}")
-        by_header.setdefault(header, []).append(f)
+    files = csv_files(spark, paths)
+    by_header: dict[str, list[str]] = {}
+    for f, line in zip(files, first_lines(spark, files, encoding)):
+        if line is not None:
+            by_header.setdefault(line, []).append(f)
     if not by_header:
         raise ValueError(f"no CSV file under {paths}")
-    frames = [reader.option("header", True).csv(files) for files in by_header.values()]
+    frames = []
+    for same in by_header.values():
+        df = reader.option("header", True).csv(same)
+        missing = [n for n, _ in RAW_COLUMNS if n not in df.columns]
+        if missing:
+            raise ValueError(f"raw extract {same[0]} lacks columns {missing}")
+        frames.append(df)
     return stack([df.select([strict_text(F.col(n), t, n).alias(n) for n, t in RAW_COLUMNS]) for df in frames])
 
 

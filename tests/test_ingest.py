@@ -1,5 +1,6 @@
 """Extracts with differing headers, through glob, list and CLI; landing keeps other years; unknown labels."""
 
+import gzip
 import os
 import tempfile
 
@@ -44,6 +45,36 @@ def test_each_file_is_read_by_its_own_header(spark, folder):
     assert rows(read_raw_csv(spark, [f"{folder}/csv/{x}.csv" for x in "cab"])) == WANT
 
 
+def test_the_number_of_jobs_does_not_follow_the_number_of_files(spark, folder):
+    sc, jobs = spark.sparkContext, []
+    for n in (120, 300):
+        for i in range(n):
+            extract(f"{folder}/many{n}", f"{i:03d}.csv", [NAMES, ["extra", *NAMES], NAMES[::-1]][i % 3], extra="7", UF="29")
+        sc.setJobGroup(f"headers-{n}", "headers")
+        df = read_raw_csv(spark, f"{folder}/many{n}")
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"headers-{n}")))
+        sc.setJobGroup("other", "other")
+        assert df.where("UF = 29 and A002 = 40").count() == n
+    # a few for each of the three headers, listing included
+    assert jobs[0] == jobs[1] <= 9, jobs
+
+
+def test_compressed_blank_and_empty_files(spark, folder):
+    with open(f"{folder}/csv/a.csv") as f:
+        text = f.read()
+    os.makedirs(f"{folder}/odd")
+    with gzip.open(f"{folder}/odd/z.csv.gz", "wt") as f:
+        f.write(text)
+    for name, content in [("blank.csv", "\n\n" + text), ("empty.csv", ""), ("header.csv", text.splitlines()[0] + "\n")]:
+        with open(f"{folder}/odd/{name}", "w") as f:
+            f.write(content)
+    assert rows(read_raw_csv(spark, f"{folder}/odd")) == [WANT[0]] * 2
+    os.makedirs(f"{folder}/none")
+    open(f"{folder}/none/empty.csv", "w").close()
+    with pytest.raises(ValueError, match="no CSV file"):
+        read_raw_csv(spark, f"{folder}/none")
+
+
 def test_cli_build_with_differing_headers(spark, folder):
     assert cli.main(["build", "--csv", folder + "/csv/*.csv", "--table", folder + "/t"]) == 0
     got = spark.read.parquet(folder + "/t").groupBy("DataReferencia_Mes").count().collect()
