@@ -64,6 +64,28 @@ def drop_stored(df: DataFrame) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Bytes of rows in an Arrow batch to a Python worker, for operators that send whole rows. Spark's 64 MB (or 10,000 rows)
+#: are held at once by the executor and by the worker of every task.
+BATCH_BYTES, BATCH_SETTING = "4m", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send small Arrow batches from now on, unless it has a size set."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
+def with_text(batches: Iterator[pa.RecordBatch], row: str, at: int) -> Iterator[pa.RecordBatch]:
+    """The batches with field ``at`` of their struct column ``row`` as a column ``text``, so that it is sent once."""
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([*b.columns, b.column(row).field(at)], names=[*b.schema.names, "text"])
+
+
+def place_of(df: DataFrame, name: str) -> int:
+    """Index of a column, names compared as Spark does."""
+    return [c.lower() for c in df.columns].index(name.lower())
+
+
 def n_parts(spark: SparkSession, at_least: int = 1) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), at_least)
 

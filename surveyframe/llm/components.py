@@ -1,6 +1,6 @@
 """Connected components by alternating large-star and small-star steps on written edge tables.
 
-Nothing but two counts per round reaches the driver. A vertex with many edges is
+Nothing but a count per round reaches the driver. A vertex with many edges is
 only ever a join key (its minimum is one row), never a collected list.
 """
 
@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from .common import drop_stored, stored
 
 
-def _mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return r[0], r[1]
+def _is_stars(e: DataFrame) -> bool:
+    """Has every upper end one lower end, which is no upper end itself? Then the lower ends are the components' smallest nodes."""
+    ends = e.select(F.col("a").alias("v"), F.lit(1).alias("ups"), F.lit(0).alias("downs")).union(e.select("b", F.lit(0), F.lit(1)))
+    return not (ends.groupBy("v").agg(F.sum("ups").alias("ups"), F.max("downs").alias("downs")).where("ups + downs > 1 and ups > 0")
+                .agg(F.count(F.lit(1))).first()[0])
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -35,20 +37,15 @@ def _small_star(e: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, comp)`` for every node of an edge, ``comp`` the smallest node reachable.
 
-    Ends when a round changes nothing: every node then points at its root. Self
+    Ends when the edges are stars: every node then points at its root. Self
     loops and repeated edges are allowed; no edges give no rows.
     """
     cur = stored(edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
                  .where("a is not null and b is not null and a <> b")
                  .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    mark = _mark(cur)
-    while mark[0]:
+    while not _is_stars(cur):
         nxt = stored(_small_star(_large_star(cur)), "edges")
         drop_stored(cur)
-        now = _mark(nxt)
         cur = nxt
-        if now == mark:
-            break
-        mark = now
     return (cur.select(F.col("a").alias("node"), F.col("b").alias("comp"))
             .union(cur.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()))

@@ -5,11 +5,13 @@ copies. Sets are embedded as ``SKETCH`` min-hash tokens. In every run the tree o
 chosen paths is walked level by level: a node of the tree samples each token
 position with probability 1 / (threshold * SKETCH) and splits its sets by the
 token there, so two sets that share a fraction ``threshold`` of their tokens are
-expected to stay together in one child. Buckets of at most ``LEAF`` sets are
-compared by brute force; larger ones are split further. A bucket that is still
-larger at the last level holds sets that share many sampled tokens and is taken
-as one group of candidates. The number of runs follows from the target recall and
-the positions that the runs' roots, which are fixed, really sample.
+expected to stay together in one child. The first ``FIRST`` levels of a set follow
+from its sketch alone and are walked where it is made. Buckets of at most ``LEAF``
+sets are compared by brute force; larger ones are split further. A bucket that is
+still larger at the last level holds sets that share many sampled tokens and is
+taken as one group of candidates. The number of runs follows from the positions
+that the runs' roots, which are fixed, really sample: as many as the target recall
+needs at the last level and ``FIRST_MISS`` where buckets are first compared.
 
 Candidates are only that: the sets that hang together by them are compared
 exactly, in blocks of bounded size, each pair once. So every reported link has a Jaccard
@@ -35,13 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructType
 
-from .common import Words, drop_stored, map_arrow, mixed, sorted_groups, star_labels, stored, text_chunks
+from .common import Words, drop_stored, map_arrow, mixed, place_of, small_batches, sorted_groups, star_labels, stored, text_chunks, with_text
 from .components import connected_components
 from .substring import _rolling
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.995
 #: Parameters: tokens of a sketch, levels, sets of a brute-force bucket, shingles of an exact block.
 SKETCH, LEVELS, LEAF, BLOCK_SHINGLES = 128, 4, 256, 1 << 19
+#: The level whose buckets are compared first: sets that merely share one line are mostly apart by then, so the rows of
+#: buckets stay in proportion to the input. Chance that a pair at the threshold has not met there in any run.
+FIRST, FIRST_MISS = 2, 1e-6
 #: Standard deviations by which a sketch may underestimate a pair's similarity.
 MARGIN = 4.0
 
@@ -74,19 +79,34 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return (mixed(best) >> np.uint64(32)).astype("<u4")
 
 
-def _sketched(docs: DataFrame, n: int) -> DataFrame:
-    """Every row with its set's size, two 64-bit signatures and its sketch; ``orig`` holds the row's own columns."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("orig"),
-                       F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    schema = StructType([rows.schema["orig"], *StructType.fromDDL("doc_id long, n long, sig_a long, sig_b long, sk binary").fields])
+def _sketched(docs: DataFrame, n: int, threshold: float, recall: float, levels: int) -> DataFrame:
+    """Every row with its set's size, two 64-bit signatures, its paths down to the first compared level and 8 bits of each
+    token of its sketch; ``orig`` holds the row's own columns."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("orig"), F.col("doc_id").cast("long").alias("doc_id"))
+    schema = StructType([rows.schema["orig"], *StructType.fromDDL(
+        "doc_id long, n long, sig_a long, sig_b long, paths array<long>, sk8 binary").fields])
+    at = place_of(docs, "text")
+    small_batches(docs.sparkSession)
+    root, pos = roots(recall, levels, threshold)
+    depth = min(FIRST, levels)
 
     def run(it):
-        for b, texts in text_chunks(it):
+        for b, texts in text_chunks(with_text(it, "orig", at)):
             sets = shingle_sets(texts, n)
+            some = [i for i, s in enumerate(sets) if len(s)]
+            sk = np.stack([sketch(sets[i]) for i in some]) if some else np.zeros((0, SKETCH), "<u4")
+            row, path = first_paths(sk, root, pos, threshold, depth)
+            low = sk.astype(np.uint8)
+            sk8 = [b""] * len(sets)
+            for i, x in zip(some, low):
+                sk8[i] = x.tobytes()
+            each = np.zeros(len(sets) + 1, np.int64)
+            each[np.array(some, np.int64) + 1] = np.bincount(row, minlength=len(some))
             yield {"orig": b.column("orig"), "doc_id": b.column("doc_id"), "n": [len(s) for s in sets],
                    "sig_a": [int(s.sum(dtype=np.uint64).astype(np.int64)) for s in sets],
                    "sig_b": [int(mixed(s).sum(dtype=np.uint64).astype(np.int64)) for s in sets],
-                   "sk": [sketch(s).tobytes() if len(s) else b"" for s in sets]}
+                   "paths": pa.ListArray.from_arrays(pa.array(np.cumsum(each), pa.int32()), pa.array(path.view(np.int64))),
+                   "sk8": sk8}
 
     return map_arrow(rows, run, schema)
 
@@ -117,10 +137,10 @@ def miss(pos: np.ndarray, levels: int = LEVELS, threshold: float = THRESHOLD) ->
 
 
 def roots(recall: float = RECALL, levels: int = LEVELS, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """(root, position) of every first-level path: as many runs as the target recall needs at the last level.
-    A run whose root samples nothing is no run."""
+    """(root, position) of every first-level path: as many runs as the target recall needs at the last level and
+    ``FIRST_MISS`` at the first compared one. A run whose root samples nothing is no run."""
     root, pos, i = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-    while not len(pos) or miss(pos, levels, threshold) > 1 - recall:
+    while not len(pos) or miss(pos, levels, threshold) > 1 - recall or miss(pos, min(FIRST, levels), threshold) > FIRST_MISS:
         i += 1
         r = mixed(np.array([i], np.uint64) * np.uint64(0xA0761D6478BD642F))
         p = np.nonzero(_chosen(r, 1 / (threshold * SKETCH)))[1]
@@ -134,33 +154,39 @@ def _child(path: np.ndarray, pos: np.ndarray, token: np.ndarray) -> np.ndarray:
                  + mixed(token.astype(np.uint64)))
 
 
-def _children(df: DataFrame, threshold: float) -> DataFrame:
-    """(path, uid) of the next level from (path, uid, sk8): below the first level 8 bits of a token split well enough."""
-    p = 1 / (threshold * SKETCH)
+def first_paths(sk: np.ndarray, root: np.ndarray, pos: np.ndarray, threshold: float, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, path), in order of rows, of the sketches ``sk`` after ``depth`` levels of every run."""
+    path = _child(root[None, :], pos[None, :], sk[:, pos]).ravel()
+    row = np.repeat(np.arange(len(sk)), len(pos))
+    for _ in range(depth - 1):
+        row, path = _below(path, row, sk, threshold)
+    return row, path
 
-    def run(it):
-        for b in it:
-            for s in range(0, b.num_rows, 4096):
-                part = b.slice(s, 4096)
-                sk = np.frombuffer(b"".join(part.column("sk8").to_pylist()), np.uint8).reshape(-1, SKETCH)
-                path = part.column("path").to_numpy().view(np.uint64)
-                row, pos = np.nonzero(_chosen(path, p))
-                yield {"path": _child(path[row], pos, sk[row, pos]).view(np.int64), "uid": part.column("uid").to_numpy()[row]}
 
-    return map_arrow(df, run, "path long, uid long")
+def _below(path: np.ndarray, row: np.ndarray, sk: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, path) one level below the paths of rows of ``sk``."""
+    rows, paths = [row[:0]], [path[:0]]
+    for s in range(0, len(path), 2048):
+        p, r = path[s:s + 2048], row[s:s + 2048]
+        at, pos = np.nonzero(_chosen(p, 1 / (threshold * SKETCH)))
+        rows.append(r[at])
+        paths.append(_child(p[at], pos, sk[r[at], pos]))
+    return np.concatenate(rows), np.concatenate(paths)
 
 
-def _roots(reps: DataFrame, root: np.ndarray, pos: np.ndarray) -> DataFrame:
-    """First level: every set in every run, split by the positions that the run's root samples."""
+def _children(df: DataFrame, threshold: float) -> DataFrame:
+    """(path, uid, sk8) of the next level from those of one: what is still large is split well enough by 8 bits of a token."""
     def run(it):
         for b in it:
             for s in range(0, b.num_rows, 4096):
                 part = b.slice(s, 4096)
-                sk = np.frombuffer(b"".join(part.column("sk").to_pylist()), "<u4").reshape(-1, SKETCH)
-                child = _child(root[None, :], pos[None, :], sk[:, pos])
-                yield {"path": child.ravel().view(np.int64), "uid": np.repeat(part.column("uid").to_numpy(), len(pos))}
+                raw = part.column("sk8")
+                sk = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, SKETCH)
+                row, path = _below(part.column("path").to_numpy().view(np.uint64), np.arange(part.num_rows), sk, threshold)
+                at = pa.array(row)
+                yield {"path": path.view(np.int64), "uid": part.column("uid").take(at), "sk8": raw.take(at)}
 
-    return map_arrow(reps, run, "path long, uid long")
+    return map_arrow(df, run, "path long, uid long, sk8 binary")
 
 
 def _leaf_links(leaves: DataFrame, least: int) -> DataFrame:
@@ -208,37 +234,28 @@ def _leaf_links(leaves: DataFrame, least: int) -> DataFrame:
     return map_arrow(dealt, run, "a long, b long")
 
 
-def candidates(reps: DataFrame, threshold: float, recall: float, leaf: int, levels: int) -> DataFrame:
-    """Candidate links between stored distinct sets (uid, sk, sk8, sk4)."""
+def candidates(reps: DataFrame, threshold: float, leaf: int, levels: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Candidate links between stored distinct sets (uid, paths, sk8), and the stored tables behind them."""
     sd = math.sqrt(threshold * (1 - threshold) / SKETCH)
     least = math.floor(SKETCH * (threshold - MARGIN * sd))
-    short = reps.select("uid", "sk4")
-    spark = reps.sparkSession
-
-    front = stored(_roots(reps.select("uid", "sk"), *roots(recall, levels, threshold)), "paths")
-    edges, used = None, []
-    for level in range(1, levels + 1):
+    front, edges, used = reps.select(F.explode("paths").alias("path"), "uid"), None, []
+    for level in range(min(FIRST, levels), levels + 1):
         size = front.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("least")).where("n > 1")
-        size = stored(size, "path-sizes")
-        small = front.join(size.where(F.col("n") <= leaf).select("path"), "path")
-        links = _leaf_links(small.join(short, "uid").select("path", "uid", "sk4"), least)
-        big = size.where(F.col("n") > leaf)
-        last = level == levels
-        if last:
-            links = links.union(front.join(big, "path").select(F.col("uid").alias("a"), F.col("least").alias("b")).where("a <> b"))
-        links = stored(links.distinct(), "candidate-links")
+        met = front.join(size, "path")
+        if not used:  # only sets that meet others need their sketches, which then go down with them
+            met = met.join(reps.select("uid", "sk8"), "uid")
+        met = stored(met.select("path", "uid", "sk8", "n", "least"), "buckets")
+        used.append(met)
+        small, big = met.where(F.col("n") <= leaf), met.where(F.col("n") > leaf)
+        links = _leaf_links(small.select("path", "uid", _half_bytes(F.col("sk8")).alias("sk4")), least)
+        if level == levels:
+            links = links.union(big.select(F.col("uid").alias("a"), F.col("least").alias("b")).where("a <> b"))
         edges = links if edges is None else edges.union(links)
-        used += [front, size]
-        if last or big.isEmpty():
+        if level == levels or big.isEmpty():
             break
-        nxt = front.join(big.select("path"), "path").join(reps.select("uid", "sk8"), "uid")
-        front = stored(_children(nxt.select("path", "uid", "sk8"), threshold), "paths")
-        for t in used:
-            drop_stored(t)
-        used = []
-    for t in used:
-        drop_stored(t)
-    return edges
+        front = stored(_children(big.select("path", "uid", "sk8"), threshold), "paths")
+        used.append(front)
+    return edges, used
 
 
 #: Blocks of 64 bits of a filter of row ids at most (16 MB), and bits set for an id.
@@ -287,19 +304,14 @@ def split_by_ids(rows: DataFrame, ids: DataFrame, most_blocks: int = FILTER_BLOC
     return marked.where("__maybe").drop("__maybe"), marked.where("not __maybe").drop("__maybe")
 
 
-def _low_bytes(sk):
-    """Every fourth byte of the sketch: 8 bits of each token."""
-    return F.unhex(F.regexp_replace(F.hex(sk), "(..)......", "$1"))
-
-
 def _half_bytes(sk8):
     """4 bits of each token, two tokens a byte."""
     return F.unhex(F.regexp_replace(F.hex(sk8), ".(.)", "$1"))
 
 
 def _exact(members: DataFrame, threshold: float, n: int) -> DataFrame:
-    """``(uid, n, root)`` from (comp, uid, copies, blocks, text): exact links inside each candidate group,
-    whose sets are dealt over ``blocks`` blocks."""
+    """``(uid, n, root, whole)`` from (comp, uid, copies, blocks, text): exact links inside each candidate group,
+    whose sets are dealt over ``blocks`` blocks; a group of one block is ``whole``, its roots are its classes."""
 
     def as_sets(it):
         for b, texts in text_chunks(it):
@@ -310,12 +322,13 @@ def _exact(members: DataFrame, threshold: float, n: int) -> DataFrame:
     sets = map_arrow(members, as_sets, "comp long, uid long, copies long, blocks int, size long, s binary")
     j = sets.withColumn("own", F.pmod(F.xxhash64("uid"), "blocks").cast("int"))
     pairs = j.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = pairs.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "uid", "copies", "size", "s")
+    rows = pairs.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "uid", "copies", "size", "s",
+                        (F.col("blocks") == 1).alias("whole"))
     group = ["comp", "i", "j"]
     dealt = rows.repartition(*group).sortWithinPartitions(*group, "size", "uid")
 
     def run(it):
-        out: dict = {"uid": [], "n": [], "root": []}
+        out: dict = {"uid": [], "n": [], "root": [], "whole": []}
         rows_out = 0
         for t in sorted_groups(it, group):
             uid, copies, size = (t.column(c).to_numpy() for c in ("uid", "copies", "size"))
@@ -325,14 +338,15 @@ def _exact(members: DataFrame, threshold: float, n: int) -> DataFrame:
                 out["uid"].append(uid)
                 out["n"].append(count)
                 out["root"].append(uid[lab])
+                out["whole"].append(t.column("whole").to_numpy())
                 rows_out += len(uid)
             if rows_out > 8192:
                 yield {c: np.concatenate(v) for c, v in out.items()}
-                out, rows_out = {"uid": [], "n": [], "root": []}, 0
+                out, rows_out = {"uid": [], "n": [], "root": [], "whole": []}, 0
         if rows_out:
             yield {c: np.concatenate(v) for c, v in out.items()}
 
-    return map_arrow(dealt, run, "uid long, n long, root long")
+    return map_arrow(dealt, run, "uid long, n long, root long, whole boolean")
 
 
 def _block_links(raw: list[bytes], size: np.ndarray, copies: np.ndarray, own: np.ndarray, diagonal: bool, threshold: float):
@@ -369,15 +383,15 @@ def _block_links(raw: list[bytes], size: np.ndarray, copies: np.ndarray, own: np
 def _classes(docs: DataFrame, threshold: float, n: int, recall: float, leaf: int, levels: int,
              block_shingles: int) -> tuple[DataFrame, DataFrame]:
     """The stored rows (uid, orig, ...) and (class_uid, uid, doc_id, n_links, class_id) for each of them."""
-    rows = stored(_sketched(docs, n).withColumn("uid", F.monotonically_increasing_id()), "sketches")
+    rows = stored(_sketched(docs, n, threshold, recall, levels).withColumn("uid", F.monotonically_increasing_id()), "sketches")
     sig = ["n", "sig_a", "sig_b"]
     groups = stored(rows.where("n > 0").groupBy(*sig).agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("copies")), "equal-sets")
-    reps = rows.join(groups.select("rep", "copies"), F.col("uid") == F.col("rep")).select(
-        "uid", "copies", "n", "sk", _low_bytes(F.col("sk")).alias("sk8"))
-    reps = stored(reps.withColumn("sk4", _half_bytes(F.col("sk8"))), "distinct-sets")
-    edges = candidates(reps, threshold, recall, leaf, levels)
+    reps = stored(rows.join(groups.select("rep", "copies"), F.col("uid") == F.col("rep")).select("uid", "copies", "n", "paths", "sk8"),
+                  "distinct-sets")
+    edges, used = candidates(reps, threshold, leaf, levels)
     comp = stored(connected_components(edges), "candidate-groups")
-    drop_stored(edges)
+    for t in used:
+        drop_stored(t)
     # Blocks follow from the sets' sizes, so that each set is sent once, and to its blocks only.
     sized = comp.join(reps.select("uid", "copies", "n"), F.col("node") == F.col("uid")).select("comp", "uid", "copies", "n")
     blocks = sized.groupBy("comp").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
@@ -387,7 +401,8 @@ def _classes(docs: DataFrame, threshold: float, n: int, recall: float, leaf: int
     texts, _ = split_by_ids(rows.select("uid", F.col("orig.text").alias("text")), members)
     found = stored(_exact(texts.join(members, "uid").select("comp", "uid", "copies", "blocks", "text"), threshold, n), "exact-links")
     drop_stored(members)
-    exact = connected_components(found.where("uid <> root"), "uid", "root")
+    exact = (connected_components(found.where("not whole and uid <> root"), "uid", "root")
+             .union(found.where("whole").select("uid", "root")))
     counts = found.groupBy("uid").agg(F.sum("n").alias("linked"))
     per_rep = (groups.join(counts, F.col("rep") == F.col("uid"), "left").drop("uid")
                .join(exact, F.col("rep") == F.col("node"), "left")
