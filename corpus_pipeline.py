@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyframe.llm import decontam, langid, packing, pii, setjoin
-from surveyframe.llm.common import drop_stored, stored
+from surveyframe.llm.common import drop_stored, place_of, small_batches, stored
 
 #: A document goes when its language is ``und`` or its score is not this far above that of a text which shares nothing
 #: with any landmark of the fitted model.
@@ -21,10 +21,14 @@ LANG_MARGIN = 0.01
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; null and empty texts and texts without letters go."""
     train = docs.where(~F.coalesce(langid.held_out(4, 2), F.lit(False)))
-    named = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), "text")
+    small_batches(spark)
+    at = place_of(docs, "text")
+    rest = [f"`{c}`" for c in docs.columns[:at] + docs.columns[at + 1:]]
+    named = docs.select(F.struct(*rest).alias("row"), "text")
     model = langid.fit(train.select("doc_id", "text", "lang"))
     least = model.nothing + LANG_MARGIN if model else 0.0
-    return langid.predict(named, model).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("row.*")
+    kept = langid.predict(named, model).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return kept.select(*[f"row.{c}" for c in rest[:at]], F.col("text").alias(docs.columns[at]), *[f"row.{c}" for c in rest[at:]])
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

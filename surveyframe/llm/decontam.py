@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, mixed, text_chunks
+from .common import map_arrow, mixed, place_of, small_batches, text_chunks, with_text
 
 #: Parameters: q, edits per character, characters of items per pass.
 Q, EDIT_RATE, BLOCK_CHARS = 12, 0.05, 2_000_000
@@ -292,8 +292,10 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, flag: str, q: int = Q, rat
     import pyarrow as pa
 
     spark = docs.sparkSession
+    small_batches(spark)
     # The row travels as one column, so that its columns may have any names.
-    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"), F.lit(False).alias("bad"))
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.lit(False).alias("bad"))
+    at = place_of(docs, text)
     schema = StructType([*out.schema.fields[:-1]]).add("bad", BooleanType())
     for ids, texts in _blocks(benchmark, block_chars):
         sent = spark.sparkContext.broadcast((ids, texts))
@@ -301,11 +303,11 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, flag: str, q: int = Q, rat
         def run(it, sent=sent):
             items = Items(*sent.value, q, rate)
             target = to_arrow_schema(schema)
-            for b, chunk in text_chunks(it, "text", 1 << 20):
+            for b, chunk in text_chunks(with_text(it, "row", at), "text", 1 << 20):
                 bad = np.array(b.column("bad").to_pylist(), bool)
                 for x in items.find(chunk) if items.ids else []:
                     bad[x[0]] = True
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(bad)], schema=target)
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(bad)], schema=target)
 
         out = out.mapInArrow(run, schema)
     return out.select("row.*", F.col("bad").alias(flag))
